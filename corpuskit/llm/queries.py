@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .common import components, table, text_of
 from .near_duplicates import near_duplicate_links, near_duplicate_pairs
+from .shared_spans import shared_portions, shared_span_pairs
 
 
 def _records(spark: SparkSession, d: str) -> DataFrame:
@@ -34,5 +35,18 @@ def p3_groups(spark: SparkSession, d: str) -> DataFrame:
     return grouped.join(sizes.filter("n_records > 1"), "group_key").select("tbl", "row_id", "group_id", "n_records")
 
 
-QUERIES = {"p3_found": p3_found, "p3_groups": p3_groups}
+def _texts(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text")
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return shared_span_pairs(_texts(spark, d)).withColumnsRenamed({"id_a": "doc_a", "id_b": "doc_b"})
+
+
+def p9_shared(spark: SparkSession, d: str) -> DataFrame:
+    """How much of each document stands elsewhere, too."""
+    return shared_portions(_texts(spark, d)).withColumnRenamed("id", "doc_id")
+
+
+QUERIES = {f.__name__: f for f in (p3_found, p3_groups, p9_found, p9_shared)}
 ORACLE: dict[str, str] = {}
