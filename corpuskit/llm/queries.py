@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import components, table, text_of
+from .leaks import leaked_items
 from .near_duplicates import near_duplicate_links, near_duplicate_pairs
 from .shared_spans import shared_portions, shared_span_pairs
 
@@ -39,6 +40,18 @@ def _texts(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text")
 
 
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return leaked_items(_texts(spark, d), table(spark, d, "heldout_items")).withColumnRenamed("id", "doc_id")
+
+
+def p7_items(spark: SparkSession, d: str) -> DataFrame:
+    """Which held-out items leaked, into how many documents of which sources."""
+    found = p7_found(spark, d).join(table(spark, d, "documents").select("doc_id", "source"), "doc_id")
+    return found.groupBy("item_id").agg(
+        F.count(F.lit(1)).alias("n_documents"), F.countDistinct(F.coalesce("source", F.lit(""))).alias("n_sources")
+    )
+
+
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return shared_span_pairs(_texts(spark, d)).withColumnsRenamed({"id_a": "doc_a", "id_b": "doc_b"})
 
@@ -48,5 +61,5 @@ def p9_shared(spark: SparkSession, d: str) -> DataFrame:
     return shared_portions(_texts(spark, d)).withColumnRenamed("id", "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_groups, p9_found, p9_shared)}
+QUERIES = {f.__name__: f for f in (p3_found, p3_groups, p7_found, p7_items, p9_found, p9_shared)}
 ORACLE: dict[str, str] = {}
