@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from .common import components, table, text_of
 from .leaks import leaked_items
+from .mixture import mixture
 from .near_duplicates import near_duplicate_links, near_duplicate_pairs
 from .shared_spans import shared_portions, shared_span_pairs
+from .split_overlap import split_overlaps
 
 
 def _records(spark: SparkSession, d: str) -> DataFrame:
@@ -40,6 +42,28 @@ def _texts(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text")
 
 
+def _overlaps(spark: SparkSession, d: str) -> DataFrame:
+    return split_overlaps(
+        table(spark, d, "eval_medical_qa_rag").select(
+            F.col("ord").alias("id"), (F.col("split") == "train").alias("train"), text_of("instruction", "output").alias("text")
+        )
+    )
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return _overlaps(spark, d).select(
+        F.least("id_train", "id_other").alias("ord_a"), F.greatest("id_train", "id_other").alias("ord_b")
+    )
+
+
+def p6_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Overlapping pairs and records of each held-out split and source."""
+    own = table(spark, d, "eval_medical_qa_rag").select(F.col("ord").alias("id_other"), "split", "source")
+    return _overlaps(spark, d).join(own, "id_other").groupBy("split", "source").agg(
+        F.count(F.lit(1)).alias("n_pairs"), F.countDistinct("id_other").alias("n_records")
+    )
+
+
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return leaked_items(_texts(spark, d), table(spark, d, "heldout_items")).withColumnRenamed("id", "doc_id")
 
@@ -52,6 +76,27 @@ def p7_items(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+#: First level of the weight tree: the kind of writing a source holds, by the stem of its name.
+DOMAINS = {
+    "encyclopedia": "reference", "textbook": "reference", "anatomy_atlas": "reference", "herbal_digest": "reference",
+    "guideline": "professional", "drug_leaflet": "professional", "journal_abstract": "professional",
+    "patient_forum": "clinical", "radiology_teaching": "clinical", "ward_round_notes": "clinical",
+}
+
+
+def _mixture(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    docs = table(spark, d, "documents").select(F.col("doc_id").alias("id"), "source", "text")
+    return mixture(docs, table(spark, d, "source_weights"), DOMAINS)
+
+
+def p8_mixture(spark: SparkSession, d: str) -> DataFrame:
+    return _mixture(spark, d)[0].withColumnRenamed("id", "doc_id")
+
+
+def p8_shares(spark: SparkSession, d: str) -> DataFrame:
+    return _mixture(spark, d)[1]
+
+
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return shared_span_pairs(_texts(spark, d)).withColumnsRenamed({"id_a": "doc_a", "id_b": "doc_b"})
 
@@ -61,5 +106,5 @@ def p9_shared(spark: SparkSession, d: str) -> DataFrame:
     return shared_portions(_texts(spark, d)).withColumnRenamed("id", "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_groups, p7_found, p7_items, p9_found, p9_shared)}
+QUERIES = {f.__name__: f for f in (p3_found, p3_groups, p6_found, p6_counts, p7_found, p7_items, p8_mixture, p8_shares, p9_found, p9_shared)}
 ORACLE: dict[str, str] = {}
