@@ -9,10 +9,30 @@ from .common import components, table, text_of
 from .leaks import leaked_items
 from .mixture import mixture
 from .near_duplicates import near_duplicate_links, near_duplicate_pairs
+from .personal_data import personal_data
 from .shared_spans import shared_portions, shared_span_pairs
 from .split_overlap import split_overlaps
 
 
+def _free_texts(spark: SparkSession, d: str) -> DataFrame:
+    parts = [
+        table(spark, d, t).select(F.lit(t).alias("grp"), F.col(i).alias("id"), F.col(c).alias("text"))
+        for t, i, c in (("medical_qa", "ord", "question"), ("mimic_report_en", "row_idx", "findings"))
+    ]
+    return personal_data(parts[0].unionByName(parts[1]))
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    return _free_texts(spark, d).select(
+        F.col("grp").alias("tbl"), F.col("id").alias("row_id"), F.explode("types").alias("pii_type")
+    )
+
+
+def p1_redacted(spark: SparkSession, d: str) -> DataFrame:
+    """Every text with its placeholders."""
+    return _free_texts(spark, d).select(F.col("grp").alias("tbl"), F.col("id").alias("row_id"), "text")
+
+
 def _records(spark: SparkSession, d: str) -> DataFrame:
     qa = table(spark, d, "medical_qa").select(
         F.lit("medical_qa").alias("grp"), F.col("ord").alias("id"), text_of("question", "answer").alias("text")
@@ -106,5 +126,5 @@ def p9_shared(spark: SparkSession, d: str) -> DataFrame:
     return shared_portions(_texts(spark, d)).withColumnRenamed("id", "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_groups, p6_found, p6_counts, p7_found, p7_items, p8_mixture, p8_shares, p9_found, p9_shared)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_redacted, p3_found, p3_groups, p6_found, p6_counts, p7_found, p7_items, p8_mixture, p8_shares, p9_found, p9_shared)}
 ORACLE: dict[str, str] = {}
