@@ -9,9 +9,11 @@ from .common import components, table, text_of
 from .leaks import leaked_items
 from .mixture import mixture
 from .near_duplicates import near_duplicate_links, near_duplicate_pairs
+from .pair_defects import pair_defects
 from .personal_data import personal_data
 from .shared_spans import shared_portions, shared_span_pairs
 from .split_overlap import split_overlaps
+from .truncation import truncated
 
 
 def _free_texts(spark: SparkSession, d: str) -> DataFrame:
@@ -33,6 +35,42 @@ def p1_redacted(spark: SparkSession, d: str) -> DataFrame:
     return _free_texts(spark, d).select(F.col("grp").alias("tbl"), F.col("id").alias("row_id"), "text")
 
 
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    parts = [
+        table(spark, d, t).select(F.lit(t).alias("grp"), F.col("ord").alias("id"), F.col(q).alias("question"), F.col(a).alias("answer"))
+        for t, q, a in (("medical_qa", "question", "answer"), ("eval_medical_qa_rag", "instruction", "output"))
+    ]
+    return pair_defects(parts[0].unionByName(parts[1])).withColumnsRenamed({"grp": "tbl", "id": "row_id"})
+
+
+def _fields(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "medical_qa").select(
+        F.lit("medical_qa.answer").alias("grp"), F.col("ord").alias("id"), F.col("answer").alias("text"), "source"
+    ).unionByName(
+        table(spark, d, "medical_report_zh").select(
+            F.col("rec_id").alias("id"), "source",
+            F.inline(F.array(*[
+                F.struct(F.lit(f"medical_report_zh.{c}").alias("grp"), F.col(c).alias("text")) for c in ("findings_zh", "full_report_zh")
+            ])),
+        )
+    )
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    at = F.split("grp", r"\.")
+    return truncated(_fields(spark, d)).select(at[0].alias("tbl"), F.col("id").alias("row_id"), at[1].alias("field"))
+
+
+def p4_rates(spark: SparkSession, d: str) -> DataFrame:
+    """How often each source truncates each field."""
+    fields = _fields(spark, d)
+    found = truncated(fields).withColumn("is_cut", F.lit(1))
+    counted = fields.filter("text is not null").select("grp", "id", "source").join(found, ["grp", "id"], "left")
+    return counted.groupBy("grp", "source").agg(
+        F.count(F.lit(1)).alias("n_values"), F.count("is_cut").alias("n_cut"), (F.count("is_cut") / F.count(F.lit(1))).alias("share")
+    ).withColumnRenamed("grp", "field")
+
+
 def _records(spark: SparkSession, d: str) -> DataFrame:
     qa = table(spark, d, "medical_qa").select(
         F.lit("medical_qa").alias("grp"), F.col("ord").alias("id"), text_of("question", "answer").alias("text")
@@ -126,5 +164,5 @@ def p9_shared(spark: SparkSession, d: str) -> DataFrame:
     return shared_portions(_texts(spark, d)).withColumnRenamed("id", "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_redacted, p3_found, p3_groups, p6_found, p6_counts, p7_found, p7_items, p8_mixture, p8_shares, p9_found, p9_shared)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_redacted, p2_found, p4_found, p4_rates, p3_found, p3_groups, p6_found, p6_counts, p7_found, p7_items, p8_mixture, p8_shares, p9_found, p9_shared)}
 ORACLE: dict[str, str] = {}
