@@ -11,6 +11,7 @@ from .mixture import mixture
 from .near_duplicates import near_duplicate_links, near_duplicate_pairs
 from .pair_defects import pair_defects
 from .personal_data import personal_data
+from .sentence_alignment import aligned_sentences
 from .shared_spans import shared_portions, shared_span_pairs
 from .split_overlap import split_overlaps
 from .truncation import truncated
@@ -100,6 +101,12 @@ def _texts(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text")
 
 
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    sections = [F.struct(F.lit(s).alias("section"), F.col(f"{s}_en").alias("en"), F.col(f"{s}_zh").alias("zh")) for s in ("findings", "impression")]
+    reports = table(spark, d, "medical_report_zh").select(F.col("rec_id").alias("id"), F.inline(F.array(*sections)))
+    return aligned_sentences(reports, table(spark, d, "term_glossary")).withColumnRenamed("id", "rec_id")
+
+
 def _overlaps(spark: SparkSession, d: str) -> DataFrame:
     return split_overlaps(
         table(spark, d, "eval_medical_qa_rag").select(
@@ -164,5 +171,5 @@ def p9_shared(spark: SparkSession, d: str) -> DataFrame:
     return shared_portions(_texts(spark, d)).withColumnRenamed("id", "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_redacted, p2_found, p4_found, p4_rates, p3_found, p3_groups, p6_found, p6_counts, p7_found, p7_items, p8_mixture, p8_shares, p9_found, p9_shared)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_redacted, p2_found, p4_found, p4_rates, p3_found, p3_groups, p5_found, p6_found, p6_counts, p7_found, p7_items, p8_mixture, p8_shares, p9_found, p9_shared)}
 ORACLE: dict[str, str] = {}
