@@ -64,8 +64,9 @@ def collapse_whitespace(c: Column) -> Column:
 
 
 def strip_think(c: Column) -> Column:
-    """Without reasoning blocks; an unclosed one runs to the end."""
-    return pystrip(F.regexp_replace(F.regexp_replace(c, r"(?is)<think>.*?</think>", ""), r"(?is)<think>.*$", ""))
+    """Without redacted thinking blocks and bare thinking tags."""
+    blocks = F.regexp_replace(pystrip(c), r"(?i)<redacted_thinking>[\s\S]*?</redacted_thinking>", "")
+    return pystrip(F.regexp_replace(blocks, r"(?i)</?think>", ""))
 
 
 def qa_sentences(c: Column) -> Column:
