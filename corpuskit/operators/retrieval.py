@@ -62,7 +62,7 @@ def bm25_topk(queries: DataFrame, docs: DataFrame, k: int = 8) -> DataFrame:
 
 
 def ranked(scored: DataFrame, k: int) -> DataFrame:
-    """Best ``k`` of each query, ties by id; partial ranking keeps each task's best before the shuffle."""
+    """Best ``k`` of each query, ties by id; Spark's group limit keeps each task's best before the shuffle."""
     w = Window.partitionBy("qid").orderBy(F.desc("score"), "doc_id")
     return scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
@@ -141,9 +141,9 @@ def pack_context(hits: DataFrame, budget: int = 4000, first_always: bool = True,
     Block lengths never fall, so stopping at the first overflow is a bound on the running sum.
     """
     w = Window.partitionBy("qid").orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)
-    sums = hits.withColumn("upto", F.sum(F.length("block")).over(w))
+    sums = hits.withColumn("upto", F.sum(F.length("block")).over(w)).withColumn("first", F.min("rank").over(Window.partitionBy("qid")))
     fit = F.col("upto") <= budget
-    keep = fit | (F.col("rank") == F.min("rank").over(Window.partitionBy("qid"))) if first_always else fit
+    keep = fit | (F.col("rank") == F.col("first")) if first_always else fit
     kept = sums.filter(keep).groupBy("qid").agg(F.array_sort(F.collect_list(F.struct("rank", "block"))).alias("blocks"))
     text = F.array_join(F.transform("blocks", lambda b: b["block"]), separator)
     return hits.select("qid").distinct().join(kept, "qid", "left").select("qid", F.coalesce(text, F.lit(empty)).alias("context"))
