@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 HAN = r"一-鿿"
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often ``body`` speaks of it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def pystrip(c: Column) -> Column:
     """Strip all Unicode white space (``trim`` knows only the space)."""
     return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
@@ -29,10 +34,15 @@ def chars(c: Column) -> Column:
 
 def mixed_tokens(c: Column) -> Column:
     """Han runs of up to three characters and alphanumeric words; characters too where these are under three."""
-    t = F.lower(pystrip(F.coalesce(c, F.lit(""))))
-    parts = F.regexp_extract_all(t, F.lit(f"([{HAN}]{{1,3}}|[a-z0-9]+)"), F.lit(1))
-    more = F.when(F.size(parts) < 3, F.concat(parts, chars(F.replace(t, F.lit(" "), F.lit(""))))).otherwise(parts)
-    return F.when(F.coalesce(c, F.lit("")) == "", F.array().cast("array<string>")).when(F.size(more) == 0, F.array(F.lit("_"))).otherwise(more)
+    def parts(t: Column) -> Column:
+        return F.regexp_extract_all(t, F.lit(f"([{HAN}]{{1,3}}|[a-z0-9]+)"), F.lit(1))
+
+    def more(t: Column) -> Column:
+        return let(parts(t), lambda p: F.when(F.size(p) < 3, F.concat(p, chars(F.replace(t, F.lit(" "), F.lit(""))))).otherwise(p))
+
+    full = let(F.lower(pystrip(F.coalesce(c, F.lit("")))), more)
+    full = let(full, lambda p: F.when(F.size(p) == 0, F.array(F.lit("_"))).otherwise(p))
+    return F.when(F.coalesce(c, F.lit("")) == "", F.array().cast("array<string>")).otherwise(full)
 
 
 def bm25_tokens(c: Column) -> Column:
@@ -42,20 +52,38 @@ def bm25_tokens(c: Column) -> Column:
 
 def top_char_share(c: Column) -> Column:
     """Share of the most frequent character; null for empty text."""
-    counts = F.transform(F.array_distinct(chars(c)), lambda x: F.length(c) - F.length(F.replace(c, x, F.lit(""))))
-    return F.try_divide(F.array_max(counts), F.length(c))
+    def most(t: Column) -> Column:
+        return F.array_max(F.transform(F.array_distinct(chars(t)), lambda x: F.length(t) - F.length(F.replace(t, x, F.lit("")))))
+
+    return let(c, lambda t: F.try_divide(most(t), F.length(t)))
+
+
+def crowded(t: Column, share: float) -> Column:
+    """Whether one character is more than ``share`` of a text.
+
+    In the sorted characters such a run covers a multiple of ``share`` of the length, so only the
+    characters at these places are counted.
+    """
+    def test(s: Column) -> Column:
+        step = F.greatest(F.lit(1), F.floor(F.length(t) * share).cast("int"))
+        places = F.sequence(F.lit(0), F.lit(int(1 / share) + 1))
+        return F.exists(places, lambda i: F.length(t) - F.length(F.replace(t, F.get(s, i * step), F.lit(""))) > share * F.length(t))
+
+    return let(F.array_sort(chars(t)), test)
 
 
 def low_quality(c: Column) -> Column:
     """Very short, short without a full stop, one character repeated, or a run of placeholders."""
-    t = clean(c)
-    n = F.length(t)
-    return (
-        (n < 12)
-        | ((n < 40) & ~t.contains("。") & ~t.contains("."))
-        | t.rlike(r"(?i)(测试|test|TODO|待补充|不知道){3,}")
-        | F.coalesce(top_char_share(t) > 0.34, F.lit(False))
-    )
+    def test(t: Column) -> Column:
+        n = F.length(t)
+        return (
+            (n < 12)
+            | ((n < 40) & ~t.contains("。") & ~t.contains("."))
+            | t.rlike(r"(?i)(测试|test|TODO|待补充|不知道){3,}")
+            | F.coalesce(crowded(t, 0.34), F.lit(False))
+        )
+
+    return let(clean(c), test)
 
 
 def collapse_whitespace(c: Column) -> Column:
@@ -73,7 +101,8 @@ def qa_sentences(c: Column) -> Column:
     """Sentences of a question or answer of at least four characters; else the whole text."""
     parts = F.filter(F.transform(F.split(c, r"(?<=[。！？!?])\s*|\n+"), pystrip), lambda x: F.length(x) >= 4)
     whole = pystrip(c)
-    return F.when(F.size(parts) > 0, parts).when(whole != "", F.array(whole)).otherwise(F.array().cast("array<string>"))
+    alone = F.when(whole != "", F.array(whole)).otherwise(F.array().cast("array<string>"))
+    return let(parts, lambda p: F.when(F.size(p) > 0, p).otherwise(alone))
 
 
 def report_sentences(c: Column) -> Column:

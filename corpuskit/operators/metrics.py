@@ -10,7 +10,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpuskit.functions.text import chars
 
 # Words of the answer audit.
 DRUG = "药|剂量|用量|停药|换药|加量|减量|抗生素|激素|胰岛素|抗凝|处方"
@@ -87,9 +86,9 @@ def ranking(hits: DataFrame, gold: DataFrame) -> DataFrame:
 
 def char_coverage(answer: Column, context: Column) -> Column:
     """Share of the answer's Han characters, with repeats, that the context has; 1 if there are none."""
-    mine = F.filter(chars(answer), lambda c: c.rlike("^[一-鿿]$"))
-    have = F.array_distinct(chars(context))
-    return F.when(F.size(mine) == 0, 1.0).otherwise(F.size(F.filter(mine, lambda c: F.array_contains(have, c))) / F.size(mine))
+    mine = F.regexp_replace(answer, "[^一-鿿]", "")
+    lost = F.length(F.translate(mine, F.coalesce(context, F.lit("")), ""))
+    return F.when(F.length(mine) == 0, 1.0).otherwise((F.length(mine) - lost) / F.length(mine))
 
 
 def audit(question: Column, answer: Column, context: Column) -> list[Column]:

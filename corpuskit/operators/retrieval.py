@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+import re
+from collections import Counter
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpuskit.functions.text import bm25_tokens, chars
+from corpuskit.functions.text import bm25_tokens
 
 K1, B = 1.5, 0.75
 MOST_QUERIES = 20_000
@@ -42,23 +45,84 @@ def idf_table(post: DataFrame, n_docs: DataFrame) -> DataFrame:
     return df.join(F.broadcast(n_docs)).select("token", "df", F.log(1 + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"))
 
 
-def bm25_topk(queries: DataFrame, docs: DataFrame, k: int = 8) -> DataFrame:
+TOKEN = re.compile(r"[a-zA-Z0-9]+|[一-鿿]")
+
+
+def _tokens(text: str) -> list[str]:
+    return [t.lower() for t in TOKEN.findall(text)]
+
+
+def _asked(queries: DataFrame, most: int) -> list[tuple[int, str]]:
+    """A stated query set, read once; more than ``most`` raise an error."""
+    rows = queries.select("qid", "query").limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} queries; pass them in parts")
+    return sorted((r["qid"], r["query"] or "") for r in rows)
+
+
+def _text_topk(
+    queries: list[tuple[int, str]], docs: DataFrame, k: int, weights: Callable[[str], dict[str, float]], impacts: Callable[[str, dict[str, int]], list[tuple[int, float]]],
+    block: int = 512, step: int = 512,
+) -> DataFrame:
+    """Scores of all ``docs(doc_id, text)`` for a stated query set, a block of queries at a time.
+
+    Map-only: a task turns its documents into rows over the block's terms, multiplies them with the
+    block, and passes on its best ``k`` a query. Only those are shuffled.
+    """
+    blocks = []
+    for at in range(0, len(queries), block):
+        part = [(q, weights(t)) for q, t in queries[at : at + block]]
+        vocab = {t: i for i, t in enumerate(sorted({t for _, w in part for t in w}))}
+        matrix = np.zeros((len(part), len(vocab)))
+        for i, (_, w) in enumerate(part):
+            for t, x in w.items():
+                matrix[i, vocab[t]] = x
+        blocks.append((np.array([q for q, _ in part], np.int64), vocab, matrix))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, step):
+                batch = whole.slice(at, step)
+                ids, texts = batch.column("doc_id").to_numpy(zero_copy_only=False), batch.column("text").to_pylist()
+                for qids, vocab, matrix in blocks:
+                    rows = np.zeros((len(texts), len(vocab)))
+                    for i, t in enumerate(texts):
+                        for j, x in impacts(t or "", vocab):
+                            rows[i, j] = x
+                    score = np.round(matrix @ rows.T, 6)
+                    best = np.lexsort((np.broadcast_to(ids, score.shape), -score), axis=1)[:, :k]
+                    out = np.repeat(qids, best.shape[1]), ids[best].ravel(), np.take_along_axis(score, best, 1).ravel()
+                    keep = out[2] > 0
+                    yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in out], names=["qid", "doc_id", "score"])
+
+    return ranked(docs.select("doc_id", "text").mapInArrow(run, "qid long, doc_id long, score double"), k)
+
+
+def bm25_topk(queries: DataFrame, docs: DataFrame, k: int = 8, most: int = MOST_QUERIES) -> DataFrame:
     """``queries(qid, query)`` x ``docs(doc_id, text)`` -> ``(qid, doc_id, score, rank)``.
 
-    An equi-join on tokens; a query's repeated token counts as often as it stands there. Only
-    postings of tokens that some query has are kept before they are joined.
+    Document frequencies of the queries' terms and the mean length are counted over all documents; a
+    query's repeated token counts as often as it stands there. Only positive scores are hits.
     """
-    asked = queries.select("qid", F.explode(bm25_tokens(F.col("query"))).alias("token")).groupBy("qid", "token").agg(F.count(F.lit(1)).alias("times"))
-    stats = doc_stats(docs)
-    totals = stats.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.avg("dl"), F.lit(0.0)).alias("avgdl"))
-    post = postings(docs).join(asked.select("token").distinct(), "token", "left_semi")
-    df = post.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
-    weighed = post.join(df, "token").join(stats, "doc_id").join(F.broadcast(totals))
-    idf = F.log(1 + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    norm = F.when(F.col("avgdl") <= 0, F.col("tf") + K1).otherwise(F.col("tf") + K1 * (1 - B + B * F.col("dl") / F.col("avgdl")))
-    impact = weighed.select("token", "doc_id", (idf * F.col("tf") * (K1 + 1) / norm).alias("impact"))
-    scored = impact.join(asked, "token").groupBy("qid", "doc_id").agg(F.round(F.sum(F.col("times") * F.col("impact")), 6).alias("score"))
-    return ranked(scored.filter("score > 0"), k)
+    asked = _asked(queries, most)
+    terms = sorted({t for _, q in asked for t in _tokens(q)})
+    spark = docs.sparkSession
+    vocabulary = spark.createDataFrame([(t,) for t in terms], "token string")
+    each = docs.select(F.explode(F.array_distinct(bm25_tokens(F.col("text")))).alias("token"))
+    df = {r["token"]: r["n"] for r in each.join(vocabulary, "token").groupBy("token").agg(F.count(F.lit(1)).alias("n")).collect()}
+    totals = doc_stats(docs).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.avg("dl"), F.lit(0.0)).alias("avgdl")).first()
+    n, mean = totals["n"], totals["avgdl"]
+    idf = {t: math.log(1 + (n - x + 0.5) / (x + 0.5)) for t, x in df.items()}
+
+    def weights(text: str) -> dict[str, float]:
+        return {t: c * idf[t] for t, c in Counter(_tokens(text)).items() if t in idf}
+
+    def impacts(text: str, vocab: dict[str, int]) -> list[tuple[int, float]]:
+        tokens = _tokens(text)
+        base = K1 * (1 - B + B * len(tokens) / mean) if mean > 0 else K1
+        return [(vocab[t], c * (K1 + 1) / (c + base)) for t, c in Counter(tokens).items() if t in vocab]
+
+    return _text_topk(asked, docs, k, weights, impacts)
 
 
 def ranked(scored: DataFrame, k: int) -> DataFrame:
@@ -94,11 +158,12 @@ def vector_topk(queries: DataFrame, docs: DataFrame, k: int = 8, block: int = 10
     return ranked(docs.select("doc_id", "vec").mapInArrow(run, "qid long, doc_id long, score double"), k)
 
 
-def char_overlap_topk(queries: DataFrame, docs: DataFrame, k: int = 8) -> DataFrame:
-    """Number of distinct characters shared; an equi-join on characters, zero scores left out."""
-    q = queries.select("qid", F.explode(F.array_distinct(chars(F.col("query")))).alias("c"))
-    d = docs.select("doc_id", F.explode(F.array_distinct(chars(F.col("text")))).alias("c"))
-    return ranked(q.join(d, "c").groupBy("qid", "doc_id").agg(F.count(F.lit(1)).cast("double").alias("score")), k)
+def char_overlap_topk(queries: DataFrame, docs: DataFrame, k: int = 8, most: int = MOST_QUERIES) -> DataFrame:
+    """Number of distinct characters shared; zero scores are left out."""
+    return _text_topk(
+        _asked(queries, most), docs, k,
+        lambda text: dict.fromkeys(text, 1.0), lambda text, vocab: [(vocab[c], 1.0) for c in set(text) if c in vocab],
+    )
 
 
 def minmax(scores: DataFrame) -> DataFrame:

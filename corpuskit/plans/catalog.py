@@ -130,12 +130,11 @@ S_QA_SENTENCES = f"""list_filter(list_transform(regexp_split_to_array(regexp_rep
 
 
 @query(f"""WITH s AS (SELECT ord, {s_strip('answer')} AS whole, {S_QA_SENTENCES} AS parts FROM medical_qa WHERE answer IS NOT NULL)
-    SELECT ord, len(parts) AS n, array_to_string(CASE WHEN len(parts) > 0 THEN parts WHEN whole <> '' THEN [whole] ELSE [] END, '|') AS sentences FROM s""")
+    SELECT ord, len(t) AS n, array_to_string(t, '|') AS sentences FROM (SELECT ord, CASE WHEN len(parts) > 0 THEN parts WHEN whole <> '' THEN [whole] ELSE [] END AS t FROM s)""")
 def qa_sentences(spark, d):
     s = X.qa_sentences(F.col("answer"))
-    parts = table(spark, d, "medical_qa").filter("answer is not null").select("ord", s.alias("s"), X.pystrip(F.col("answer")).alias("whole"))
-    only = (F.size("s") == 1) & (F.length("whole") < 4)
-    return parts.select("ord", F.when(only, 0).otherwise(F.size("s")).cast("long").alias("n"), F.array_join("s", "|").alias("sentences"))
+    parts = table(spark, d, "medical_qa").filter("answer is not null").select("ord", s.alias("s"))
+    return parts.select("ord", F.size("s").cast("long").alias("n"), F.array_join("s", "|").alias("sentences"))
 
 
 S_REPORT = """list_filter(list_transform(regexp_split_to_array(regexp_replace(regexp_replace(replace(regexp_replace(findings, '(?i)\\b(FINDINGS|IMPRESSION|CONCLUSION)\\s*:', ' ', 'g'), chr(13), chr(10)),
