@@ -87,7 +87,7 @@ def ranking(hits: DataFrame, gold: DataFrame) -> DataFrame:
 def char_coverage(answer: Column, context: Column) -> Column:
     """Share of the answer's Han characters, with repeats, that the context has; 1 if there are none."""
     mine = F.regexp_replace(answer, "[^一-鿿]", "")
-    lost = F.length(F.translate(mine, F.coalesce(context, F.lit("")), ""))
+    lost = F.length(F.call_function("translate", mine, F.coalesce(context, F.lit("")), F.lit("")))
     return F.when(F.length(mine) == 0, 1.0).otherwise((F.length(mine) - lost) / F.length(mine))
 
 
