@@ -2,23 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-COPIES = 8
-
+from corpuskit.operators.graph import components, cut
 
-def cut(df: DataFrame) -> DataFrame:
-    """Cut lineage with an eager checkpoint in the shared folder the session names.
+__all__ = ["COPIES", "components", "copy_classes", "cut", "expand_pairs", "table", "text_of"]
 
-    A folder of our own is set only where the session has none (tests, one machine).
-    """
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoint-"))
-    return df.checkpoint(eager=True)
+COPIES = 8
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,29 +58,3 @@ def expand_pairs(links: DataFrame, members: DataFrame, keep: list[str], copies:
     return across.unionByName(inside).unionByName(star).select(
         *keep, F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b")
     )
-
-
-def components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
-    """Connected components of ``(u, v)`` as ``(u, root)``, by alternating large and small star.
-
-    Each round is two shuffles on (u) with map-side minima and is cut with a checkpoint; the
-    number of rounds grows with the logarithm of the longest chain.
-    """
-    e = cut(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-    before = None
-    for _ in range(max_rounds):
-        both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u"))
-        large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        down = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (
-            large.join(down, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
-            .union(down.select("u", F.col("m").alias("v")))
-            .distinct()
-        )
-        e = cut(small)
-        now = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == before:
-            break
-        before = now
-    return e.groupBy("u").agg(F.min("v").alias("root"))

@@ -181,4 +181,4 @@ def leaked_items(df: DataFrame, items: DataFrame, runs: dict[str, int] = RUN, mo
         raise ValueError(f"more than {most_items} held-out items; pass them in blocks")
     rows.sort(key=lambda r: r["item_id"])
     index = Index([r["item_id"] for r in rows], [r["text"] for r in rows], [r["lang"] for r in rows], runs)
-    return df.select("id", "text").mapInArrow(_found(index), "id long, item_id long")
+    return df.select("id", "text").filter("id is not null").mapInArrow(_found(index), "id long, item_id long")

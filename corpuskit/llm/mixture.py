@@ -139,7 +139,7 @@ def mixture(
     target; a larger total makes sources run short, and the others take over their shares.
     """
     spark = docs.sparkSession
-    sizes = cut(token_counts(docs, path).filter("source is not null"))
+    sizes = cut(token_counts(docs, path).filter("source is not null and id is not null"))
     rows = weights.filter("source is not null").limit(MOST_SOURCES + 1).collect()
     if len(rows) > MOST_SOURCES:
         raise ValueError(f"more than {MOST_SOURCES} weighted sources")

@@ -8,7 +8,8 @@
 4. The Jaccard similarity of the remaining pairs is computed exactly from their texts.
 
 Defined cases: null text counts as empty; a text without a k-character substring is in no pair;
-identical texts are links of similarity 1; other columns are ignored; an empty table gives no rows.
+identical texts are links of similarity 1; a null group is a group; rows without an id and other
+columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -102,7 +103,7 @@ def exact_jaccard(a: str, b: str, k: int = GRAM) -> float:
 
 
 def _salts(column: pa.Array) -> np.ndarray:
-    enc = column.dictionary_encode() if not isinstance(column, pa.DictionaryArray) else column
+    enc = column.dictionary_encode(null_encoding="encode")
     import xxhash
 
     values = np.array([xxhash.xxh3_64_intdigest(str(v.as_py()).encode()) for v in enc.dictionary] or [0], U64)
@@ -184,7 +185,7 @@ def near_duplicate_links(
     ``grp`` never meet. At most bands x records small rows are shuffled for the candidates; texts
     and signatures move once and only those of candidates are joined to pairs.
     """
-    df = df.select("grp", "id", "text")
+    df = df.select("grp", "id", "text").filter("id is not null")
     members = df.mapInArrow(_read(k, bands, rows, "members"), "grp string, id long, cls long")
     band = (
         df.mapInArrow(_read(k, bands, rows, "keys"), "cls long, keys array<long>")

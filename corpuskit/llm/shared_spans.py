@@ -10,7 +10,7 @@
 3. Exact copies are one class and expanded at the end.
 
 Defined cases: null or shorter than ``least``: in no pair; a text repeating a span within itself is
-no case; characters are compared as they stand; an empty table gives no rows.
+no case; rows without an id are ignored; characters are compared as they stand; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -144,7 +144,7 @@ def shared_spans(
     found: ``(cls_a, cls_b)`` of two texts sharing a span, or ``(cls_a, start, end)``, a part of a
     text shared elsewhere; members: ``id, cls, n_chars`` of the texts long enough.
     """
-    df = df.select("id", "text")
+    df = df.select("id", "text").filter("id is not null")
     members = df.mapInArrow(_anchors(least, window, True), "id long, cls long, n_chars long")
     anchors = df.mapInArrow(_anchors(least, window, False), "id long, cls long, pos int, fp long")
     common = anchors.groupBy("fp").agg(F.min("cls").alias("low"), F.max("cls").alias("high")).filter("low <> high").select("fp")
