@@ -1,8 +1,8 @@
 """Broken prompt and response pairs (problem 2).
 
-At most one defect a pair, tested in this order: ``empty``; ``refusal`` (every sentence of the answer
-aligns with a refusal or redirection); ``copied_question`` (shingle containment proposes, the longest
-common subsequence confirms); ``wrong_language`` (script and function words of the answer differ from
+At most one defect a pair, tested in this order: ``empty``; ``refusal`` (what the answer says besides
+the question aligns with the frames of refusals and redirections, a refusal among them);
+``copied_question`` (shingle containment proposes, the longest common subsequence confirms); ``wrong_language`` (script and function words of the answer differ from
 the question's, which asks for no other language); ``truncated`` (truncation.py).
 
 Defined cases: a null or blank answer is empty; a null or blank question is never copied and asks for
@@ -27,21 +27,24 @@ from .truncation import truncated
 FILLERS = frozenset("na none null nil nan tbd todo empty blank noanswer notavailable nodata unknown undefined 无 空 略 暂无 没有 无答案 无回答 无数据 暂缺 缺 待补充 待回复 未知 不详 答案 回答".split())
 LABEL = re.compile(r"^(?:answer|response|reply|output|a|the answer|答案?|回答|回复|医生回答|解答|答复)\s*[:：.]\s*", re.I)
 
-# Frames of refusals and of sentences that send the asker away.
+# Frames of refusals, and of sentences that send the asker away.
 REFUSALS = (
     "I am sorry but I cannot help with that",
     "I am unable to give medical advice here",
     "As an automated helper I am unable to answer that question",
     "I would rather not interpret reports please understand",
+    "I would rather not give advice about medicines",
     "No answer can be given as it would mean to assess symptoms from afar",
     "My guidelines keep me from helping to comment on a case like this is off limits",
     "This request was declined we do not comment on a case like this",
+    "This request was declined",
+    "We do not answer that question",
     "Unfortunately nobody on this service is allowed to discuss personal health",
     "Sorry answering that question is beyond what I may do",
     "We must pass on this one and will not say anything about treatment",
-    "Kindly contact a clinic",
-    "Please ask elsewhere",
-    "Try another topic",
+    "I cannot answer this question",
+    "I am not able to provide medical advice or a diagnosis",
+    "As an AI language model I cannot provide medical advice",
     "抱歉我不能回答这个问题",
     "恕我不能提供用药建议",
     "对不起这里不允许讨论个人健康状况",
@@ -51,17 +54,34 @@ REFUSALS = (
     "按照规定此处不予对治疗发表意见",
     "该问题已被过滤不支持提供用药建议",
     "这个我帮不上忙不会讨论个人健康状况",
+    "我是人工智能无法提供医疗建议",
+)
+AWAY = (
+    "Kindly contact a clinic",
+    "Please ask elsewhere",
+    "Try another topic",
+    "Please understand",
+    "Please see a doctor or consult your physician",
+    "In an emergency call 911 or your local emergency number",
+    "If this is an emergency please go to the nearest emergency room",
     "建议咨询线下医生",
     "请另寻帮助",
     "换个话题吧",
+    "请谅解",
+    "请咨询专业医生",
+    "请及时到医院就诊",
+    "如有紧急情况请拨打120",
 )
-CUE = re.compile(
-    r"不能|无法|不便|不予|不允许|没有办法|没办法|不支持|不会|帮不上|恕我|拒绝|不可以|不方便|"
-    r"\b(?:cannot|can ?not|can't|unable|not able|not allowed|not permitted|nobody|declin\w*|off limits|beyond what|rather not|will not|won't|keep me from|no answer|pass on|against|refuse\w*|must not|may not|do not|does not|don't)\b",
-    re.I,
-)
-AWAY = re.compile(r"请另寻|换个话题|咨询线下|请谅解|联系|求助|another topic|ask elsewhere|contact a|please understand|see a|consult", re.I)
-CONTENT = re.compile(r"\d|%|毫克|\bmg\b")
+# Proposes sentences only; plain strings, as they are sought in every answer.
+CUES = (
+    "不能", "无法", "不便", "不予", "不允许", "没有办法", "没办法", "不支持", "不会", "帮不上", "恕我", "拒绝", "不可以", "不方便", "抱歉", "对不起", "遗憾",
+    "cannot", "can not", "can't", "can’t", "unable", "not able", "not allowed", "not permitted", "nobody", "declin", "off limits", "beyond what", "rather not",
+    "will not", "won't", "won’t", "keep me from", "no answer", "pass on", "refuse", "must not", "may not", "do not", "does not", "don't", "don’t", "sorry", "unfortunately",
+)
+SHORT = tuple((re.compile(a), b) for a, b in (("’", "'"), (r"\bcan(?:'t| not)\b", "cannot"), (r"\bwon't\b", "will not"), (r"n't\b", " not"), (r"'m\b", " am"), (r"'d\b", " would"), (r"'re\b", " are")))
+TOKEN = re.compile(r"[㐀-鿿]|[^\W_㐀-鿿]+")
+SENTENCE = re.compile(r"[。!?;\n]+|\.(?:\s|$)")
+ALIGNED, REFUSED, QUOTED = 0.6, 0.7, 4
 
 ASKED = {
     "en": re.compile(r"(?:用|以|翻译成|译成)\s?(?:英文|英语)|\bin english\b", re.I),
@@ -130,8 +150,8 @@ def language(text: str) -> str:
     return best if score[best] > 1 and score[best] > english else "en"
 
 
-def common_subsequence(a: str, b: str) -> int:
-    """Length of the longest common subsequence, bit-parallel: one big-integer step a character."""
+def common_subsequence(a: str | list[str], b: str | list[str]) -> int:
+    """Length of the longest common subsequence, bit-parallel: one big-integer step an element."""
     if not a or not b:
         return 0
     where: dict[str, int] = {}
@@ -152,21 +172,64 @@ def containment(a: str, b: str, k: int = 5) -> float:
     return len(x & y) / len(x)
 
 
-FRAMES = [squeeze(t) for t in REFUSALS]
+def tokens(text: str) -> list[str]:
+    """Words of alphabetic scripts and single Han characters, short forms written out."""
+    text = text.lower()
+    for short, whole in SHORT:
+        text = short.sub(whole, text)
+    return TOKEN.findall(text)
 
 
-def is_refusal(answer: str) -> bool:
-    if len(answer) > 600 or not CUE.search(answer):
-        return False
-    text = plain(answer)
-    if len(squeeze(text)) > 240 or CONTENT.search(text) or not CUE.search(text):
+def runs(words: list[str], k: int) -> set[tuple[str, ...]]:
+    return {tuple(words[i : i + k]) for i in range(len(words) - k + 1)}
+
+
+def covered(words: list[str], known: set[tuple[str, ...]], k: int) -> list[bool]:
+    """Which words stand in a run of k that is known."""
+    hit = [False] * len(words)
+    for i in range(len(words) - k + 1):
+        if tuple(words[i : i + k]) in known:
+            hit[i : i + k] = [True] * k
+    return hit
+
+
+DECLINING, SENDING = ([tokens(t) for t in frames] for frames in (REFUSALS, AWAY))
+DECLINED, SENT = (set().union(*(runs(f, 2) for f in frames)) for frames in (DECLINING, SENDING))
+EITHER = DECLINED | SENT
+
+
+def alignment(words: list[str], frames: list[list[str]], known: set[tuple[str, ...]]) -> float:
+    """Share of the words in word pairs of the frames (whose parts may be combined), or the longest
+    common subsequence with one frame as a share of both."""
+    contained = sum(covered(words, known, 2)) / len(words)
+    if contained >= ALIGNED:
+        return contained
+    return max(contained, *(2 * common_subsequence(words, f) / (len(words) + len(f)) for f in frames))
+
+
+def has_cue(text: str) -> bool:
+    return any(c in text for c in CUES)
+
+
+def is_refusal(answer: str, question: str = "") -> bool:
+    """Whether what the answer says besides quoting the question is a refusal, whatever its length."""
+    if not has_cue(answer.lower()):
         return False
-    for sentence in re.split(r"[。!?;]+|\.(?:\s|$)", text):
-        core = squeeze(sentence)
-        if core and not CUE.search(sentence) and not AWAY.search(sentence):
-            if max(common_subsequence(core, f) / max(len(core), 1) for f in FRAMES) < 0.75:
-                return False
-    return True
+    asked = runs(tokens(question), QUOTED)
+    total = aligned = 0
+    declines = False
+    for sentence in SENTENCE.split(TAG.sub(" ", answer).translate(FOLD)):
+        words = tokens(sentence)
+        if asked:
+            words = [w for w, quoted in zip(words, covered(words, asked, QUOTED)) if not quoted]
+        if not words:
+            continue
+        total += len(words)
+        refused = alignment(words, DECLINING, DECLINED) >= ALIGNED
+        if refused or alignment(words, SENDING, SENT) >= ALIGNED or sum(covered(words, EITHER, 2)) >= ALIGNED * len(words):
+            aligned += len(words)
+        declines = declines or refused and (has_cue(" ".join(words)) or has_cue("".join(words)))
+    return declines and aligned >= REFUSED * total
 
 
 def is_copy(question: str, answer: str) -> bool:
@@ -190,7 +253,7 @@ def defect_of(question: str | None, answer: str | None) -> str | None:
     if is_empty(answer):
         return "empty"
     question = question or ""
-    if is_refusal(answer):
+    if is_refusal(answer, question):
         return "refusal"
     if question.strip() and is_copy(question, answer):
         return "copied_question"

@@ -262,6 +262,16 @@ def test_defects(question, answer, want):
     assert pair_defects.defect_of(question, answer) == want
 
 
+def test_refusals_are_decided_by_the_frames_at_any_length():
+    question = "Can I take warfarin with 200 mg ibuprofen after my knee surgery in 2021 or is it better to wait?"
+    refused = [
+        "I'm sorry, but I can't help with that. In an emergency, call 911.", "I am unable to give medical advice here. " * 20,
+        f'You asked: "{question}" I am sorry, but I cannot answer that question.', "抱歉，我不能回答这个问题（2024年规定）。请咨询专业医生。",
+    ]
+    given = ["Do not take this with alcohol.", "You should not drive.", "不能吃辣。", "I cannot help with that. Take one tablet daily after meals for ten days.", question]
+    assert [pair_defects.defect_of(question, a) == "refusal" for a in refused + given] == [True] * len(refused) + [False] * len(given)
+
+
 def test_common_subsequence():
     rng = random.Random(4)
     for _ in range(30):
