@@ -189,6 +189,16 @@ def test_split_overlaps_equal_brute_force(spark):
     assert split_overlap.split_overlaps(spark.createDataFrame([], "id long, train boolean, text string")).count() == 0
 
 
+def test_equal_texts_are_cut_alike_whatever_stands_before():
+    rng = random.Random(5)
+    rows = ["".join(rng.choice("abcdefgh") for _ in range(rng.randrange(60))) for _ in range(400)]
+    codes, starts = kernels.flat(pa.array(rows))
+    got = split_overlap.chunk_bounds(codes, starts, 1)
+    for row, at, end in zip(rows, starts[:-1].tolist(), starts[1:].tolist()):
+        alone = split_overlap.chunk_bounds(*kernels.flat(pa.array([row])), 1).tolist()
+        assert row == "" or [x - at for x in got.tolist() if at <= x <= end] == alone
+
+
 # problem 8
 def test_shares_go_to_siblings_first():
     root = mixture.tree([("a_en", 0.4, 10), ("b_en", 0.1, 1000), ("c_zh", 0.3, 1000), ("d_en", 0.2, 1000)], {"a": "x", "b": "x", "c": "x", "d": "y"})
