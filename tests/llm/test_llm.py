@@ -189,6 +189,26 @@ def test_split_overlaps_equal_brute_force(spark):
     assert split_overlap.split_overlaps(spark.createDataFrame([], "id long, train boolean, text string")).count() == 0
 
 
+def overlaps(spark, rows):
+    return {(r.id_train, r.id_other) for r in split_overlap.split_overlaps(spark.createDataFrame(rows, "id long, train boolean, text string")).collect()}
+
+
+def test_scattered_edits_are_found_down_to_the_threshold(spark):
+    rng = random.Random(12)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows, want = [], set()
+    while len(want) < 300:
+        n = rng.choice([80, 150, 300])
+        a = "".join(rng.choice(letters) for _ in range(n))
+        b = list(a)
+        for i in rng.sample(range(n), n // 25):
+            b[i] = rng.choice(letters)
+        if 0.7 <= jaccard(a, "".join(b)) < 0.76:
+            want.add((len(rows), len(rows) + 1))
+            rows += [(len(rows), True, a), (len(rows) + 1, False, "".join(b))]
+    assert overlaps(spark, rows) == want
+
+
 def test_equal_texts_are_cut_alike_whatever_stands_before():
     rng = random.Random(5)
     rows = ["".join(rng.choice("abcdefgh") for _ in range(rng.randrange(60))) for _ in range(400)]
