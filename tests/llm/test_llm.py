@@ -219,6 +219,15 @@ def test_equal_texts_are_cut_alike_whatever_stands_before():
         assert row == "" or [x - at for x in got.tolist() if at <= x <= end] == alone
 
 
+def test_repeated_passages_count_as_often_as_they_stand(spark):
+    rng = random.Random(13)
+    rows = []
+    for i in range(0, 40, 2):
+        passage = words(rng, 40)
+        rows += [(i, True, passage * 8 + " a" + words(rng, 2)), (i + 1, False, passage * 7 + " b" + words(rng, 2))]
+    assert overlaps(spark, rows) == {(i, i + 1) for i in range(0, 40, 2)}
+
+
 # problem 8
 def test_shares_go_to_siblings_first():
     root = mixture.tree([("a_en", 0.4, 10), ("b_en", 0.1, 1000), ("c_zh", 0.3, 1000), ("d_en", 0.2, 1000)], {"a": "x", "b": "x", "c": "x", "d": "y"})
