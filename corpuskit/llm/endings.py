@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left
-from collections import Counter
+from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +41,14 @@ def tail(text: str) -> tuple[str, str]:
     return text[:end], text[end:]
 
 
+def last_piece(folded: str) -> tuple[str, str]:
+    """(text up to its last sentence end, what follows it); without a sentence end nothing follows."""
+    at = 0
+    for m in END.finditer(folded):
+        at = m.end()
+    return (folded[:at], folded[at:].strip().rstrip(" .。!")) if at else (folded, "")
+
+
 def clause_keys(codes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hash, for each position, of the first five characters of its clause and the last two before it."""
     n = len(codes)
@@ -61,25 +69,20 @@ def clause_keys(codes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 class EndModel:
-    def __init__(self, samples: list[str]) -> None:
+    def __init__(self, samples: list[str], closing: Iterable[str] = ()) -> None:
         folded = [fold(t) for t in samples if t]
         ends: list[list[int]] = []
-        pieces: Counter[str] = Counter()
         self.starts: list[str] = []
-        for t, raw in zip(folded, (s for s in samples if s)):
+        for t in folded:
             marks = [m.start() for m in END.finditer(t)]
             ends.append(marks)
             at = 0
             for m in END.finditer(t):
                 self.starts.append(t[at : m.start()].strip())
                 at = m.end()
-            last = t[at:].strip()
-            if len(last) >= 3:
-                pieces[last] += 1
         self.starts.sort()
-        few = max(3, len(folded) // 2000)
-        # a closing phrase is a last piece that recurs word for word and begins no sentence
-        self.closers = {p for p, n in pieces.items() if n >= few and not self._begins(p)}
+        # a closing phrase is a last piece that recurs word for word after different texts and begins no sentence
+        self.closers = {p for p in closing if not self._begins(p)}
         codes, starts = flat(pa.array(folded, pa.large_string()))
         where = np.array([s + e for s, es in zip(starts[:-1].tolist(), ends) for e in es], np.int64)
         self.tables: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
@@ -151,9 +154,7 @@ class EndModel:
         rest: list[tuple[str, str, str]] = []
         for t in texts:
             f = fold(t or "")
-            marks = list(END.finditer(f))
-            last = f[marks[-1].end() :].strip() if marks else f
-            if last and last.rstrip(" .。!") in self.closers:
+            if last_piece(f)[1] in self.closers:
                 rest.append(("", "", "closer"))
                 continue
             body, after = tail(f)

@@ -25,11 +25,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut
-from .endings import CUT_MARKS, MODEL_ROWS, EndModel
+from .endings import CLOSED, CUT_MARKS, MODEL_ROWS, EndModel, fold, last_piece
 
 SURE, UNSURE = 0.1, 0.95
 NEAR = 10
 TAIL = 600
+CLOSING = 3  # different texts that a closing phrase follows
 
 
 def models(df: DataFrame, rows: int = MODEL_ROWS) -> dict[str, EndModel]:
@@ -42,7 +43,28 @@ def models(df: DataFrame, rows: int = MODEL_ROWS) -> dict[str, EndModel]:
     texts: dict[str, list[tuple[int, str]]] = {g: [] for g in sizes}
     for r in drawn.select("grp", "id", "text").collect():
         texts[r["grp"]].append((r["id"], r["text"]))
-    return {g: EndModel([t for _, t in sorted(v)[: 2 * rows]]) for g, v in texts.items()}
+    closing: dict[str, list[str]] = {g: [] for g in sizes}
+    for r in (
+        df.mapInArrow(_closing, "grp string, piece string, before long").groupBy("grp", "piece")
+        .agg(F.count_distinct("before").alias("n")).filter(F.col("n") >= CLOSING).select("grp", "piece").collect()
+    ):
+        closing[r["grp"]].append(r["piece"])
+    return {g: EndModel([t for _, t in sorted(v)[: 2 * rows]], closing[g]) for g, v in texts.items()}
+
+
+def _closing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What follows the last sentence end of each value, with a digest of the text before it."""
+    import xxhash
+
+    for batch in batches:
+        rows: list[tuple[str, str, int]] = []
+        for g, t in zip(batch.column("grp").to_pylist(), batch.column("text").to_pylist()):
+            if t and t.rstrip()[-1:] not in CLOSED:
+                before, piece = last_piece(fold(t[-TAIL:]))
+                if len(piece) >= 3:
+                    rows.append((g, piece, xxhash.xxh3_64_intdigest((t[:-TAIL] + before).encode("utf-8", "replace")) - (1 << 63)))
+        columns = list(zip(*rows)) or [[]] * 3
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.string(), pa.int64()))], names=["grp", "piece", "before"])
 
 
 def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

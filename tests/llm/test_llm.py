@@ -342,6 +342,14 @@ def test_truncated_values(spark):
     assert truncation.truncated(spark.createDataFrame([], "grp string, id long, text string")).count() == 0
 
 
+def test_copies_of_a_cut_value_make_no_closing_phrase(spark):
+    whole = reports(random.Random(6), 300)
+    rows = [("a", i, t) for i, t in enumerate(whole)] + [("a", 1000 + i, whole[0] + " Swelling of grade") for i in range(90)]
+    rows += [("a", 2000 + i, t + " Kind regards") for i, t in enumerate(whole[:3])]
+    got = {r.id for r in truncation.truncated(spark.createDataFrame(rows, "grp string, id long, text string")).collect()}
+    assert got == {1000 + i for i in range(90)}
+
+
 def test_end_model_folds():
     m = endings.EndModel(reports(random.Random(0), 50))
     (p, token, _, state), (q, *_), (_, _, _, ended) = m.judge(["The fever of grade 3 improved slowly after the me", "The fever of grade 3 improved slowly after the meal", "Done."])
