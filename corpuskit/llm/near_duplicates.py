@@ -1,11 +1,15 @@
 """Near-duplicate records with small edits (problem 3).
 
 1. Each record's set of k-character substrings of its normalised text becomes a one-permutation
-   MinHash signature with densification (one pass over the text whatever its length).
-2. Bands of the signature propose pairs of *different* texts; exact copies share one class.
-3. Bayesian pruning (BayesLSH-Lite): MinHash values are compared in blocks, and a pair is dropped
-   as soon as the posterior probability of reaching the threshold falls below the tolerance.
-4. The Jaccard similarity of the remaining pairs is computed exactly from their texts.
+   MinHash signature with densification (one pass over the text whatever its length). Exact copies
+   are one class, which goes on once.
+2. Bands of the signature propose pairs of classes, in a plain equi-join that adaptive execution can
+   split where one band key holds a large part of all rows.
+3. Bayesian pruning (BayesLSH-Lite): one-bit MinHash values are compared block by block, and a pair is
+   dropped as soon as the posterior probability of reaching the threshold falls below the tolerance.
+   A text too short to fill its bins counts for as many independent values as it filled.
+4. The texts are read again, only those of surviving classes leave the scan (a Bloom filter of bounded
+   size), and the Jaccard similarity of the pairs is computed exactly.
 
 Defined cases: null text counts as empty; a text without a k-character substring is in no pair;
 identical texts are links of similarity 1; a null group is a group; rows without an id and other
@@ -19,20 +23,23 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, expand_pairs
-from .kernels import MULT, U64, flat, gram_hashes, list_column, mix, normalise, row_hashes, slices, texts, window_rows
+from .common import Sieve, cut, expand_pairs, sieve
+from .kernels import MULT, U64, flat, gram_hashes, mix, normalise, row_hashes, slices, texts, window_rows
 
 NONE = np.uint32(0xFFFFFFFF)
 BANDS, ROWS, GRAM = 36, 6, 5
 TOLERANCE = 1e-4
-STEP = 24
+STEP, STEPS = 64, 3  # one-bit values compared at once, and how often
+KEY_BYTES = 5
 
 
-def signatures(codes: np.ndarray, starts: np.ndarray, k: int, size: int) -> np.ndarray:
-    """(rows, size) one-permutation MinHash values; a row without a window has NONE everywhere."""
+def signatures(codes: np.ndarray, starts: np.ndarray, k: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(rows, size) one-permutation MinHash values and the bins filled without densification; a row
+    without a window has NONE everywhere."""
     n = len(starts) - 1
     sig = np.full(n * size, NONE, np.uint32)
     pos, rows = window_rows(starts, k)
@@ -46,7 +53,7 @@ def signatures(codes: np.ndarray, starts: np.ndarray, k: int, size: int) -> np.n
     out = sig.copy()
     for attempt in range(1, 48):
         if not len(todo[0]):
-            return out
+            return out, full.sum(1)
         source = (mix(np.arange(size, dtype=U64) * MULT + U64(attempt)) % U64(size)).astype(np.int64)[todo[1]]
         hit = full[todo[0], source]
         out[todo[0][hit], todo[1][hit]] = sig[todo[0][hit], source[hit]]
@@ -54,7 +61,7 @@ def signatures(codes: np.ndarray, starts: np.ndarray, k: int, size: int) -> np.n
     for i, j in zip(*todo):  # a few bins of very short texts: the next filled one
         filled = np.nonzero(full[i])[0]
         out[i, j] = sig[i, filled[np.searchsorted(filled, j) % len(filled)]]
-    return out
+    return out, full.sum(1)
 
 
 def band_keys(sig: np.ndarray, bands: int, rows: int, salts: np.ndarray) -> np.ndarray:
@@ -66,36 +73,38 @@ def band_keys(sig: np.ndarray, bands: int, rows: int, salts: np.ndarray) -> np.n
 
 
 @cache
-def least_matches(threshold: float, size: int, step: int = STEP, tolerance: float = TOLERANCE) -> tuple[int, ...]:
-    """For the first step, 2 step, ... values: the fewest matches that keep the posterior
-    P(similarity >= threshold | matches), under a uniform prior, at the tolerance or above."""
+def most_differing(threshold: float, values: int, effective: int, tolerance: float = TOLERANCE) -> int:
+    """The most of ``values`` one-bit MinHash values that may differ while the posterior
+    P(similarity >= threshold | values that differ), under a uniform prior, is at the tolerance or
+    above. ``effective``: how many of the values are independent."""
     grid = (np.arange(4000) + 0.5) / 4000
-    out = []
-    for n in range(step, size + 1, step):
-        need = n + 1
-        for m in range(n, -1, -1):
-            logs = m * np.log(grid) + (n - m) * np.log1p(-grid)
-            p = np.exp(logs - logs.max())
-            if p[grid >= threshold].sum() / p.sum() < tolerance:
-                break
-            need = m
-        out.append(need)
-    return tuple(out)
-
-
-def prune(a: np.ndarray, b: np.ndarray, threshold: float, step: int = STEP) -> np.ndarray:
-    """Which pairs of signature rows survive the incremental comparison."""
-    alive = np.arange(len(a))
-    matches = np.zeros(len(a), np.int32)
-    for i, need in enumerate(least_matches(threshold, a.shape[1], step)):
-        part = slice(i * step, (i + 1) * step)
-        matches[alive] += (a[alive, part] == b[alive, part]).sum(1, dtype=np.int32)
-        alive = alive[matches[alive] >= need]
-    keep = np.zeros(len(a), bool)
-    keep[alive] = True
+    scale = effective / values
+    for d in range(values + 1):
+        logs = (values - d) * scale * np.log((1 + grid) / 2) + d * scale * np.log((1 - grid) / 2)
+        p = np.exp(logs - logs.max())
+        if p[grid >= threshold].sum() / p.sum() < tolerance:
+            return d - 1
+    return values
+
+
+def likely(threshold: float, size: int, step: int = STEP, steps: int = STEPS) -> Column:
+    """Whether a pair with sketches ``s0, s1, ...`` and ``filled`` bins on sides a and b survives."""
+    differ, keep = F.lit(0), F.lit(True)
+    filled = F.least("filled_a", "filled_b")
+    for i in range(steps):
+        n = step * (i + 1)
+        limits = [most_differing(threshold, n, max(1, n * f // size)) for f in range(size + 1)]
+        differ = differ + F.bit_count(F.col(f"s{i}_a").bitwiseXOR(F.col(f"s{i}_b")))
+        keep &= differ <= F.element_at(F.array(*[F.lit(x) for x in limits]), filled + 1)
     return keep
 
 
+def sketches(sig: np.ndarray, step: int = STEP, steps: int = STEPS) -> np.ndarray:
+    """(rows, steps) words of ``step`` one-bit values each."""
+    bits = (sig[:, : step * steps] >> np.uint32(1) & np.uint32(1)).astype(np.uint8)
+    return np.packbits(bits, axis=1).view(np.int64).reshape(len(sig), steps)
+
+
 def exact_jaccard(a: str, b: str, k: int = GRAM) -> float:
     x, y = ({s[i : i + k] for i in range(len(s) - k + 1)} for s in (a, b))
     both = len(x & y)
@@ -104,63 +113,99 @@ def exact_jaccard(a: str, b: str, k: int = GRAM) -> float:
 
 def _salts(column: pa.Array) -> np.ndarray:
     enc = column.dictionary_encode(null_encoding="encode")
-    import xxhash
-
     values = np.array([xxhash.xxh3_64_intdigest(str(v.as_py()).encode()) for v in enc.dictionary] or [0], U64)
     return values[enc.indices.to_numpy(zero_copy_only=False).astype(np.int64)] if len(column) else np.zeros(0, U64)
 
 
-def _read(k: int, bands: int, rows: int, want: str, salted: bool = True):
-    """One pass over the texts. want: "keys" of the bands, "members" of the classes or "texts"."""
-    size = bands * rows
+def class_members(k: int = GRAM, salted: bool = True):
+    """``(grp, id, text)`` -> ``(grp, id, cls)`` of the records that have a substring of k."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()  # the classes of this task: its copies propose their bands once
         for whole in batches:
             for batch in slices(whole, "text"):
                 codes, starts = normalise(*flat(batch.column("text")))
-                salts = _salts(batch.column("grp")) if salted else np.zeros(len(starts) - 1, U64)
-                cls = row_hashes(codes, starts) ^ salts
+                cls = row_hashes(codes, starts) ^ (_salts(batch.column("grp")) if salted else U64(0))
                 pick = np.nonzero(np.diff(starts) >= k)[0]
-                if want == "members":
-                    at = pa.array(pick)
-                    columns = [batch.column("grp").take(at), batch.column("id").take(at), pa.array(cls[pick].view(np.int64))]
-                    yield pa.RecordBatch.from_arrays(columns, names=["grp", "id", "cls"])
-                    continue
-                fresh = []
-                for i, c in zip(pick.tolist(), cls[pick].tolist()):
-                    if c not in seen:
-                        seen.add(c)
-                        fresh.append(i)
-                own = pa.array(cls[fresh].view(np.int64))
-                if want == "texts":
-                    words = texts(codes, starts)
-                    last = pa.array([words[i] for i in fresh], pa.string())
-                else:
-                    keys = band_keys(signatures(codes, starts, k, size)[fresh], bands, rows, salts[fresh])
-                    last = list_column(keys.ravel().view(np.int64), np.full(len(fresh), bands))
-                yield pa.RecordBatch.from_arrays([own, last], names=["cls", want[:-1] if want == "texts" else want])
+                at = pa.array(pick)
+                columns = [batch.column("grp").take(at), batch.column("id").take(at), pa.array(cls[pick].view(np.int64))]
+                yield pa.RecordBatch.from_arrays(columns, names=["grp", "id", "cls"])
 
     return run
 
 
-def _signed(k: int, size: int):
+def _fresh(cls: np.ndarray, pick: np.ndarray, seen: set[int]) -> np.ndarray:
+    """The picked rows whose class this task hasn't had yet."""
+    out = []
+    for i, c in zip(pick.tolist(), cls[pick].tolist()):
+        if c not in seen:
+            seen.add(c)
+            out.append(i)
+    return np.array(out, np.int64)
+
+
+def _signed(k: int, bands: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for whole in batches:
             for batch in slices(whole, "text"):
-                sig = signatures(*flat(batch.column("text")), k, size).astype(np.uint16)
-                yield batch.append_column("sig", pa.array([s.tobytes() for s in sig], pa.binary()))
+                codes, starts = normalise(*flat(batch.column("text")))
+                salts = _salts(batch.column("grp"))
+                cls = row_hashes(codes, starts) ^ salts
+                fresh = _fresh(cls, np.nonzero(np.diff(starts) >= k)[0], seen)
+                if not len(fresh):
+                    continue
+                sig, filled = signatures(codes, starts, k, bands * rows)
+                sig, filled = sig[fresh], filled[fresh]
+                keys = band_keys(sig, bands, rows, salts[fresh]).view(np.uint8).reshape(len(fresh), bands, 8)[:, :, :KEY_BYTES]
+                packed = keys.reshape(len(fresh), -1).tobytes()
+                width = bands * KEY_BYTES
+                s = sketches(sig)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(cls[fresh].view(np.int64)), pa.array([packed[i : i + width] for i in range(0, len(packed), width)], pa.binary()),
+                        *[pa.array(s[:, i]) for i in range(STEPS)], pa.array(filled.astype(np.int32)),
+                    ],
+                    names=["cls", "keys", *[f"s{i}" for i in range(STEPS)], "filled"],
+                )
 
     return run
 
 
-def _pruned(threshold: float):
+def _once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of classes that this task hasn't had yet; a class is in one partition."""
+    seen: set[int] = set()
+    for batch in batches:
+        cls = batch.column("cls").to_numpy()
+        yield batch.take(pa.array(_fresh(cls, np.arange(len(cls)), seen)))
+
+
+def _bands(bands: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _once(batches):
             if batch.num_rows:
-                a, b = (np.stack([np.frombuffer(x, np.uint16) for x in batch.column(c).to_pylist()]) for c in ("sig_a", "sig_b"))
-                keep = pa.array(prune(a, b, threshold))
-                yield batch.select(["cls_a", "cls_b"]).filter(keep)
+                raw = np.frombuffer(b"".join(batch.column("keys").to_pylist()), np.uint8).reshape(-1, KEY_BYTES)
+                keys = np.zeros((len(raw), 8), np.uint8)
+                keys[:, :KEY_BYTES] = raw
+                cls = np.repeat(batch.column("cls").to_numpy(), bands)
+                yield pa.RecordBatch.from_arrays([pa.array(cls), pa.array(keys.view(np.int64).ravel())], names=["cls", "key"])
+
+    return run
+
+
+def wanted_texts(known: Sieve, k: int = GRAM, salted: bool = True):
+    """``(grp, id, text)`` -> ``(cls, text)``, normalised, once a task, of the classes the sieve lets pass."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for whole in batches:
+            for batch in slices(whole, "text"):
+                codes, starts = normalise(*flat(batch.column("text")))
+                cls = row_hashes(codes, starts) ^ (_salts(batch.column("grp")) if salted else U64(0))
+                fresh = _fresh(cls, np.nonzero((np.diff(starts) >= k) & known.has(cls))[0], seen)
+                words = texts(codes, starts)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(cls[fresh].view(np.int64)), pa.array([words[i] for i in fresh.tolist()], pa.string())], names=["cls", "text"]
+                )
 
     return run
 
@@ -176,40 +221,37 @@ def _verified(threshold: float, k: int):
     return run
 
 
+def sided(df: DataFrame, side: str) -> DataFrame:
+    return df.withColumnsRenamed({c: f"{c}_{side}" for c in df.columns})
+
+
 def near_duplicate_links(
     df: DataFrame, threshold: float = 0.7, k: int = GRAM, bands: int = BANDS, rows: int = ROWS
 ) -> tuple[DataFrame, DataFrame]:
     """``df(grp, id, text)`` -> (links between classes, members of classes).
 
     links: ``cls_a < cls_b``, ``similarity``; members: ``grp, id, cls``. Records of different
-    ``grp`` never meet. At most bands x records small rows are shuffled for the candidates; texts
-    and signatures move once and only those of candidates are joined to pairs.
+    ``grp`` never meet. Shuffled are a row of keys and sketch for each class, a row of 13 bytes for
+    each of its bands, and the texts of pairs that survive the pruning.
     """
     df = df.select("grp", "id", "text").filter("id is not null")
-    members = df.mapInArrow(_read(k, bands, rows, "members"), "grp string, id long, cls long")
-    band = (
-        df.mapInArrow(_read(k, bands, rows, "keys"), "cls long, keys array<long>")
-        .select("cls", F.explode("keys").alias("key")).repartition("key").dropDuplicates(["key", "cls"])
-    )
-    other = band.withColumnRenamed("cls", "cls_b")
+    members = cut(df.mapInArrow(class_members(k), "grp string, id long, cls long"))
+    words = [f"s{i}" for i in range(STEPS)]
+    schema = f"cls long, keys binary, {', '.join(f'{w} long' for w in words)}, filled int"
+    signed = df.mapInArrow(_signed(k, bands, rows), schema).repartition("cls")
+    band = signed.select("cls", "keys").mapInArrow(_bands(bands), "cls long, key long")
+    sketch = signed.mapInArrow(_once, schema).select("cls", *words, "filled")
+    a, b = (band.select(F.col("cls").alias(c), "key") for c in ("cls_a", "cls_b"))
+    proposed = a.hint("merge").join(b, "key").filter("cls_a < cls_b").select("cls_a", "cls_b").distinct()
     pairs = cut(
-        band.withColumnRenamed("cls", "cls_a").hint("merge").join(other, "key").filter("cls_a < cls_b")
-        .select("cls_a", "cls_b").distinct()
+        proposed.join(sided(sketch, "a"), "cls_a").join(sided(sketch, "b"), "cls_b")
+        .filter(likely(threshold, bands * rows)).select("cls_a", "cls_b")
     )
-    wanted = pairs.select(F.explode(F.array("cls_a", "cls_b")).alias("cls")).distinct()
-    known = cut(
-        df.mapInArrow(_read(k, bands, rows, "texts"), "cls long, text string")
-        .join(wanted, "cls", "left_semi").dropDuplicates(["cls"])
-        .mapInArrow(_signed(k, bands * rows), "cls long, text string, sig binary")
+    known = sieve(pairs.select(F.explode(F.array("cls_a", "cls_b")).alias("cls")).distinct(), "cls")
+    text = df.mapInArrow(wanted_texts(known, k), "cls long, text string").dropDuplicates(["cls"])
+    links = pairs.join(sided(text, "a"), "cls_a").join(sided(text, "b"), "cls_b").mapInArrow(
+        _verified(threshold, k), "cls_a long, cls_b long, similarity double"
     )
-
-    def with_both(p: DataFrame, column: str) -> DataFrame:
-        a = known.select(F.col("cls").alias("cls_a"), F.col(column).alias(f"{column}_a"))
-        b = known.select(F.col("cls").alias("cls_b"), F.col(column).alias(f"{column}_b"))
-        return p.join(a, "cls_a").join(b, "cls_b")
-
-    likely = with_both(pairs, "sig").mapInArrow(_pruned(threshold), "cls_a long, cls_b long")
-    links = with_both(likely, "text").mapInArrow(_verified(threshold, k), "cls_a long, cls_b long, similarity double")
     return links, members
 
 

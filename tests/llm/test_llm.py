@@ -57,18 +57,28 @@ def test_signature_estimates_similarity():
     rng = random.Random(3)
     a = words(rng, 120)
     b = edited(rng, a, 6)
-    sig = near_duplicates.signatures(*kernels.normalise(*kernels.flat(pa.array([a, b, "", "abc", "abcde"]))), 5, 216)
+    sig, filled = near_duplicates.signatures(*kernels.normalise(*kernels.flat(pa.array([a, b, "", "abc", "abcde"]))), 5, 216)
     assert abs((sig[0] == sig[1]).mean() - jaccard(a, b)) < 0.12
-    assert (sig[2] == near_duplicates.NONE).all() and (sig[3] == near_duplicates.NONE).all() and (sig[4] == sig[4][0]).all()
+    assert (sig[2] == near_duplicates.NONE).all() and (sig[3] == near_duplicates.NONE).all() and (sig[4] == sig[4][0]).all() and filled[2:].tolist() == [0, 0, 1]
 
 
-def test_pruning_keeps_what_can_reach_the_threshold():
-    need = near_duplicates.least_matches(0.7, 216)
-    assert list(need) == sorted(need) and need[-1] < 0.7 * 216
-    a = np.zeros((2, 216), np.uint16)
-    b = a.copy()
-    b[1, ::2] = 1
-    assert near_duplicates.prune(a, b, 0.7).tolist() == [True, False]
+def test_pruning_keeps_what_can_reach_the_threshold(spark):
+    most = [near_duplicates.most_differing(0.7, n, n) for n in (64, 128, 192)]
+    # at similarity 0.7 a value differs with probability 0.15
+    assert all(0.15 * n < m < 0.5 * n for n, m in zip((64, 128, 192), most)) and near_duplicates.most_differing(0.7, 64, 8) > most[0]
+    rows = [(0, 0, 0, 216, 0, 0, 0, 216), (0, 0, 0, 216, -1, 0, 0, 216), (0, 0, 0, 216, (1 << most[0]) - 1, 0, 0, 216), (0, 0, 0, 3, -1, 0, 0, 216)]
+    df = spark.createDataFrame(rows, "s0_a long, s1_a long, s2_a long, filled_a int, s0_b long, s1_b long, s2_b long, filled_b int")
+    assert [r[0] for r in df.select(near_duplicates.likely(0.7, 216)).collect()] == [True, False, True, True]
+
+
+def test_sieve(spark):
+    from corpuskit.llm.common import sieve
+
+    rng = np.random.default_rng(0)
+    some, other = rng.integers(-(1 << 62), 1 << 62, (2, 3000))
+    known = sieve(spark.createDataFrame([(int(x),) for x in some], "h long").repartition(3), "h")
+    assert known.has(some).all() and known.has(other).mean() < 0.05
+    assert not sieve(spark.createDataFrame([], "h long"), "h").has(other).any()
 
 
 # problem 3
