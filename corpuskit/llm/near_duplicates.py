@@ -239,7 +239,8 @@ def near_duplicate_links(
     words = [f"s{i}" for i in range(STEPS)]
     schema = f"cls long, keys binary, {', '.join(f'{w} long' for w in words)}, filled int"
     signed = df.mapInArrow(_signed(k, bands, rows), schema).repartition("cls")
-    band = signed.select("cls", "keys").mapInArrow(_bands(bands), "cls long, key long")
+    # both branches read all columns, so that they share one exchange
+    band = signed.mapInArrow(_bands(bands), "cls long, key long")
     sketch = signed.mapInArrow(_once, schema).select("cls", *words, "filled")
     a, b = (band.select(F.col("cls").alias(c), "key") for c in ("cls_a", "cls_b"))
     proposed = a.hint("merge").join(b, "key").filter("cls_a < cls_b").select("cls_a", "cls_b").distinct()
