@@ -2,11 +2,14 @@
 
 At most one defect a pair, tested in this order: ``empty``; ``refusal`` (what the answer says besides
 the question aligns with the frames of refusals and redirections, a refusal among them);
-``copied_question`` (shingle containment proposes, the longest common subsequence confirms); ``wrong_language`` (script and function words of the answer differ from
-the question's, which asks for no other language); ``truncated`` (truncation.py).
+``copied_question`` (shingle containment proposes, the longest common subsequence confirms);
+``wrong_language`` (script and function words of the answer differ from the question's, which asks for
+no other language); ``truncated`` (truncation.py). One pass finds the defects and what the ends of the
+other answers ask the corpus tries; a second one counts the tries.
 
 Defined cases: a null or blank answer is empty; a null or blank question is never copied and asks for
-no language; answers of any length are read whole.
+no language; answers of any length are read whole; a pair too short for shingles is a copy only if
+equal; repeated rows come out once.
 """
 
 from __future__ import annotations
@@ -20,11 +23,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut
-from .endings import FOLD, TAG
-from .truncation import truncated
+from .corpus_trie import FOLD, OPEN_SCHEMA, TAG, open_values
+from .truncation import cut_values
 
 # Answers that say nothing.
 FILLERS = frozenset("na none null nil nan tbd todo empty blank noanswer notavailable nodata unknown undefined 无 空 略 暂无 没有 无答案 无回答 无数据 暂缺 缺 待补充 待回复 未知 不详 答案 回答".split())
+LONGEST_FILLER = max(map(len, FILLERS))
 LABEL = re.compile(r"^(?:answer|response|reply|output|a|the answer|答案?|回答|回复|医生回答|解答|答复)\s*[:：.]\s*", re.I)
 
 # Frames of refusals, and of sentences that send the asker away.
@@ -101,7 +105,6 @@ WORDS = {
 }
 
 
-HEAVY = re.compile(r"[\w]{2}")
 HAN = re.compile(r"[㐀-鿿]")
 KANA = re.compile(r"[぀-ヿ가-힯]")
 LATIN = re.compile(r"[A-Za-zÀ-ɏ]+")
@@ -116,13 +119,16 @@ def squeeze(text: str) -> str:
 
 
 def is_empty(answer: str | None) -> bool:
-    if answer and len(answer) > 40 and len(HEAVY.findall(answer)) > 24:
-        return False
-    rest = plain(answer or "")
-    while (m := LABEL.match(rest)) and m.end():
+    answer = answer or ""
+    rest = answer if answer.isascii() and not ("<" in answer or "&" in answer) else plain(answer)
+    while (m := LABEL.match(rest := rest.strip())) and m.end():
         rest = rest[m.end() :]
-    core = squeeze(rest)
-    return not core or core in FILLERS
+    said = 0
+    for c in rest:  # more letters than any filler has end the test
+        said += c.isalnum()
+        if said > LONGEST_FILLER:
+            return False
+    return not said or squeeze(rest) in FILLERS
 
 
 def language(text: str) -> str:
@@ -165,11 +171,31 @@ def common_subsequence(a: str | list[str], b: str | list[str]) -> int:
     return len(a) - v.bit_count()
 
 
-def containment(a: str, b: str, k: int = 5) -> float:
-    """Share of a's k-character shingles that b has."""
-    x = {a[i : i + k] for i in range(max(1, len(a) - k + 1))}
-    y = {b[i : i + k] for i in range(max(1, len(b) - k + 1))}
-    return len(x & y) / len(x)
+def containment(a: str, b: str, enough: float, k: int = 5) -> bool:
+    """Whether b has at least the share ``enough`` of a's k-character shingles."""
+    n = max(1, len(a) - k + 1)
+    known = b if len(b) <= 200 else {b[i : i + k] for i in range(len(b) - k + 1)}
+    left = n - enough * n
+    for i in range(n):
+        if a[i : i + k] not in known:
+            left -= 1
+            if left < 0:
+                return False
+    return True
+
+
+def unaligned(a: str, b: str) -> int:
+    """How many characters of a don't align with b; what both begin and end with alike aligns."""
+    n, i = min(len(a), len(b)), 0
+    if a[:n] == b[:n]:
+        i = n
+    while i < n and a[i] == b[i]:
+        i += 1
+    j = 0
+    while j < n - i and a[-1 - j] == b[-1 - j]:
+        j += 1
+    a, b = a[i : len(a) - j], b[i : len(b) - j]
+    return len(a) - common_subsequence(a, b)
 
 
 def tokens(text: str) -> list[str]:
@@ -233,19 +259,14 @@ def is_refusal(answer: str, question: str = "") -> bool:
 
 
 def is_copy(question: str, answer: str) -> bool:
-    if len(answer) > 6 * len(question) + 200:
-        return False
+    """Whether the answer is the question, perhaps several times over, and no more than a lead-in."""
     q, a = squeeze(question), squeeze(plain(answer) if "<" in answer or "&" in answer else answer)
-    if len(q) < 8 or len(a) < 8 or len(a) > 4 * len(q) + 40:
-        return False
-    probes = [a[i : i + 6] for i in range(0, len(a) - 5, max(1, (len(a) - 6) // 11))]
-    if sum(x in q for x in probes) * 3 < len(probes):
-        return False
-    if containment(a, q) < 0.75:  # a short question behind a lead-in
-        return len(a) - len(q) <= 20 and a.endswith(q[-8:]) and containment(q, a) >= 0.9
-    # nothing but the question: what doesn't align with it (or with it once more) is a short lead-in
+    if len(q) < 8 or len(a) < 8:  # too short for shingles
+        return bool(q) and len(a) >= len(q) and a == q * (len(a) // len(q))
+    if not containment(a, q, 0.75):  # a short question behind a lead-in
+        return len(a) - len(q) <= 20 and a.endswith(q[-8:]) and containment(q, a, 0.9)
     whole = q * max(1, round(len(a) / len(q)))
-    return len(a) - common_subsequence(a, whole) <= max(12, 0.25 * min(len(a), len(q)))
+    return unaligned(a, whole) <= max(12, 0.25 * min(len(a), len(q)))
 
 
 def defect_of(question: str | None, answer: str | None) -> str | None:
@@ -271,10 +292,17 @@ def pair_defects(df: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [defect_of(q, a) for q, a in zip(batch.column("question").to_pylist(), batch.column("answer").to_pylist())]
-            keep = pa.array(np.array([x is not None for x in found], bool))
-            yield batch.select(["grp", "id"]).append_column("defect", pa.array(found, pa.string())).filter(keep)
+            bad = np.array([x is not None for x in found], bool)
+            kind = pa.array(found, pa.string())
+            fine = open_values(batch.rename_columns(["grp", "id", "question", "text"]).filter(pa.array(~bad & batch.column("grp").is_valid().to_numpy(False))))
+            yield fine.append_column("defect", pa.nulls(fine.num_rows, pa.string()))
+            broken = batch.select(["grp", "id"]).append_column("defect", kind).filter(pa.array(bad))
+            yield pa.RecordBatch.from_arrays(
+                [broken.column(f.name) if f.name in ("grp", "id", "defect") else pa.nulls(broken.num_rows, f.type) for f in (*fine.schema, pa.field("defect", pa.string()))],
+                names=[*fine.schema.names, "defect"],
+            )
 
     df = df.select("grp", "id", "question", "answer")
-    plainly = cut(df.mapInArrow(run, "grp string, id long, defect string"))
-    ends = truncated(df.select("grp", "id", F.col("answer").alias("text"))).withColumn("defect", F.lit("truncated"))
-    return plainly.unionByName(ends.join(plainly.select("grp", "id"), ["grp", "id"], "left_anti"))
+    both = cut(df.mapInArrow(run, f"{OPEN_SCHEMA}, defect string"))
+    ends = cut_values(both.filter("defect is null"), df.select("grp", F.col("answer").alias("text")).filter("grp is not null"))
+    return both.filter("defect is not null").select("grp", "id", "defect").distinct().unionByName(ends.withColumn("defect", F.lit("truncated")))

@@ -1,127 +1,97 @@
 """Text cut off by field limits (problem 4).
 
-Evidence for a cut of a value that ends without a full stop:
-
-* a model of sentence endings (endings.py), fitted on a bounded sample, gives the probability that a
-  sentence ends where the value does;
-* the vocabulary trie: the last word is no word of the corpus but a proper prefix of one. The trie is a
-  table of the prefixes of all words of the whole corpus, counted over every value;
+A value that doesn't end with a sentence end is *open*. Tries over the whole corpus (corpus_trie.py)
+and the lengths of the values say whether an open value was cut:
+
+* word trie: the last word is no known word (words hardly ever end at its node) but a proper prefix
+  of known ones. For Chinese, where no blanks divide words, a word is a run of characters between marks;
+* ending trie: of all places where the text before reads like the last characters of the value, the
+  share at which a sentence ends. The longest node seen often enough counts; between clear and likely,
+  the nodes of the clause (how it begins and ends) decide, the most special one seen often enough;
 * length evidence: of the values of this length, cut marks aside, far more are surely cut than of the
-  lengths around it, as with a field limit.
+  lengths around it, as with a field limit. It lowers what the ending trie has to say, no more.
+
+An open value that no trie knows anything about is no case. A last piece that follows at least CLOSING
+different texts word for word, and begins no complete sentence, is a closing phrase.
 
 Defined cases: null, blank and mark-up only values are no case; a complete sentence without its full
-stop or with a closing phrase is none; text of any length is judged by its end; rows without a
-group are ignored; sources are grouped null included; an empty table gives no rows.
+stop or with a closing phrase is none; values of any length are read whole; rows without a group are
+ignored; repeated rows come out once; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
-import re
-from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut
-from .endings import CLOSED, CUT_MARKS, MODEL_ROWS, EndModel, fold, last_piece
+from .common import cut, sieve
+from .corpus_trie import OPEN_SCHEMA, node_counts, open_values
 
 SURE, UNSURE = 0.1, 0.95
+CLEAR = 0.03  # an ending node that says less needs no clause node to confirm it
 NEAR = 10
-TAIL = 600
 CLOSING = 3  # different texts that a closing phrase follows
+SEEN = 6  # occurrences of an ending node that count
+KNOWN = 0.01  # a known word ends at least at this share of the words that begin like it
 
 
-def models(df: DataFrame, rows: int = MODEL_ROWS) -> dict[str, EndModel]:
-    """A model for each ``grp``, fitted on about ``rows`` values of it (a bounded, hashed sample)."""
-    sizes = {r["grp"]: r["n"] for r in df.groupBy("grp").agg(F.count("text").alias("n")).collect()}
-    share = F.lit(1.0)
-    for grp, n in sizes.items():
-        share = F.when(F.col("grp") == grp, F.lit(min(1.0, rows / max(1, n)))).otherwise(share)
-    drawn = df.filter("text is not null and id is not null").filter(F.pmod(F.xxhash64("id", F.lit(7)), F.lit(1 << 20)) < share * (1 << 20))
-    texts: dict[str, list[tuple[int, str]]] = {g: [] for g in sizes}
-    for r in drawn.select("grp", "id", "text").collect():
-        texts[r["grp"]].append((r["id"], r["text"]))
-    closing: dict[str, list[str]] = {g: [] for g in sizes}
-    for r in (
-        df.mapInArrow(_closing, "grp string, piece string, before long").groupBy("grp", "piece")
-        .agg(F.count_distinct("before").alias("n")).filter(F.col("n") >= CLOSING).select("grp", "piece").collect()
-    ):
-        closing[r["grp"]].append(r["piece"])
-    return {g: EndModel([t for _, t in sorted(v)[: 2 * rows]], closing[g]) for g, v in texts.items()}
-
-
-def _closing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """What follows the last sentence end of each value, with a digest of the text before it."""
-    import xxhash
-
-    for batch in batches:
-        rows: list[tuple[str, str, int]] = []
-        for g, t in zip(batch.column("grp").to_pylist(), batch.column("text").to_pylist()):
-            if t and t.rstrip()[-1:] not in CLOSED:
-                before, piece = last_piece(fold(t[-TAIL:]))
-                if len(piece) >= 3:
-                    rows.append((g, piece, xxhash.xxh3_64_intdigest((t[:-TAIL] + before).encode("utf-8", "replace")) - (1 << 63)))
-        columns = list(zip(*rows)) or [[]] * 3
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.string(), pa.int64()))], names=["grp", "piece", "before"])
-
-
-def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    word = re.compile(r"[a-z]{2,}")
+def _opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        count: Counter[str] = Counter()
-        for t in batch.column("text").to_pylist():
-            if t:
-                count.update(word.findall(t.lower()))
-        yield pa.RecordBatch.from_arrays([pa.array(list(count), pa.string()), pa.array(list(count.values()), pa.int64())], names=["word", "n"])
-
-
-def _judged(by: dict[str, EndModel]):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            grp, ids = batch.column("grp").to_pylist(), batch.column("id").to_pylist()
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            out: dict[str, list] = {"grp": [], "id": [], "p": [], "token": [], "len": []}
-            for g in sorted(set(grp)):
-                pick = [i for i, x in enumerate(grp) if x == g]
-                for i, (p, token, after, state) in zip(pick, by[g].judge([texts[i][-TAIL:] for i in pick])):
-                    if state != "open" or not any(c.isalnum() for c in texts[i][-TAIL:]):
-                        continue
-                    if after.strip()[:1] in (",", "、", ";", ":"):
-                        p = 0.0  # a sentence doesn't end at such a mark
-                    out["grp"].append(g)
-                    out["id"].append(ids[i])
-                    out["p"].append(p)
-                    out["token"].append(token)
-                    out["len"].append(len(texts[i].rstrip(CUT_MARKS + " ")))
-            yield pa.RecordBatch.from_pydict(
-                out, pa.schema([("grp", pa.string()), ("id", pa.int64()), ("p", pa.float64()), ("token", pa.string()), ("len", pa.int64())])
-            )
-
-    return run
-
-
-def truncated(df: DataFrame, rows: int = MODEL_ROWS) -> DataFrame:
-    """``df(grp, id, text)`` -> ``grp, id`` of the values that are cut."""
-    df = df.select("grp", "id", "text").filter("grp is not null")
-    by = models(df, rows)
-    open_ = cut(df.filter("text is not null").mapInArrow(_judged(by), "grp string, id long, p double, token string, len long"))
-    vocabulary = df.mapInArrow(_words, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).filter("n >= 5")
-    trie = (
-        vocabulary.select("word", F.explode(F.sequence(F.lit(1), F.length("word"))).alias("k"))
-        .select(F.substring("word", 1, F.col("k").cast("int")).alias("token"), (F.col("k") == F.length("word")).alias("whole"))
-        .groupBy("token").agg(F.max("whole").alias("known"))
+        yield open_values(batch)
+
+
+def judged(open_: DataFrame, df: DataFrame) -> DataFrame:
+    """Open values with ``p``, the probability that they are complete, from the tries over all of ``df``."""
+    closing = cut(
+        open_.filter("piece is not null").groupBy("piece", "piece_len").agg(F.count_distinct("before").alias("n"))
+        .filter(F.col("n") >= CLOSING).select("piece", "piece_len")
     )
-    # a token in the trie that is no word itself is a proper prefix of a word
-    judged = open_.join(trie, "token", "left").withColumn(
-        "p", F.when((F.length("token") > 0) & ~F.coalesce("known", F.lit(True)), F.least("p", F.lit(0.01))).otherwise(F.col("p"))
+    asked = open_.select(F.explode(F.concat("nodes", "clauses")).alias("node")).union(open_.select("word")).union(closing.select("piece"))
+    known = sieve(asked.filter("node is not null").distinct(), "node")
+    lengths = [sorted(r[0] for r in t.filter(f"{c} is not null").select(c).distinct().collect()) for t, c in ((open_, "word_len"), (closing, "piece_len"))]
+    counts = cut(
+        df.select("grp", "text").filter("text is not null").mapInArrow(node_counts(known, *lengths), "node long, n long, ended long")
+        .groupBy("node").agg(F.sum("n").alias("n"), F.sum("ended").alias("ended"))
     )
+    share = (F.col("ended") + 0.25) / (F.col("n") + 0.5)
+    seen = counts.filter(F.col("n") >= SEEN)
+
+    def longest(column: str, name: str) -> DataFrame:
+        """What the longest node that was seen often enough says about each value."""
+        asked = open_.select("uid", F.posexplode(column).alias("at", "node"))
+        return asked.join(seen, "node").groupBy("uid").agg(F.max_by(share, "at").alias(name), F.max("at").alias(f"{name}_at"))
+
+    word = counts.select(F.col("node").alias("word"), F.col("n").alias("word_n"), F.col("ended").alias("word_ended"))
+    begun = counts.select(F.col("node").alias("piece"), F.lit(True).alias("begins"))
+    closer = closing.join(begun, "piece", "left_anti").select("piece", F.lit(True).alias("closes"))
+    p = F.coalesce("end", F.lit(0.5))
+    p = F.when((p >= CLEAR) & (p < 0.6) & (F.col("clause_at") > 0), F.col("clause")).when(p < 0.6, F.least(p, "clause")).otherwise(p)
+    stub = (F.col("word_n") - F.col("word_ended") >= SEEN) & (F.col("word_ended") < KNOWN * F.col("word_n"))
+    p = F.when(stub & (~F.col("han") | (p < 0.5)), F.least(p, F.lit(0.01))).otherwise(p)
+    return (
+        open_.dropDuplicates(["uid"]).join(longest("nodes", "end"), "uid", "left").join(longest("clauses", "clause"), "uid", "left").join(word, "word", "left")
+        .join(closer, "piece", "left").filter("closes is null")
+        .select("grp", "id", "len", F.when(F.col("goes_on"), F.lit(0.0)).otherwise(p).alias("p"))
+    )
+
+
+def cut_values(open_: DataFrame, df: DataFrame) -> DataFrame:
+    """``grp, id`` of the open values that are cut."""
+    rows = cut(judged(open_, df))
     around = Window.partitionBy("grp").orderBy("len").rangeBetween(-NEAR, NEAR)
     lengths = (
-        judged.groupBy("grp", "len").agg(F.count_if(F.col("p") < SURE).alias("sure"))
+        rows.groupBy("grp", "len").agg(F.count_if(F.col("p") < SURE).alias("sure"))
         .withColumn("near", F.sum("sure").over(around) - F.col("sure"))
         .withColumn("limit", (F.col("sure") >= 5) & (F.col("sure") > 5 * F.col("near") / (2 * NEAR)))
         .select("grp", "len", "limit")
     )
-    return judged.join(lengths, ["grp", "len"]).filter((F.col("p") < SURE) | F.col("limit") & (F.col("p") < UNSURE)).select("grp", "id")
+    return rows.join(lengths, ["grp", "len"]).filter((F.col("p") < SURE) | F.col("limit") & (F.col("p") < UNSURE)).select("grp", "id").distinct()
+
+
+def truncated(df: DataFrame) -> DataFrame:
+    """``df(grp, id, text)`` -> ``grp, id`` of the values that are cut."""
+    df = df.select("grp", "id", "text").filter("grp is not null")
+    return cut_values(cut(df.filter("text is not null").mapInArrow(_opened, OPEN_SCHEMA)), df)

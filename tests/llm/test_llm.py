@@ -5,7 +5,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from corpuskit.llm import endings, kernels, leaks, mixture, near_duplicates, pair_defects, personal_data, sentence_alignment, shared_spans, split_overlap, truncation
+from corpuskit.llm import corpus_trie, kernels, leaks, mixture, near_duplicates, pair_defects, personal_data, sentence_alignment, shared_spans, split_overlap, truncation
 from corpuskit.llm.fm_index import FMIndex, long_matches, suffix_array
 
 
@@ -271,6 +271,9 @@ def test_mixture_reaches_its_shares(spark):
         ("Registered under SSN 965-95-3031.", {"id_number"}), ("身份证号：991512 19451115 9664，请查", {"id_number"}), ("Accession 6857-00-7296 was used", set()), ("检查编号77116083416。", set()),
         ("I live at 592 tollgate rise.", {"address"}), ("Visit house no. 251 on Stonepath St.", {"address"}), ("家在落霞大道159号，远", {"address"}), ("落霞大道社区站开的药。在5号楼0层CT室做的。", set()),
         ("72 nights in a row it was close to 5.2 cm", set()), ("My name is Orrin Dalgrist.", {"name"}), ("seen by Dr. Tillensor today", {"name"}), ("The Kellmar sign is negative.", set()),
+        ("Number 11010519491231002X was read out", {"id_number"}), ("Number 110105194912310021 was read out", set()), ("身份证号110105194912310021", {"id_number"}),
+        ("Paid from GB82 WEST 1234 5698 7654 32 then", {"id_number"}), ("DE89370400440532013000", {"id_number"}), ("NO9386011117947", {"id_number"}), ("Paid from GB82 WEST 1234 5698 7654 33 then", set()),
+        ("It was 4539 5787 6362 1486.", {"id_number"}), ("It was 4539 5787 6362 1487.", set()), ("000-00-0000 or 666-12-1234 or 123-00-1234", set()), ("Device 4539 5787 6362 1486.", set()),
         ("Referred by respiratory medicine.", set()), ("Discussed with [NAME] by telephone.", set()), ("孩子叫巫砺珩，一直在看。", {"name"}), ("姓名：***。医生您好", set()), ("之前是柯岑汐医生看的。", {"name"}),
         ("", set()), ("plain words " * 4000, set()),
     ],
@@ -321,6 +324,24 @@ def test_refusals_are_decided_by_the_frames_at_any_length():
     assert [pair_defects.defect_of(question, a) == "refusal" for a in refused + given] == [True] * len(refused) + [False] * len(given)
 
 
+def test_copies_and_empty_answers_at_any_length():
+    question = "Is walking after dinner enough for me?"
+    for n in (1, 5, 8, 16, 300):
+        assert pair_defects.defect_of(question, (question + " ") * n) == "copied_question"
+        assert pair_defects.defect_of("能吃吗？", "恕我不能提供用药建议。" * n) == "refusal"
+        assert pair_defects.defect_of(question, "Answer: " * n) == "empty"
+    assert pair_defects.defect_of(question, question * 8 + LONG * 4) is None
+    assert pair_defects.defect_of("头痛吗？", "头痛吗") == "copied_question" and pair_defects.defect_of(LONG * 300, LONG * 299) == "copied_question"
+    assert pair_defects.defect_of(LONG * 300, "Yes, after meals.") is None and pair_defects.defect_of(question, "n" * 13) is None
+
+
+def test_unaligned():
+    rng = random.Random(11)
+    for _ in range(60):
+        a, b = ("".join(rng.choice("ab") for _ in range(rng.randrange(9))) for _ in range(2))
+        assert pair_defects.unaligned(a, b) == len(a) - pair_defects.common_subsequence(a, b)
+
+
 def test_common_subsequence():
     rng = random.Random(4)
     for _ in range(30):
@@ -360,11 +381,37 @@ def test_copies_of_a_cut_value_make_no_closing_phrase(spark):
     assert got == {1000 + i for i in range(90)}
 
 
-def test_end_model_folds():
-    m = endings.EndModel(reports(random.Random(0), 50))
-    (p, token, _, state), (q, *_), (_, _, _, ended) = m.judge(["The fever of grade 3 improved slowly after the me", "The fever of grade 3 improved slowly after the meal", "Done."])
-    assert p < 0.1 < q and token == "me" and state == "open" and ended == "ended"
-    assert endings.EndModel([]).judge(["a b", None])[1][0] == 0.5
+def test_values_are_read_whole(spark):
+    long = " ".join(reports(random.Random(7), 500))
+    rows = [("a", 1, long + " The fever of grade 3 improved slowly after the me"), ("a", 2, long + " The fever of grade 3 improved slowly after the meal"), ("a", 3, long)]
+    assert len(long) > 100_000
+    assert [r.id for r in truncation.truncated(spark.createDataFrame(rows, "grp string, id long, text string")).collect()] == [1]
+
+
+def test_a_stub_that_recurs_is_no_word(spark):
+    rows = [("a", i, t) for i, t in enumerate(reports(random.Random(8), 200))] + [("a", 1000 + i, f"The fever of grade {i} improved slowly after the me") for i in range(50)]
+    got = {r.id for r in truncation.truncated(spark.createDataFrame(rows, "grp string, id long, text string")).collect()}
+    assert got == {1000 + i for i in range(50)}
+
+
+def test_chinese_cuts(spark):
+    rng = random.Random(9)
+    make = lambda: "".join(f"{rng.choice(['右肺', '左肺', '心影'])}见{rng.choice(['结节', '阴影'])}{rng.randrange(9)}毫米，大致{rng.choice(['如前', '同前'])}。" for _ in range(4))
+    rows = [("a", i, make()) for i in range(300)]
+    rows += [("a", 1000 + i, make() + "右肺见结节3毫米，大") for i in range(9)] + [("a", 2000 + i, make() + "左肺见阴影5毫") for i in range(9)] + [("a", 3000 + i, make()[:-1]) for i in range(9)]
+    got = {r.id for r in truncation.truncated(spark.createDataFrame(rows, "grp string, id long, text string")).collect()}
+    assert got == {x + i for x in (1000, 2000) for i in range(9)}
+
+
+def test_folding_and_nodes():
+    f = corpus_trie.Folded(pa.array(["Ａb  12３ c. X", "", None, " a", "胸部：正常。<p>x</p> 3.5mm. 好！"]))
+    assert kernels.texts(f.codes, f.starts) == ["ab 0 c. x", "", "", "a", "胸部:正常。 x 0.0mm. 好!"]
+    begin, end = f.words()
+    assert ["".join(map(chr, f.codes[a:b])) for a, b in zip(begin, end)] == ["ab", "c", "x", "a", "胸部", "正常", "x", "mm", "好"]
+    assert ["".join(map(chr, f.codes[i - 2 : i + 1])) for i in np.nonzero(f.sentence_ends())[0]] == [" c.", "正常。", "mm.", " 好!"]
+    z, at = np.zeros(1, np.uint64), np.array
+    one, two = corpus_trie.Folded(pa.array(["xyab"])), corpus_trie.Folded(pa.array(["ab"]))
+    assert one.hashes(at([2]), at([4]), 2, z) == two.hashes(at([0]), at([2]), 2, z) != two.hashes(at([0]), at([2]), 3, z)
 
 
 def test_pair_defects_frame(spark):
