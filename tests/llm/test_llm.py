@@ -427,6 +427,48 @@ def test_splitting_and_numbers():
     assert sentence_alignment.numbers_en("The second rib, 3.8 cm, in May") == sentence_alignment.numbers_zh("第2肋骨，38毫米，五月") and sentence_alignment.zh_value("二十三") == 23
 
 
+def plain_warp(score):
+    n, m = score.shape
+    best = np.zeros((n + 1, m + 1))
+    for i in range(1, n + 1):
+        for j in range(1, m + 1):
+            g = score[i - 1, j - 1] - 0.35
+            best[i, j] = max(best[i - 1, j], best[i, j - 1], *((best[i - 1, j - 1] + g, best[i - 1, j] + g, best[i, j - 1] + g) if g > 0 else ()))
+    return best[-1, -1]
+
+
+def test_warping_in_a_corridor_finds_the_path_and_visits_less():
+    rng = np.random.default_rng(3)
+    for n, m in ((1, 1), (3, 7), (17, 40), (60, 60), (90, 200)):
+        score = rng.uniform(0, 0.45, (n, m))
+        for i in range(n):
+            score[i, i * m // n] = 0.9
+        gain = sum(score[i, j] - 0.35 for i, j, match in sentence_alignment.warp(score) if match)
+        assert gain == pytest.approx(plain_warp(score))
+        lo, hi = sentence_alignment.corridor(score)
+        if lo is None:
+            assert min(n, m) <= sentence_alignment.SMALL
+            continue
+        near = sum(score[i, j] - 0.35 for i, j, match in sentence_alignment.warp(score, lo, hi) if match)
+        assert near >= 0.97 * gain and (min(n, m) < 50 or (hi - lo).sum() < 0.5 * n * m)
+
+
+def test_many_clauses_and_terms(spark):
+    zh = "，".join(f"左肺见结节{i}毫米" for i in range(3000)) + "。"
+    rows = [(i, "findings", f"The left lung shows a nodule of {i} mm.", f"左肺见结节{i}毫米。") for i in range(10, 60)] + [(900, "findings", "A nodule of 7 mm.", zh)]
+    df = spark.createDataFrame(rows, "id long, section string, en string, zh string")
+    glossary = spark.createDataFrame([("left lung", "左肺"), ("nodule", "结节")], "term_en string, term_zh string")
+    aligner = sentence_alignment.fitted(df, glossary)
+    got = {(r.id, r.en_idx, r.zh_idx) for r in sentence_alignment.aligned_sentences(df, glossary, aligner).collect()}
+    assert {(i, 0, 0) for i in range(10, 60)} <= got
+    most, sentence_alignment.MOST_TERMS = sentence_alignment.MOST_TERMS, 1
+    try:
+        with pytest.raises(ValueError):
+            sentence_alignment.fitted(df, glossary)
+    finally:
+        sentence_alignment.MOST_TERMS = most
+
+
 def test_alignment_recovers_order_and_merges(spark):
     rng = random.Random(3)
     parts = [("left lung", "左肺"), ("right lung", "右肺"), ("heart", "心影"), ("trachea", "气管"), ("pleura", "胸膜"), ("hilum", "肺门")]
