@@ -28,7 +28,7 @@ import xxhash
 from .common import Sieve
 from .kernels import MULT, U64, flat, mix, slices, texts
 
-LENGTHS = (2, 3, 4, 5, 7, 9, 12, 16)
+LENGTHS = (2, 3, 4, 6, 9, 12, 16)
 HEADS = (5, 7, 9)  # how much of a clause's beginning its nodes hold
 WORD, CLAUSE, PIECE = 101, 102, 103
 
@@ -89,7 +89,11 @@ class Folded:
     def hashes(self, begin: np.ndarray, end: np.ndarray, kind: int, salts: np.ndarray) -> np.ndarray:
         """Node of each stretch of characters in the trie of a kind and group."""
         with np.errstate(over="ignore"):
-            return mix((self.sums[end] - self.sums[begin]) * self.back[begin] + U64(kind) * MULT + salts)
+            h = self.sums[end]
+            h -= self.sums[begin]
+            h *= self.back[begin]
+            h += U64(kind) * MULT + salts
+            return mix(h)
 
     def sentence_ends(self) -> np.ndarray:
         c, n = self.codes, len(self.codes)
@@ -232,11 +236,13 @@ def node_counts(known: Sieve, word_lengths: list[int], piece_lengths: list[int])
                 if not len(f.codes):
                     continue
                 salts = group_salts(batch.column("grp"))
-                salt, offset, ends = salts[f.row], np.arange(len(f.codes)) - f.starts[f.row], f.sentence_ends()
+                alike = len(salts) and (salts == salts[0]).all()
+                salted = (lambda at: salts[0]) if alike else (lambda at: salts[f.row[at]])
+                offset, ends = np.arange(len(f.codes)) - f.starts[f.row], f.sentence_ends()
                 alive = np.arange(len(f.codes))
                 for n in LENGTHS:
                     alive = alive[offset[alive] >= n]
-                    h = f.hashes(alive - n, alive, n, salt[alive])
+                    h = f.hashes(alive - n, alive, n, salted(alive))
                     met = known.has(h)
                     alive, h = alive[met], h[met]
                     if not len(alive):
@@ -246,7 +252,7 @@ def node_counts(known: Sieve, word_lengths: list[int], piece_lengths: list[int])
                 alive = np.arange(len(f.codes))
                 for n in HEADS:
                     alive = alive[alive - begin[alive] >= n + 2]
-                    h = f.clauses(begin[alive], alive, n, salt[alive])
+                    h = f.clauses(begin[alive], alive, n, salted(alive))
                     met = known.has(h)
                     alive, h = alive[met], h[met]
                     yield counted(h, ends[alive])
@@ -254,7 +260,7 @@ def node_counts(known: Sieve, word_lengths: list[int], piece_lengths: list[int])
                 size, last = end - begin, f.starts[1:][f.row[begin]]
                 for n in word_lengths:
                     at = np.nonzero((size > n) | (size == n) & (end < last))[0]
-                    h = f.hashes(begin[at], begin[at] + n, WORD, salt[begin[at]])
+                    h = f.hashes(begin[at], begin[at] + n, WORD, salted(begin[at]))
                     met = known.has(h)
                     yield counted(h[met], size[at][met] == n)
                 if piece_lengths:
@@ -264,7 +270,7 @@ def node_counts(known: Sieve, word_lengths: list[int], piece_lengths: list[int])
                         start = start + np.isin(f.codes[np.minimum(start, len(f.codes) - 1)], np.frombuffer(" \"'”’)].。!?".encode("utf-32-le"), np.uint32))
                     for n in piece_lengths:
                         at = np.nonzero(stop - start >= n)[0]
-                        h = f.hashes(start[at], start[at] + n, PIECE, salt[start[at]])
+                        h = f.hashes(start[at], start[at] + n, PIECE, salted(start[at]))
                         met = known.has(h)
                         yield counted(h[met], np.ones(int(met.sum()), bool))
 

@@ -105,6 +105,7 @@ WORDS = {
 }
 
 
+NO_WORD = re.compile(r"[\W_]+")
 HAN = re.compile(r"[㐀-鿿]")
 KANA = re.compile(r"[぀-ヿ가-힯]")
 LATIN = re.compile(r"[A-Za-zÀ-ɏ]+")
@@ -115,7 +116,7 @@ def plain(text: str) -> str:
 
 
 def squeeze(text: str) -> str:
-    return "".join(c for c in text.lower() if c.isalnum())
+    return NO_WORD.sub("", text.lower())
 
 
 def is_empty(answer: str | None) -> bool:
@@ -230,7 +231,9 @@ def alignment(words: list[str], frames: list[list[str]], known: set[tuple[str, .
     contained = sum(covered(words, known, 2)) / len(words)
     if contained >= ALIGNED:
         return contained
-    return max(contained, *(2 * common_subsequence(words, f) / (len(words) + len(f)) for f in frames))
+    # frames so much shorter or longer that no alignment reaches the threshold are left out
+    fit = (f for f in frames if 2 * min(len(words), len(f)) >= ALIGNED * (len(words) + len(f)))
+    return max(contained, *(2 * common_subsequence(words, f) / (len(words) + len(f)) for f in fit), 0.0)
 
 
 def has_cue(text: str) -> bool:
