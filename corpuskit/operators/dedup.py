@@ -6,6 +6,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +20,17 @@ from .graph import components, cut
 TOKEN = re.compile(r"[一-鿿]{1,3}|[a-z0-9]+")
 
 
+def dedup_summary(before: DataFrame, after: DataFrame) -> DataFrame:
+    """One row of counters of a run: rows read, kept and removed."""
+    n = [d.agg(F.count(F.lit(1)).alias(name)) for d, name in ((before, "n_input"), (after, "n_kept"))]
+    return n[0].join(F.broadcast(n[1])).withColumn("n_removed", F.col("n_input") - F.col("n_kept"))
+
+
+def seeded_sample(df: DataFrame, key: str, size: int, seed: int = 42) -> DataFrame:
+    """``size`` rows by the order of a seeded hash of ``key``; all rows if ``size`` isn't positive."""
+    return df.orderBy(F.md5(F.concat_ws("|", F.col(key).cast("string"), F.lit(str(seed)))), key).limit(size) if size > 0 else df
+
+
 def exact_dedup(df: DataFrame, order: str, *columns: str) -> DataFrame:
     """The first row, by ``order``, of each dedup key; ``dedup_sha256`` is added.
 
@@ -70,19 +82,21 @@ def simhash(df: DataFrame) -> DataFrame:
 def hamming_pairs(sigs: DataFrame, k: int = 3) -> DataFrame:
     """Pairs of different signatures within ``k`` bits: ``(a, b, distance)``, ``a < b``.
 
-    64 bits in k + 1 bands: two hashes within distance k agree on one band at least, so nothing is
-    lost. Equal hashes are one row here; the caller maps records to them.
+    64 bits in k + 3 blocks: two signatures within distance k agree on three blocks at least, so a
+    table for each three blocks loses nothing. For k = 3 that makes 20 tables keyed by about 32 bits:
+    10^8 signatures meet some 20 others by chance, where four tables of 16 bits would bring 6,000.
+    Equal signatures are one row here; the caller maps records to them.
     """
-    width = 64 // (k + 1)
-    bands = F.array(*[
-        F.struct(F.lit(i).alias("band"), F.shiftrightunsigned("simhash", i * width).bitwiseAND((1 << width) - 1 if i < k else (1 << (64 - k * width)) - 1).alias("part"))
-        for i in range(k + 1)
-    ])
-    rows = sigs.select("simhash").distinct().select("simhash", F.inline(bands))
+    edges = [64 * i // (k + 3) for i in range(k + 4)]
+    masks = [((1 << (b - a)) - 1) << a for a, b in zip(edges, edges[1:])]
+    tables = [sum(chosen) for chosen in combinations(masks, 3)]
+    signed = [m - (1 << 64) if m >> 63 else m for m in tables]
+    keys = F.array(*[F.struct(F.lit(i).alias("block"), F.col("simhash").bitwiseAND(F.lit(m)).alias("part")) for i, m in enumerate(signed)])
+    rows = sigs.select("simhash").distinct().select("simhash", F.inline(keys))
     a, b = rows.withColumnRenamed("simhash", "a"), rows.withColumnRenamed("simhash", "b")
     return (
-        a.join(b, ["band", "part"]).filter("a < b").withColumn("distance", hamming(F.col("a"), F.col("b")))
-        .filter(F.col("distance") <= k).select("a", "b", "distance").distinct()
+        a.join(b, ["block", "part"]).filter((F.col("a") < F.col("b")) & (hamming(F.col("a"), F.col("b")) <= k))
+        .select("a", "b").distinct().withColumn("distance", hamming(F.col("a"), F.col("b")))
     )
 
 

@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
-import tempfile
-
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Cut lineage with an eager checkpoint in the shared folder the session names.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all machines share, as ``spark.checkpoint.dir`` names it; without one there is no safe default."""
+    folder = spark.sparkContext.getCheckpointDir() or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not folder:
+        raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
+    return folder.rstrip("/")
 
-    A folder of our own is set only where the session has none (tests, one machine).
-    """
+
+def cut(df: DataFrame) -> DataFrame:
+    """Cut lineage with an eager checkpoint in the shared folder the session names."""
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoint-"))
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 

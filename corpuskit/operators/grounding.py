@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corpuskit.functions.text import report_sentences, stable_id
+from corpuskit.functions.text import clean, pystrip, report_sentences, stable_id
+
+from .rewards import predicted_label
+from .shape import turn
 
 # Words of sides, levels and anatomical regions, in order of precedence.
 SIDES = (("left", ("left", "lt", "左")), ("right", ("right", "rt", "右")), ("bilateral", ("bilateral", "both", "bibasal", "bibasilar", "双侧", "两侧")))
@@ -26,6 +29,11 @@ ABNORMAL = (
     r"\bnodule\w*\b|\bmass\b|\bfracture\b|\bpleural\b|\bairspace\b|\bvascular congestion\b|\bclear\b|\bnormal\b|\bno\b|\bwithout\b|"
     "阴影|渗出|实变|不张|积液|气胸|水肿|心影|心脏|结节|肿块|骨折|胸膜|未见|无明显"
 )
+REPORT_FIELDS = ("report", "report_text", "findings", "impression", "conclusion", "text")
+ASK = (
+    "<image>\n<image>\n第一张是胸片全图，第二张是候选局部区域。请判断下面报告句子是否主要对应第二张局部区域。"
+    "回答时先在 reasoning 中解析空间位置、图像区域和结论绑定关系，最终答案只给出是否一致、对应区域和结论。\n报告句子："
+)
 SPANS = {"upper": (0.10, 0.43), "mid": (0.33, 0.68), "lower": (0.58, 0.92)}
 NAMES = {"upper": ("上肺野", "upper lung zone"), "mid": ("中肺野", "middle lung zone"), "lower": ("下肺野", "lower lung zone")}
 
@@ -107,6 +115,7 @@ def examples(reports: DataFrame, dim: DataFrame, most: int = 4, negatives: int =
     match = target.withColumns({"candidate": F.col("region"), "other_zh": F.col("zh"), "other_en": F.col("en"), "grounding_label": F.lit("match")})
     both = match.unionByName(neg)
     is_match = F.col("grounding_label") == "match"
+    # The sentences of answer and reasoning.
     value = F.when(is_match, F.concat(F.lit("一致。对应区域："), "zh", F.lit("。结论："), "sentence")).otherwise(
         F.concat(F.lit("不一致。句子对应区域："), "zh", F.lit("。第二张图不是该结论的主要对应区域。"))
     )
@@ -119,28 +128,86 @@ def examples(reports: DataFrame, dim: DataFrame, most: int = 4, negatives: int =
         key.alias("example_id"), "id", F.array("image", crop).alias("image"), "grounding_label", F.col("sentence").alias("grounding_sentence"),
         F.col("region").alias("grounding_region"), F.col("candidate").alias("candidate_region"), value.alias("answer"),
         F.concat(where, F.when(is_match, fits).otherwise(differs)).alias("reasoning"),
-    )
+    ).withColumn("conversations", F.array(
+        turn("human", F.concat(F.lit(ASK), "grounding_sentence")), turn("gpt", F.col("answer"), F.col("reasoning"))
+    ))
 
 
 def side_of(key: Column) -> Column:
-    return F.when(key.startswith("left"), "left").when(key.startswith("right"), "right").when(key.startswith("bilateral"), "bilateral")
+    return F.when(key.startswith("left"), "left").when(key.startswith("right"), "right").when(key.startswith("bilateral"), "bilateral").otherwise("central")
 
 
 def level_of(key: Column) -> Column:
-    return F.regexp_extract(key, "_(upper|mid|lower)_", 1)
+    """upper, mid, lower, hilum or costophrenic as the key names it; else central or whole."""
+    named = F.regexp_extract(key, "(upper|mid|lower|hilum|costophrenic)", 1)
+    return F.when(key == "cardiomediastinal", "central").when(named != "", named).otherwise("whole")
+
+
+def mentions_region(text: Column, key: Column, zh_name: Column) -> Column:
+    """Whether a text names a region, by its Chinese name or its key in words."""
+    return text.contains(zh_name) | F.lower(text).contains(F.replace(key, F.lit("_"), F.lit(" ")))
+
+
+def keeps_side(text: Column, key: Column) -> Column:
+    """Whether a text about a left (right) region doesn't speak of the right (left)."""
+    side = side_of(key)
+    return F.when(side == "left", ~text.contains("右")).when(side == "right", ~text.contains("左")).otherwise(True)
+
+
+def report_text(df: DataFrame, fields: tuple[str, ...] = REPORT_FIELDS) -> Column:
+    """The report fields that have text, a line each; else what the assistant's turns say."""
+    own = F.concat_ws("\n", *[F.nullif(clean(c), F.lit("")) for c in fields if c in df.columns])
+    if "conversations" not in df.columns:
+        return own
+    said = F.filter("conversations", lambda t: t["from"].isin("gpt", "assistant") & t["value"].isNotNull())
+    lines = F.filter(F.transform(said, lambda t: pystrip(t["value"])), lambda x: x != "")
+    return F.when(own != "", own).otherwise(F.coalesce(F.concat_ws("\n", lines), F.lit("")))
 
 
-def quality(examples_: DataFrame) -> DataFrame:
-    """One row of counts over a grounding set."""
-    bad = F.size("image") != 2
+def rate(c: Column) -> Column:
+    return F.round(F.coalesce(F.try_divide(F.count_if(c), F.count(F.lit(1))), F.lit(0.0)), 4)
+
+
+def quality(examples_: DataFrame, dim: DataFrame, crops: DataFrame | None = None) -> DataFrame:
+    """One row of counts and rates over a grounding set; ``crops(path)`` lists the crops there are."""
     mismatch = F.col("grounding_label") == "mismatch"
     g, c = F.col("grounding_region"), F.col("candidate_region")
-    says = F.col("answer").startswith("一致")
-    return examples_.agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(bad).alias("bad_format"), F.count_if(mismatch).alias("n_mismatch"),
+    named = examples_.join(F.broadcast(dim.select(F.col("key").alias("grounding_region"), "zh_name")), "grounding_region", "left")
+    crop = F.get("image", F.lit(1))
+    if crops is None:
+        named = named.withColumn("lost", F.lit(False))
+    else:
+        named = named.withColumn("path", crop).join(crops.select("path", F.lit(True).alias("there")).distinct(), "path", "left")
+        named = named.withColumn("lost", (F.size("image") == 2) & F.col("there").isNull() & ~F.col("path").startswith("http"))
+    return named.agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.size("image") != 2).alias("bad_format"), F.count_if("lost").alias("missing_crops"),
         F.count_if(mismatch & (side_of(g) != side_of(c))).alias("side_errors"),
         F.count_if(mismatch & (level_of(g) != level_of(c))).alias("level_errors"),
-        F.count_if(says == (F.col("grounding_label") == "match")).alias("consistent"),
+        rate(predicted_label(F.col("answer")).eqNullSafe(F.col("grounding_label"))).alias("label_consistency"),
+        rate(mentions_region(F.col("answer"), g, F.col("zh_name"))).alias("region_mention_rate"),
+    )
+
+
+def score_predictions(examples_: DataFrame, predictions: DataFrame, dim: DataFrame, key: str = "example_id") -> DataFrame:
+    """Examples with a non-empty prediction ``(id, prediction)``, ids compared as text: counts and rates of what is right."""
+    told = predictions.select(F.col("id").cast("string").alias("_id"), "prediction").filter("prediction <> ''")
+    rows = examples_.withColumn("_id", F.col(key).cast("string")).join(told, "_id")
+    rows = rows.join(F.broadcast(dim.select(F.col("key").alias("grounding_region"), "zh_name")), "grounding_region", "left")
+    said, region = F.col("prediction"), F.col("grounding_region")
+    return rows.agg(
+        F.count(F.lit(1)).alias("prediction_count"),
+        rate(predicted_label(said).eqNullSafe(F.col("grounding_label"))).alias("label_accuracy"),
+        rate(mentions_region(said, region, F.col("zh_name"))).alias("region_mention_accuracy"),
+        rate(region.isNotNull() & keeps_side(said, region)).alias("left_right_consistency"),
+    )
+
+
+def label_accuracy(df: DataFrame, prediction: str, reference: str) -> DataFrame:
+    """How often the predicted label is the reference's, of the rows whose reference has one."""
+    want = predicted_label(F.col(reference))
+    return df.agg(
+        F.count(F.lit(1)).alias("sample_eval_count"), F.count(want).alias("n_labelled"),
+        F.avg(F.when(want.isNotNull(), predicted_label(F.col(prediction)).eqNullSafe(want).cast("double"))).alias("grounding_label_accuracy"),
     )
 
 

@@ -138,3 +138,67 @@ def aligned(a: DataFrame, b: DataFrame, order: str, strict: bool = False) -> Dat
     both = side(a, "_a").join(side(b, "_b"), order, "full")
     ok = F.col("_a").isNotNull() & F.col("_b").isNotNull()
     return both.filter(F.when(ok, True).otherwise(F.raise_error(F.lit("rows without a partner")).cast("boolean"))).drop("_a", "_b")
+
+
+AUDIT = (
+    "low_context_coverage", "possible_over_certainty", "drug_advice_without_doctor", "emergency_without_urgent_care",
+    "possible_new_or_unsupported_fact", "possible_dangerous_advice",
+)
+
+
+def audit_summary(audited: DataFrame) -> DataFrame:
+    """One row for each audit flag: how many answers have it, and their share, rounded to four places."""
+    n = audited.agg(F.count(F.lit(1)).alias("n"), *[F.count_if(F.col(c)).alias(c) for c in AUDIT])
+    long = n.unpivot("n", list(AUDIT), "flag", "n_flagged")
+    return long.select("flag", "n_flagged", F.round(F.coalesce(F.try_divide("n_flagged", "n"), F.lit(0.0)), 4).alias("rate"))
+
+
+def flagged_examples(audited: DataFrame, order: str, most: int = 50) -> DataFrame:
+    """The first answers that may hold unsupported facts or dangerous advice."""
+    return audited.filter("possible_new_or_unsupported_fact or possible_dangerous_advice").orderBy(order).limit(most)
+
+
+def misses(hits: DataFrame, gold: DataFrame, k: int = 5, most: int = 50) -> DataFrame:
+    """The first queries whose gold document isn't among their best ``k``."""
+    near = hits.filter(F.col("rank") <= k).select("qid", "doc_id")
+    return gold.join(near, ["qid", "doc_id"], "left_anti").orderBy("qid", "doc_id").limit(most)
+
+
+def mean_scores(scored: DataFrame) -> DataFrame:
+    """Macro means of the text scores; 0 over no rows."""
+    names = ["bleu1", "bleu2", "bleu3", "bleu4", "rouge_l"]
+    return scored.agg(F.count(F.lit(1)).alias("n"), *[F.coalesce(F.avg(c), F.lit(0.0)).alias(c) for c in names])
+
+
+def mean_bleu4(pairs: DataFrame) -> DataFrame:
+    """``pairs(id, reference, hypothesis)`` (token arrays) -> number of pairs without an empty side and their mean BLEU-4."""
+    some = text_scores(pairs.filter((F.size("reference") > 0) & (F.size("hypothesis") > 0)))
+    return some.agg(F.count(F.lit(1)).alias("pairs"), F.coalesce(F.avg("bleu4_m4"), F.lit(0.0)).alias("bleu4_mean"))
+
+
+def value_counts(df: DataFrame, *columns: str) -> DataFrame:
+    """Counts of the values of several columns in one pass: ``(field, value, n)``."""
+    each = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).cast("string").alias("value")) for c in columns])))
+    return each.groupBy("field", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def flat_metrics(df: DataFrame, names: tuple[str, ...], sides: tuple[str, ...] = ("base", "finetuned")) -> DataFrame:
+    """Structs ``base`` and ``finetuned`` of metrics as columns ``base_bleu1`` and so on."""
+    return df.select([c for c in df.columns if c not in sides] + [F.col(f"{s}.{n}").alias(f"{s}_{n}") for s in sides for n in names])
+
+
+def compared(base: DataFrame, tuned: DataFrame, names: tuple[str, ...] = ("bleu1", "bleu2", "bleu3", "bleu4", "rouge_l")) -> DataFrame:
+    """Two one-row tables of means side by side: ``(metric, base, finetuned, delta)``."""
+    long = [t.unpivot([], list(names), "metric", v) for t, v in ((base, "base"), (tuned, "finetuned"))]
+    return long[0].join(F.broadcast(long[1]), "metric").withColumn("delta", F.col("finetuned") - F.col("base"))
+
+
+def due(step: Column, every: int) -> Column:
+    """Whether a step is one at which an evaluation is due."""
+    return (step > 0) & (step % every == 0)
+
+
+def pruned_runs(df: DataFrame, metric: str, step: str, keep: int = 3, by: list[str] | None = None) -> DataFrame:
+    """The runs that ``best_runs`` doesn't keep."""
+    w = Window.partitionBy(*(by or [])).orderBy(F.desc(metric), F.desc(step))
+    return df.withColumn("place", F.row_number().over(w)).filter(F.col("place") > keep)

@@ -9,18 +9,29 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corpuskit.functions.text import bm25_tokens
+from corpuskit.functions.text import bm25_tokens, clean
+
+from .shape import qa_chunk
 
 K1, B = 1.5, 0.75
 MOST_QUERIES = 20_000
 
+# Fixed value: the prompt with its safety rules.
 PROMPT = """你是医学问答助手。请严格基于下面的参考资料回答用户问题。
 如果资料不足，请说明“当前资料不足，建议结合医生面诊或检查结果判断”。
 不要编造诊断、药物剂量、检查结论。
 
+医疗安全规则：
+1. 不能把参考资料中的“可能”改成“确诊”。
+2. 涉及用药、剂量、停药、换药，必须提示遵医嘱。
+3. 涉及胸痛、呼吸困难、意识障碍、大出血、孕产急症等，要提示及时就医。
+4. 检索不到可靠资料时，不要强答。
+5. 回答末尾用“参考依据：片段1、片段2”标明依据，便于审计。
+
 参考资料：
 {retrieved_context}
 
@@ -62,29 +73,29 @@ def _asked(queries: DataFrame, most: int) -> list[tuple[int, str]]:
 
 def _text_topk(
     queries: list[tuple[int, str]], docs: DataFrame, k: int, weights: Callable[[str], dict[str, float]], impacts: Callable[[str, dict[str, int]], list[tuple[int, float]]],
-    block: int = 512, step: int = 512,
+    zeros: bool = False, block: int = 512, step: int = 512,
 ) -> DataFrame:
     """Scores of all ``docs(doc_id, text)`` for a stated query set, a block of queries at a time.
 
     Map-only: a task turns its documents into rows over the block's terms, multiplies them with the
     block, and passes on its best ``k`` a query. Only those are shuffled.
     """
-    blocks = []
+    blocks = []  # what ships with the task grows with the queries' terms, not with their vocabulary squared
     for at in range(0, len(queries), block):
         part = [(q, weights(t)) for q, t in queries[at : at + block]]
         vocab = {t: i for i, t in enumerate(sorted({t for _, w in part for t in w}))}
-        matrix = np.zeros((len(part), len(vocab)))
-        for i, (_, w) in enumerate(part):
-            for t, x in w.items():
-                matrix[i, vocab[t]] = x
-        blocks.append((np.array([q for q, _ in part], np.int64), vocab, matrix))
+        cells = [(i, vocab[t], x) for i, (_, w) in enumerate(part) for t, x in w.items()]
+        where = np.array([(i, j) for i, j, _ in cells], np.int32).reshape(-1, 2)
+        blocks.append((np.array([q for q, _ in part], np.int64), vocab, where, np.array([x for _, _, x in cells], np.float64)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, step):
-                batch = whole.slice(at, step)
-                ids, texts = batch.column("doc_id").to_numpy(zero_copy_only=False), batch.column("text").to_pylist()
-                for qids, vocab, matrix in blocks:
+            for qids, vocab, where, values in blocks:
+                matrix = np.zeros((len(qids), len(vocab)))
+                matrix[where[:, 0], where[:, 1]] = values
+                for at in range(0, whole.num_rows, step):
+                    batch = whole.slice(at, step)
+                    ids, texts = batch.column("doc_id").to_numpy(zero_copy_only=False), batch.column("text").to_pylist()
                     rows = np.zeros((len(texts), len(vocab)))
                     for i, t in enumerate(texts):
                         for j, x in impacts(t or "", vocab):
@@ -92,7 +103,7 @@ def _text_topk(
                     score = np.round(matrix @ rows.T, 6)
                     best = np.lexsort((np.broadcast_to(ids, score.shape), -score), axis=1)[:, :k]
                     out = np.repeat(qids, best.shape[1]), ids[best].ravel(), np.take_along_axis(score, best, 1).ravel()
-                    keep = out[2] > 0
+                    keep = (out[2] > 0) | zeros
                     yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in out], names=["qid", "doc_id", "score"])
 
     return ranked(docs.select("doc_id", "text").mapInArrow(run, "qid long, doc_id long, score double"), k)
@@ -159,10 +170,10 @@ def vector_topk(queries: DataFrame, docs: DataFrame, k: int = 8, block: int = 10
 
 
 def char_overlap_topk(queries: DataFrame, docs: DataFrame, k: int = 8, most: int = MOST_QUERIES) -> DataFrame:
-    """Number of distinct characters shared; zero scores are left out."""
+    """Number of distinct characters shared; documents that share none fill up the places, the smallest ids first."""
     return _text_topk(
         _asked(queries, most), docs, k,
-        lambda text: dict.fromkeys(text, 1.0), lambda text, vocab: [(vocab[c], 1.0) for c in set(text) if c in vocab],
+        lambda text: dict.fromkeys(text, 1.0), lambda text, vocab: [(vocab[c], 1.0) for c in set(text) if c in vocab], zeros=True,
     )
 
 
@@ -177,22 +188,29 @@ def minmax(scores: DataFrame) -> DataFrame:
 def hybrid(
     question_scores: DataFrame, doc_scores: DataFrame, bm25_scores: DataFrame, low: DataFrame,
     question_weight: float = 0.7, doc_weight: float = 0.3, bm25_weight: float = 0.25, penalty: float = 0.85,
-    threshold: float | None = None, top: int = 3,
+    threshold: float | None = None, top: int = 3, rerank: Callable[[Column, Column], Column] | None = None, texts: DataFrame | None = None,
+    queries: DataFrame | None = None,
 ) -> DataFrame:
     """Fuse three score lists ``(qid, doc_id, score)``; ``low(doc_id, low_quality)`` demotes.
 
-    One union and one aggregation instead of two outer joins. When the best candidate of a query is
-    under the threshold the query has no result.
+    One union and one aggregation instead of two outer joins. With ``rerank`` a model scores the
+    candidates' ``texts(doc_id, text)`` against ``queries(qid, query)``, and its score, demoted alike,
+    decides. When the best candidate of a query is under the threshold the query has no result.
     """
     zero = F.lit(0.0)
+    names = ("question_score", "doc_score", "bm25_norm")
     parts = [
-        s.select("qid", "doc_id", *[(F.col(c) if n == name else zero).alias(n) for n in ("question_score", "doc_score", "bm25_norm")])
+        s.select("qid", "doc_id", *[(F.col(c) if n == name else zero).alias(n) for n in names])
         for s, name, c in ((question_scores, "question_score", "score"), (doc_scores, "doc_score", "score"), (minmax(bm25_scores), "bm25_norm", "norm"))
     ]
-    each = parts[0].unionByName(parts[1]).unionByName(parts[2]).groupBy("qid", "doc_id").agg(*[F.sum(c).alias(c) for c in ("question_score", "doc_score", "bm25_norm")])
+    each = parts[0].unionByName(parts[1]).unionByName(parts[2]).groupBy("qid", "doc_id").agg(*[F.sum(c).alias(c) for c in names])
     each = each.join(low.select("doc_id", "low_quality"), "doc_id", "left")
     mixed = question_weight * F.col("question_score") + doc_weight * F.col("doc_score") + bm25_weight * F.col("bm25_norm")
-    each = each.withColumn("score", F.round(mixed * F.when(F.coalesce("low_quality", F.lit(False)), penalty).otherwise(1.0), 6))
+    if rerank is not None:
+        each = each.join(texts.select("doc_id", F.col("text").alias("_text")), "doc_id").join(queries.select("qid", F.col("query").alias("_query")), "qid")
+        mixed = rerank(F.col("_query"), F.col("_text"))
+    weight = F.when(F.coalesce("low_quality", F.lit(False)), penalty).otherwise(1.0)
+    each = each.withColumn("score", F.round(mixed * weight, 10)).drop("_text", "_query")
     w = Window.partitionBy("qid").orderBy(F.desc("score"), "doc_id")
     out = each.withColumn("final_rank", F.row_number().over(w)).withColumn("best", F.max("score").over(Window.partitionBy("qid")))
     if threshold is not None:
@@ -200,13 +218,94 @@ def hybrid(
     return out.filter(F.col("final_rank") <= top).drop("best")
 
 
-def pack_context(hits: DataFrame, budget: int = 4000, first_always: bool = True, separator: str = "\n\n---\n\n", empty: str = "无可用参考资料。") -> DataFrame:
+def depth(top_k: int, vector_top_k: int | None = None, bm25_top_k: int | None = None) -> tuple[int, int]:
+    """How deep the two searches go: their own depth, or ``top_k`` where that is none or 0."""
+    return vector_top_k or top_k, bm25_top_k or top_k
+
+
+INDEX = ("docs", "postings", "stats", "idf", "question_vectors", "doc_vectors")
+
+
+def retrieval_docs(df: DataFrame) -> DataFrame:
+    """``ord, instruction, input, output`` -> documents of an index; rows without question or answer are dropped."""
+    q, a = clean("instruction"), clean("output")
+    low = F.coalesce(F.col("_low_quality_flag"), F.lit(False)) if "_low_quality_flag" in df.columns else F.lit(False)
+    return df.filter((q != "") & (a != "")).select(
+        F.col("ord").alias("doc_id"), qa_chunk(F.col("instruction"), F.col("input"), F.col("output")).alias("text"),
+        q.alias("question"), a.alias("answer"), clean("input").alias("input"), low.alias("low_quality"),
+    )
+
+
+def write_index(docs: DataFrame, path: str, embed: Callable[[Column], Column], k1: float = K1, b: float = B) -> None:
+    """An index of ``retrieval_docs`` below a shared folder, as tables: texts, postings with their documents'
+    lengths, idf, vectors of question and text, and one row of parameters. Any earlier index there is replaced."""
+    spark = docs.sparkSession
+    post, n = postings(docs), doc_stats(docs)
+    totals = n.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.avg("dl"), F.lit(0.0)).alias("avgdl"))
+    tables = {
+        "docs": docs, "postings": post.join(n, "doc_id"), "idf": idf_table(post, totals.select("n")),
+        "stats": totals.withColumns({"k1": F.lit(k1), "b": F.lit(b)}),
+        "question_vectors": docs.select("doc_id", embed(F.col("question")).alias("vec")), "doc_vectors": docs.select("doc_id", embed(F.col("text")).alias("vec")),
+    }
+    for name, table in tables.items():
+        table.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{name}")
+    spark.catalog.clearCache()
+
+
+def read_index(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+    """The tables of an index; without vectors of the questions those of the texts stand for both."""
+    out = {}
+    for name in INDEX:
+        try:
+            out[name] = spark.read.parquet(f"{path.rstrip('/')}/{name}")
+        except AnalysisException:
+            if name != "question_vectors":
+                raise
+    out.setdefault("question_vectors", out["doc_vectors"])
+    return out
+
+
+def indexed_bm25(queries: DataFrame, index: dict[str, DataFrame], k: int = 8, most: int = MOST_QUERIES) -> DataFrame:
+    """BM25 over a stored index: an equi-join of query tokens and postings.
+
+    Only the postings of the queries' tokens are read on; scores are summed per query and document with
+    map-side combine. A token of many queries or documents is split by adaptive skew handling.
+    """
+    if queries.limit(most + 1).count() > most:
+        raise ValueError(f"more than {most} queries; pass them in parts")
+    asked = queries.select("qid", F.explode(bm25_tokens(F.col("query"))).alias("token")).groupBy("qid", "token").agg(F.count(F.lit(1)).alias("times"))
+    base = F.col("k1") * (1 - F.col("b") + F.col("b") * F.col("dl") / F.col("avgdl"))
+    impact = F.col("times") * F.col("idf") * F.col("tf") * (F.col("k1") + 1) / (F.col("tf") + F.when(F.col("avgdl") > 0, base).otherwise(F.col("k1")))
+    hits = index["postings"].join(asked, "token").join(index["idf"].select("token", "idf"), "token").join(F.broadcast(index["stats"]))
+    scored = hits.groupBy("qid", "doc_id").agg(F.round(F.sum(impact), 6).alias("score"))
+    return ranked(scored.filter("score > 0"), k)
+
+
+def search_index(
+    queries: DataFrame, index: dict[str, DataFrame], embed: Callable[[Column], Column], top_k: int = 8, vector_top_k: int | None = None,
+    bm25_top_k: int | None = None, **options,
+) -> DataFrame:
+    """Hybrid search of ``queries(qid, query)`` over a stored index; ``options`` are those of ``hybrid``."""
+    deep, broad = depth(top_k, vector_top_k, bm25_top_k)
+    asked = queries.select("qid", embed(F.col("query")).alias("vec"))
+    if options.get("rerank") is not None:
+        options |= {"texts": index["docs"].select("doc_id", "text"), "queries": queries}
+    return hybrid(
+        vector_topk(asked, index["question_vectors"], deep), vector_topk(asked, index["doc_vectors"], deep), indexed_bm25(queries, index, broad),
+        index["docs"].select("doc_id", "low_quality"), **options,
+    )
+
+
+def pack_context(hits: DataFrame, budget: int = 4000, first_always: bool = True, separator: str = "\n\n---\n\n", empty: str = "无可用参考资料。", score: str | None = None) -> DataFrame:
     """``hits(qid, rank, block)`` -> ``(qid, context)``: blocks in rank order until the budget overflows.
 
+    With ``score`` hits whose score isn't positive are passed over.
+
     Block lengths never fall, so stopping at the first overflow is a bound on the running sum.
     """
     w = Window.partitionBy("qid").orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)
-    sums = hits.withColumn("upto", F.sum(F.length("block")).over(w)).withColumn("first", F.min("rank").over(Window.partitionBy("qid")))
+    some = hits.filter(F.col(score) > 0) if score else hits
+    sums = some.withColumn("upto", F.sum(F.length("block")).over(w)).withColumn("first", F.min("rank").over(Window.partitionBy("qid")))
     fit = F.col("upto") <= budget
     keep = fit | (F.col("rank") == F.col("first")) if first_always else fit
     kept = sums.filter(keep).groupBy("qid").agg(F.array_sort(F.collect_list(F.struct("rank", "block"))).alias("blocks"))
@@ -219,6 +318,11 @@ def hit_block(rank: Column, doc_id: Column, line: Column, score: Column, text: C
     return F.concat(head, F.when(low, F.lit(" low_quality=true")).otherwise(F.lit("")), F.lit("\n"), text)
 
 
+def chunk_block(source: Column, chunk_id: Column, text: Column) -> Column:
+    """A block of a knowledge base under its header."""
+    return F.concat(F.format_string("[%s #%s]\n", source.cast("string"), chunk_id.cast("string")), text)
+
+
 def prompt(context: Column, question: Column) -> Column:
     return F.replace(F.replace(F.lit(PROMPT), F.lit("{retrieved_context}"), context), F.lit("{question}"), question)
 

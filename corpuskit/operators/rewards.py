@@ -21,6 +21,7 @@ ALIASES = (
     ("左肋膈角", ("左肋膈角", "left costophrenic")), ("右肋膈角", ("右肋膈角", "right costophrenic")),
     ("左肺门", ("左肺门", "left hilum", "left hilar")), ("右肺门", ("右肺门", "right hilum", "right hilar")),
 )
+# Words of a negative and of a positive label.
 SAYS_NO = "不一致|不匹配|不是|mismatch|not consistent|incorrect"
 SAYS_YES = "一致|匹配|是|match|consistent|correct"
 
@@ -110,5 +111,12 @@ def advantages(df: DataFrame, group: str, value: str = "reward", scale: str = "g
     return out.withColumn("advantage", gap / (F.col("_std") + 1e-4) if scale == "group" else gap).drop("_g", "_mean", "_std")
 
 
-def reward_summary(df: DataFrame, names: list[str]) -> DataFrame:
-    return df.agg(*[F.avg(n).alias(f"{n}_mean") for n in names], *[F.stddev_samp(n).alias(f"{n}_std") for n in names])
+def reward_summary(df: DataFrame, names: list[str], group: str | None = None, reward: str = "reward") -> DataFrame:
+    """Mean and deviation of each reward where it applies; with ``group`` also the mean reward, the mean
+    deviation of the groups and the share of groups without deviation."""
+    own = df.agg(*[F.avg(n).alias(f"{n}_mean") for n in names], *[F.stddev_samp(n).alias(f"{n}_std") for n in names])
+    if group is None:
+        return own
+    groups = df.groupBy(group).agg(F.sum(reward).alias("s"), F.count(reward).alias("n"), F.stddev_samp(reward).alias("std"))
+    whole = groups.agg((F.sum("s") / F.sum("n")).alias("reward_mean"), F.avg("std").alias("reward_std"), F.avg((F.coalesce("std", F.lit(0.0)) < 1e-8).cast("double")).alias("zero_std_share"))
+    return own.join(F.broadcast(whole))

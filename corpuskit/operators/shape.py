@@ -7,9 +7,15 @@ from pyspark.sql import functions as F
 
 from corpuskit.functions.text import clean, pystrip
 
+# Image and frame tokens, default instructions, kept meta keys, the placeholder picture.
 IMAGE = "<image>\n"
 VISION = "<|vision_start|><|image_pad|><|vision_end|>"
-REPORT_TASK = "请根据影像生成中文报告。"
+REPORT_TASK = "根据给定影像报告要点，生成规范中文报告（含 Findings 与 Impression 两段）。"
+REPORT_VL_TASK = "请根据影像生成中文报告。"
+META_KEYS = ("source", "_resume_key", "study_id", "subject_id")
+PLACEHOLDER = "qa_placeholder.jpg"
+PICTURES = ("image", "path", "image_path")
+TURN = "<|im_start|>{}\n{}<|im_end|>\n"
 
 
 def turn(who: str, value: Column, reasoning: Column | None = None) -> Column:
@@ -40,18 +46,46 @@ def report_output() -> Column:
     return F.when((f != "") & (i != ""), F.concat(F.lit("Findings:\n"), f, F.lit("\n\nImpression:\n"), i)).otherwise(clean("full_report_zh"))
 
 
+def has_text(*columns: str) -> Column:
+    """Whether one of the columns has text."""
+    return F.concat(*[clean(c) for c in columns]) != ""
+
+
+def kept_meta(df: DataFrame, keys: tuple[str, ...] = META_KEYS) -> Column:
+    """A map of the listed columns that the table has and that aren't null."""
+    pairs = [F.create_map(F.lit(k), F.col(k).cast("string")) for k in keys if k in df.columns]
+    whole = F.map_concat(*pairs) if pairs else F.create_map().cast("map<string,string>")
+    return F.map_filter(whole, lambda k, v: v.isNotNull())
+
+
 def alpaca(df: DataFrame) -> DataFrame:
     """Reports as instruction records; dropped when the three Chinese texts are empty."""
-    some = (clean("findings_zh") != "") | (clean("impression_zh") != "") | (clean("full_report_zh") != "")
     task = F.when(clean("instruction") == "", F.lit(REPORT_TASK)).otherwise(clean("instruction"))
-    return df.filter(some).withColumns({"instruction": task, "input": F.lit(""), "output": report_output()})
+    whole = df.filter(has_text("findings_zh", "impression_zh", "full_report_zh"))
+    return whole.withColumns({"instruction": task, "input": F.lit(""), "output": report_output(), "meta": kept_meta(df)})
+
+
+def report_conversation(df: DataFrame) -> DataFrame:
+    """Instruction records as one question and answer each."""
+    df = filled(df, "instruction", "output")
+    return df.withColumn("conversations", F.array(turn("human", F.col("instruction")), turn("gpt", F.col("output"))))
 
 
-def resolve_image(meta: str | None = "meta") -> Column:
-    """First non-blank of image, path, image_path of the row, then of its map."""
-    names = ("image", "path", "image_path")
-    mine = [F.nullif(pystrip(F.col(n)), F.lit("")) for n in names]
-    return F.coalesce(*mine, *([F.nullif(pystrip(F.col(meta)[n]), F.lit("")) for n in names] if meta else []))
+def report_vl(df: DataFrame, task: str = REPORT_VL_TASK) -> DataFrame:
+    """Reports with a picture: the picture and a short task asked, the report answered."""
+    image = resolve_image("meta", tuple(c for c in PICTURES if c in df.columns))
+    df = df.withColumn("found", image).filter(F.col("found").isNotNull())
+    df = filled(alpaca(df), "output")
+    conversation = F.array(turn("human", F.lit(IMAGE + task.strip())), turn("gpt", F.col("output")))
+    source = F.create_map(F.lit("source"), F.lit("report_vl"))
+    meta = F.map_concat(F.map_filter(source, lambda k, v: ~F.map_contains_key(F.col("meta"), "source")), F.col("meta"))
+    return df.withColumns({"conversations": conversation, "image": F.array("found"), "meta": meta}).drop("found")
+
+
+def resolve_image(meta: str | None = "meta", columns: tuple[str, ...] = ()) -> Column:
+    """First non-blank of the picture columns the table has, then of its map."""
+    mine = [F.nullif(pystrip(F.col(n)), F.lit("")) for n in columns]
+    return F.coalesce(*mine, *([F.nullif(pystrip(F.col(meta)[n]), F.lit("")) for n in PICTURES] if meta else []))
 
 
 def dpo(df: DataFrame, mode: str = "synthetic", seed: int = 42, order: str = "ord", question: str = "question", chosen: str = "answer", rejected: str = "answer_rejected") -> DataFrame:
@@ -119,16 +153,21 @@ def pad_truncate_eos(ids: Column, size: int, eos: int) -> Column:
     return F.when(F.size(ids) > size, F.concat(F.slice(ids, 1, size - 1), F.array(F.lit(eos)))).otherwise(ids)
 
 
-def merge_images(reports: DataFrame, paths: DataFrame) -> DataFrame:
-    """Reports with the image of their row put into ``meta``; the last non-blank path of an id wins.
+def merge_images(reports: DataFrame, paths: DataFrame, order: str = "ord", key: str = "row_idx") -> DataFrame:
+    """Reports with the picture of their row put into ``meta``; the last non-blank path of an id, by ``order``, wins.
 
-    Ids are compared as text. The build side is reduced first; Spark broadcasts it by its size.
+    A report's id is looked for in its column ``key``, then in ``meta``, then as ``_resume_key`` in
+    ``meta`` or the row; ids are compared as text. The build side is reduced first, with map-side
+    combine; Spark broadcasts it by its size.
     """
-    found = paths.withColumn("found", resolve_image(None)).filter("found is not null and row_idx is not null")
-    last = found.groupBy(F.col("row_idx").cast("string").alias("_resume_key")).agg(F.max("found").alias("found"))
+    found = paths.withColumn("found", resolve_image(None, PICTURES)).filter(F.col("found").isNotNull() & F.col(key).isNotNull())
+    last = found.groupBy(F.col(key).cast("string").alias("_picture_id")).agg(F.max_by("found", order).alias("found"))
+    places = [F.col(c).cast("string") for c in (key,) if c in reports.columns] + [F.col("meta")[key], F.col("meta")["_resume_key"]]
+    places += [F.col(c).cast("string") for c in ("_resume_key",) if c in reports.columns]
     meta = F.coalesce(F.col("meta"), F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>")))
     put = F.map_concat(F.map_filter(meta, lambda k, v: k != "image"), F.create_map(F.lit("image"), F.col("found")))
-    return reports.join(last, "_resume_key", "left").withColumn("meta", F.when(F.col("found").isNull(), F.col("meta")).otherwise(put)).drop("found")
+    merged = reports.withColumn("_picture_id", F.coalesce(*places)).join(last, "_picture_id", "left")
+    return merged.withColumn("meta", F.when(F.col("found").isNull(), F.col("meta")).otherwise(put)).drop("found", "_picture_id")
 
 
 def not_done(todo: DataFrame, done: DataFrame, key: str) -> DataFrame:
@@ -167,3 +206,104 @@ def verdict_reason(verdict: Column, expected: Column) -> Column:
         F.when(verdict.isNull(), "unreadable").when(~F.coalesce(verdict["valid"], F.lit(False)), "invalid")
         .when(~F.coalesce(verdict["preferred"].isin("甲", "乙"), F.lit(False)), "no_preference").when(verdict["preferred"] != expected, "other_side").otherwise("ok")
     )
+
+
+def first_turn(conversations: Column, who: str) -> Column:
+    """Value of the first turn of a side."""
+    return F.get(F.filter(conversations, lambda t: t["from"] == who), F.lit(0))["value"]
+
+
+def sft_fields(df: DataFrame) -> DataFrame:
+    """``conversations, image, meta`` -> prompt, reference, first picture and an id; rows without both sides are dropped.
+
+    The id is the dedup hash in ``meta``, else a hash of the texts.
+    """
+    prompt, reference = first_turn(F.col("conversations"), "human"), first_turn(F.col("conversations"), "gpt")
+    made = F.sha2(F.concat_ws("\n", prompt, reference), 256)
+    out = df.select(
+        "*", prompt.alias("prompt"), reference.alias("reference"), F.coalesce(F.get("image", F.lit(0)), F.lit("")).alias("first_image"),
+        F.coalesce(F.nullif(F.col("meta")["_dedup_sha256"], F.lit("")), made).alias("sample_id"),
+    )
+    return out.filter("prompt is not null and reference is not null")
+
+
+def eval_pair(conversations: Column) -> Column:
+    """(question, reference) for evaluation: picture tokens off."""
+    bare = lambda c: pystrip(F.replace(c, F.lit("<image>"), F.lit("")))
+    return F.struct(bare(first_turn(conversations, "human")).alias("question"), pystrip(first_turn(conversations, "gpt")).alias("reference"))
+
+
+def prompt_and_answer_ids(ids: Column, labels: Column) -> Column:
+    """The inverse of label masking: ids before the first label that counts, and the labels that count."""
+    counts = lambda x: x != -100
+    n = F.size(ids) - F.size(F.filter(labels, counts))
+    at = F.array_position(F.transform(labels, counts), True).cast("int")
+    start = F.when(at > 0, at - 1).otherwise(n)
+    return F.struct(F.slice(ids, F.lit(1), start).alias("prompt_ids"), F.filter(labels, counts).alias("answer_ids"))
+
+
+def framed(question: Column, prefill: Column | None = None) -> Column:
+    """A user turn and the opening of the assistant's."""
+    open_ = F.concat(F.lit("<|im_start|>user\n"), question, F.lit("<|im_end|>\n<|im_start|>assistant\n"))
+    return open_ if prefill is None else F.concat(open_, prefill)
+
+
+def grpo_record(df: DataFrame, enabled: bool = False) -> DataFrame:
+    """``messages`` -> ``prompt`` and ``assistant`` of the first pair."""
+    user, reply = F.get("messages", F.lit(0)), F.get("messages", F.lit(1))
+    parts = assistant_text(reply["reasoning"], reply["content"], enabled) if enabled else F.struct(F.lit("").alias("prefill"), reply["content"].alias("content"))
+    return df.select("*", framed(user["content"], parts["prefill"]).alias("prompt"), parts["content"].alias("assistant"))
+
+
+def dpo_record(df: DataFrame, reasoning: bool = False) -> DataFrame:
+    """``prompt, chosen, rejected`` framed as prompt and two responses.
+
+    With ``reasoning`` a row must have both reasonings or neither; others fail the query.
+    """
+    text = F.replace(F.replace("prompt", F.lit("<image>\n"), F.lit(VISION)), F.lit("<image>"), F.lit(VISION))
+    out = {"prompt": framed(text)}
+    for side in ("chosen", "rejected"):
+        out[side] = F.concat(F.col(side), F.lit("<|im_end|>\n"))
+    if reasoning:
+        has = [clean(f"{s}_reasoning") != "" for s in ("chosen", "rejected")]
+        df = df.filter(F.when(has[0] == has[1], True).otherwise(F.raise_error(F.lit("reasoning on one side only")).cast("boolean")))
+        for side in ("chosen", "rejected"):
+            thought = F.regexp_replace(F.col(f"{side}_reasoning"), r"^\n+|\n+$", "")
+            out[side] = F.when(has[0], F.concat(F.lit("<think>\n"), thought, F.lit("\n</think>\n\n"), out[side])).otherwise(out[side])
+    return df.withColumns(out)
+
+
+def class_of(label: Column) -> Column:
+    """A and B as 0 and 1; others are null."""
+    return F.when(label == "A", 0).when(label == "B", 1)
+
+
+def is_placeholder(image: Column) -> Column:
+    return F.lower(F.regexp_extract(image, r"([^/]*)$", 1)) == PLACEHOLDER
+
+
+def truncated_completion(ids: Column, eos: int, padding: int) -> Column:
+    """Whether a completion ends with neither the end nor the padding token."""
+    return ~F.coalesce(F.element_at(ids, -1).isin(eos, padding), F.lit(False))
+
+
+def qa_chunk(question: Column, extra: Column, answer: Column) -> Column:
+    """Question, further information if there is some, and answer as one retrieval text."""
+    more = F.when(clean(extra) != "", F.concat(F.lit("补充信息："), clean(extra)))
+    return F.concat_ws("\n", F.concat(F.lit("问题："), clean(question)), more, F.concat(F.lit("答案："), clean(answer)))
+
+
+def chat_message(images: Column, text: Column) -> Column:
+    """One user message of pictures and text, as a list of parts."""
+    part = lambda kind, image, value: F.struct(F.lit(kind).alias("type"), image.alias("image"), value.alias("text"))
+    none = F.lit(None).cast("string")
+    return F.concat(F.transform(images, lambda i: part("image", i, none)), F.array(part("text", none, text)))
+
+
+def score_item(items: Column) -> Column:
+    """Scores as (rank or index, id, score), whether they come as two or three fields."""
+    two = F.size(items) == 2
+    return F.struct(
+        F.get(items, F.lit(0)).cast("int").alias("rank"), F.when(~two, F.get(items, F.lit(1))).alias("doc_id"),
+        F.when(two, F.get(items, F.lit(1))).otherwise(F.get(items, F.lit(2))).cast("double").alias("score"),
+    )

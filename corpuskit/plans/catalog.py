@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuskit.functions import text as X
-from corpuskit.functions.models import REWARDS
+from corpuskit.functions.models import REWARDS, hashed_embedding, overlap_rerank
 from corpuskit.operators import cleanup, dedup, grounding, metrics, retrieval, rewards, shape
+from corpuskit.operators.graph import shared_folder
+from corpuskit.sources import io
 from corpuskit.streaming import streams
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -197,6 +198,16 @@ def vl_placeholder(spark, d):
     return df.select("ord", F.col("conversations")[0]["value"].alias("human"), F.col("image")[0].alias("image"))
 
 
+S_IMAGE = "coalesce(" + ", ".join(f"nullif({s_strip(c)}, '')" for c in ("image", "path", "image_path")) + ")"
+S_MERGED = f"""op AS (SELECT *, row_number() OVER () AS rn FROM image_paths), lp AS (SELECT row_idx::VARCHAR AS k, arg_max({S_IMAGE}, rn) AS found FROM op WHERE {S_IMAGE} IS NOT NULL AND row_idx IS NOT NULL GROUP BY 1),
+    mr AS (SELECT r.*, coalesce(found, meta['image']) AS picture FROM medical_report_zh r LEFT JOIN lp ON k = coalesce(meta['row_idx'], meta['_resume_key'], _resume_key))"""
+
+
+def _merged(spark: SparkSession, d: str) -> DataFrame:
+    paths = table(spark, d, "image_paths").withColumn("ord", F.struct("_metadata.file_path", "_metadata.row_index"))
+    return shape.merge_images(table(spark, d, "medical_report_zh"), paths)
+
+
 S_ALPACA = f"""SELECT rec_id, CASE WHEN {s_clean('instruction')} = '' THEN '{shape.REPORT_TASK}' ELSE {s_clean('instruction')} END AS instruction,
     CASE WHEN {s_clean('findings_zh')} <> '' AND {s_clean('impression_zh')} <> '' THEN 'Findings:' || chr(10) || {s_clean('findings_zh')} || chr(10) || chr(10) || 'Impression:' || chr(10) || {s_clean('impression_zh')}
     ELSE {s_clean('full_report_zh')} END AS output FROM medical_report_zh
@@ -208,6 +219,30 @@ def alpaca_rows(spark, d):
     return shape.alpaca(table(spark, d, "medical_report_zh")).select("rec_id", "instruction", "output")
 
 
+@query(f"SELECT rec_id, source AS meta_source, _resume_key AS meta_key FROM medical_report_zh WHERE {s_clean('findings_zh')} <> '' OR {s_clean('impression_zh')} <> '' OR {s_clean('full_report_zh')} <> ''")
+def alpaca_meta(spark, d):
+    m = F.col("meta")
+    return shape.alpaca(table(spark, d, "medical_report_zh")).select("rec_id", m["source"].alias("meta_source"), m["_resume_key"].alias("meta_key"))
+
+
+@query(f"SELECT rec_id, instruction AS human, output AS gpt FROM ({S_ALPACA}) WHERE instruction <> '' AND output <> ''")
+def report_conversations(spark, d):
+    c = F.col("conversations")
+    return shape.report_conversation(shape.alpaca(table(spark, d, "medical_report_zh"))).select("rec_id", c[0]["value"].alias("human"), c[1]["value"].alias("gpt"))
+
+
+@query(f"""WITH {S_MERGED}, al AS ({S_ALPACA}) SELECT rec_id, coalesce(nullif({s_strip('picture')}, ''), nullif({s_strip("meta['path']")}, ''), nullif({s_strip("meta['image_path']")}, '')) AS image, '<image>' || chr(10) || '{shape.REPORT_VL_TASK}' AS human, output AS gpt, source AS meta_source
+    FROM mr JOIN al USING (rec_id) WHERE output <> '' AND coalesce(nullif({s_strip('picture')}, ''), nullif({s_strip("meta['path']")}, ''), nullif({s_strip("meta['image_path']")}, '')) IS NOT NULL""")
+def report_vl(spark, d):
+    c = F.col("conversations")
+    return shape.report_vl(_merged(spark, d)).select("rec_id", F.col("image")[0].alias("image"), c[0]["value"].alias("human"), c[1]["value"].alias("gpt"), F.col("meta")["source"].alias("meta_source"))
+
+
+@query(f"SELECT row_idx FROM mimic_report_en WHERE {s_clean('findings')} <> '' OR {s_clean('impression')} <> ''")
+def reports_with_text(spark, d):
+    return table(spark, d, "mimic_report_en").filter(shape.has_text("findings", "impression")).select("row_idx")
+
+
 @query(f"""SELECT 'qa' AS kind, count(*) AS n FROM medical_qa WHERE {s_clean('question')} <> '' AND {s_clean('answer')} <> '' UNION ALL
     SELECT 'report', count(*) FROM ({S_ALPACA})""")
 def union_training(spark, d):
@@ -239,14 +274,89 @@ def turn_pairs(spark, d):
     return shape.turn_pairs(df, "ord").drop("pair")
 
 
-S_IMAGE = "coalesce(" + ", ".join(f"nullif({s_strip(c)}, '')" for c in ("image", "path", "image_path")) + ")"
+@query(f"WITH {S_MERGED} SELECT rec_id, picture AS image, meta['translator'] AS translator FROM mr")
+def merged_images(spark, d):
+    return _merged(spark, d).select("rec_id", F.col("meta")["image"].alias("image"), F.col("meta")["translator"].alias("translator"))
 
 
-@query(f"""WITH p AS (SELECT row_idx::VARCHAR AS k, max({S_IMAGE}) AS found FROM image_paths WHERE {S_IMAGE} IS NOT NULL AND row_idx IS NOT NULL GROUP BY 1)
-    SELECT rec_id, coalesce(found, meta['image']) AS image, (meta['translator']) AS translator FROM medical_report_zh LEFT JOIN p ON k = _resume_key""")
-def merged_images(spark, d):
-    out = shape.merge_images(table(spark, d, "medical_report_zh"), table(spark, d, "image_paths"))
-    return out.select("rec_id", F.col("meta")["image"].alias("image"), F.col("meta")["translator"].alias("translator"))
+S_PAIR = f"SELECT ord, {s_clean('question')} AS q, {s_clean('answer')} AS a, {s_clean('answer_rejected')} AS r FROM medical_qa WHERE {s_clean('question')} <> '' AND {s_clean('answer')} <> ''"
+S_ASK = "'<|im_start|>user' || chr(10) || {} || '<|im_end|>' || chr(10) || '<|im_start|>assistant' || chr(10)"
+
+
+@query(f"SELECT ord, '<image>' || chr(10) || q AS prompt, a AS reference, 'qa_placeholder.jpg' AS first_image, sha256('<image>' || chr(10) || q || chr(10) || a) AS sample_id FROM ({S_PAIR})")
+def sft_fields(spark, d):
+    df = shape.sharegpt(table(spark, d, "medical_qa"), image=shape.PLACEHOLDER).withColumn("meta", F.create_map().cast("map<string,string>"))
+    return shape.sft_fields(df).select("ord", "prompt", "reference", "first_image", "sample_id")
+
+
+@query(f"SELECT ord, q AS question, a AS reference FROM ({S_PAIR})")
+def eval_pairs(spark, d):
+    df = shape.sharegpt(table(spark, d, "medical_qa"), image=shape.PLACEHOLDER)
+    return df.select("ord", shape.eval_pair(F.col("conversations")).alias("p")).select("ord", "p.*")
+
+
+@query(f"SELECT ord, {S_ASK.format('q')} AS prompt, a AS assistant FROM ({S_PAIR})")
+def grpo_records(spark, d):
+    df = shape.sharegpt(table(spark, d, "medical_qa")).withColumn("messages", shape.openai_turns(F.col("conversations")))
+    return shape.grpo_record(df).select("ord", "prompt", "assistant")
+
+
+@query(f"SELECT ord, {S_ASK.format('q')} AS prompt, a || '<|im_end|>' || chr(10) AS chosen, r || '<|im_end|>' || chr(10) AS rejected FROM ({S_PAIR}) WHERE r <> ''")
+def dpo_records(spark, d):
+    df = shape.dpo(table(spark, d, "medical_qa"), "explicit")
+    return shape.dpo_record(df.select("ord", F.col("question").alias("prompt"), F.col("response_chosen").alias("chosen"), F.col("response_rejected").alias("rejected")))
+
+
+@query(f"SELECT ord, len({s_tokens('q')}) AS n_prompt, len({s_tokens('a')}) AS n_answer FROM ({S_PAIR})")
+def label_masks(spark, d):
+    """Labels are masked and taken apart again; ids are the tokens' hashes."""
+    ids = lambda c: F.transform(X.bm25_tokens(F.col(c)), lambda t: F.pmod(F.crc32(t), F.lit(1 << 31)).cast("int"))
+    df = shape.filled(table(spark, d, "medical_qa"), "question", "answer").select("ord", ids("question").alias("q"), ids("answer").alias("a"))
+    parts = shape.prompt_and_answer_ids(F.concat("q", "a"), shape.masked_labels(F.col("q"), F.col("a")))
+    back = df.select("ord", "q", "a", parts.alias("p")).filter("p.prompt_ids = q and p.answer_ids = a")
+    return back.select("ord", F.size("p.prompt_ids").cast("long").alias("n_prompt"), F.size("p.answer_ids").cast("long").alias("n_answer"))
+
+
+@query("SELECT vec_id, CASE WHEN label = 0 THEN 0 WHEN label = 1 THEN 1 END AS cls FROM embeddings")
+def class_map(spark, d):
+    letter = F.element_at(F.array(*[F.lit(c) for c in "ABCDEFGHIJ"]), F.col("label").cast("int") + 1)
+    return table(spark, d, "embeddings").select("vec_id", shape.class_of(letter).alias("cls"))
+
+
+@query("SELECT event_id, NOT (event_id % 5 IN (0, 1)) AS is_cut FROM events")
+def truncated_completions(spark, d):
+    ids = F.array(F.lit(9).cast("long"), F.col("event_id") % 5)
+    return table(spark, d, "events").select("event_id", shape.truncated_completion(ids, 0, 1).alias("is_cut"))
+
+
+S_CHUNK = f"concat_ws(chr(10), '问题：' || {s_clean('instruction')}, CASE WHEN {s_clean('input')} <> '' THEN '补充信息：' || {s_clean('input')} END, '答案：' || {s_clean('output')})"
+
+
+@query(f"SELECT ord AS doc_id, {S_CHUNK} AS text, {s_clean('instruction')} AS question, {s_clean('output')} AS answer, {s_clean('input')} AS input, coalesce(_low_quality_flag, false) AS low_quality FROM eval_medical_qa_rag WHERE {s_clean('instruction')} <> '' AND {s_clean('output')} <> ''")
+def retrieval_docs(spark, d):
+    return retrieval.retrieval_docs(table(spark, d, "eval_medical_qa_rag"))
+
+
+@query(f"SELECT count(*) AS n_input, count(DISTINCT {EVAL_KEY}) AS n_kept, count(*) - count(DISTINCT {EVAL_KEY}) AS n_removed FROM eval_medical_qa_rag")
+def dedup_counters(spark, d):
+    e = table(spark, d, "eval_medical_qa_rag")
+    return dedup.dedup_summary(e, dedup.exact_dedup(e, "ord", "instruction", "input", "output"))
+
+
+@query("SELECT ord FROM (SELECT ord FROM medical_qa ORDER BY md5(ord::VARCHAR || '|42'), ord LIMIT 100)")
+def seeded_sample(spark, d):
+    return dedup.seeded_sample(table(spark, d, "medical_qa").select("ord"), "ord", 100)
+
+
+@query("SELECT row_idx, lower(regexp_extract(image, '([^/]*)$', 1)) = 'qa_placeholder.jpg' AS placeholder FROM mimic_report_en")
+def placeholder_images(spark, d):
+    return table(spark, d, "mimic_report_en").select("row_idx", shape.is_placeholder(F.col("image")).alias("placeholder"))
+
+
+@query("SELECT row_idx FROM mimic_report_en WHERE image IS NOT NULL AND image NOT IN (SELECT image FROM image_paths WHERE image IS NOT NULL)")
+def missing_images(spark, d):
+    listing = table(spark, d, "image_paths").select("image").filter("image is not null")
+    return shape.not_done(table(spark, d, "mimic_report_en").filter("image is not null"), listing, "image").select("row_idx")
 
 
 @query("SELECT row_idx FROM mimic_report_en WHERE row_idx::VARCHAR NOT IN (SELECT _resume_key FROM medical_report_zh)")
@@ -331,18 +441,25 @@ def self_retrieval(spark, d):
     return metrics.ranking(retrieval.vector_topk(q, v), q.select("qid", F.col("qid").alias("doc_id")))
 
 
-def _hybrid(spark: SparkSession, d: str) -> DataFrame:
-    docs, asked = _docs(spark, d), _asked(spark, d)
-    bm = retrieval.bm25_topk(asked, docs)
-    question = retrieval.char_overlap_topk(asked, docs).withColumn("score", F.col("score") / 100)
-    whole = retrieval.char_overlap_topk(asked, docs.select("doc_id", F.col("output").alias("text"))).withColumn("score", F.col("score") / 100)
-    return retrieval.hybrid(question, whole, bm, docs.select("doc_id", X.low_quality(F.col("output")).alias("low_quality")))
+#: Vectors of the embeddings table stand for those of a model: a query has that of its id, a document
+#: that of its id for its question and the next one for its whole text.
+def _stored_vectors(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    v = table(spark, d, "embeddings").select("vec_id", F.col("embedding").alias("vec"))
+    asked = _asked(spark, d).join(v, F.col("qid") == F.col("vec_id")).select("qid", "query", "vec")
+    return asked, v.withColumnRenamed("vec_id", "doc_id"), v.select((F.col("vec_id") - 1).alias("doc_id"), "vec")
+
+
+def _hybrid(spark: SparkSession, d: str, **options) -> DataFrame:
+    docs = _docs(spark, d)
+    asked, first, second = _stored_vectors(spark, d)
+    known = lambda v: v.join(docs.select("doc_id"), "doc_id", "left_semi")
+    low = docs.select("doc_id", X.low_quality(F.col("output")).alias("low_quality"))
+    return retrieval.hybrid(retrieval.vector_topk(asked, known(first)), retrieval.vector_topk(asked, known(second)), retrieval.bm25_topk(asked, docs), low, **options)
 
 
 def s_overlap(name: str, column: str) -> str:
-    cs = lambda c: f"unnest(list_filter(list_distinct(string_split({c}, '')), lambda x: x <> ''))"
-    return f"""{name}q AS (SELECT item_id AS qid, {cs('text')} AS c FROM heldout_items), {name}d AS (SELECT doc_id, {cs(column)} AS c FROM docs),
-    {name}s AS (SELECT qid, doc_id, count(*)::DOUBLE AS score FROM {name}q JOIN {name}d USING (c) GROUP BY ALL),
+    cs = lambda c: f"list_filter(list_distinct(string_split({c}, '')), lambda x: x <> '')"
+    return f"""{name}s AS (SELECT qid, doc_id, len(list_intersect(qc, dc))::DOUBLE AS score FROM (SELECT item_id AS qid, {cs('text')} AS qc FROM heldout_items), (SELECT doc_id, {cs(column)} AS dc FROM docs)),
     {name} AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, doc_id) AS rank FROM {name}s) WHERE rank <= 8)"""
 
 
@@ -351,13 +468,52 @@ def char_overlap_topk(spark, d):
     return retrieval.char_overlap_topk(_asked(spark, d), _docs(spark, d))
 
 
-S_HYBRID = f"""{S_BM25}, {s_overlap('cq', 'text')}, {s_overlap('cd', 'output')},
-    bn AS (SELECT qid, doc_id, {S_MINMAX} AS norm FROM bm WINDOW w AS (PARTITION BY qid)),
-    al AS (SELECT qid, doc_id, score / 100 AS q, 0.0 AS o, 0.0 AS b FROM cq UNION ALL SELECT qid, doc_id, 0, score / 100, 0 FROM cd UNION ALL SELECT qid, doc_id, 0, 0, norm FROM bn),
+def s_vectors(name: str, shift: int) -> str:
+    dot = "round(list_sum(list_transform(list_zip(q.embedding, v.embedding), lambda p: p[1]::DOUBLE * p[2]::DOUBLE)), 6)"
+    return f"""{name}s AS (SELECT item_id AS qid, v.vec_id - {shift} AS doc_id, {dot} AS score FROM heldout_items h JOIN embeddings q ON q.vec_id = h.item_id, embeddings v WHERE v.vec_id - {shift} IN (SELECT doc_id FROM docs)),
+    {name} AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, doc_id) AS rank FROM {name}s) WHERE rank <= 8)"""
+
+
+S_FUSED = f"""{S_BM25}, {s_vectors('cq', 0)}, {s_vectors('cd', 1)},
+    bn AS (SELECT qid, doc_id, {S_MINMAX} AS norm FROM bm WHERE qid IN (SELECT vec_id FROM embeddings) WINDOW w AS (PARTITION BY qid)),
+    al AS (SELECT qid, doc_id, score AS q, 0.0 AS o, 0.0 AS b FROM cq UNION ALL SELECT qid, doc_id, 0, score, 0 FROM cd UNION ALL SELECT qid, doc_id, 0, 0, norm FROM bn),
     fu AS (SELECT qid, doc_id, sum(q)::DOUBLE AS q, sum(o)::DOUBLE AS o, sum(b)::DOUBLE AS b FROM al GROUP BY ALL),
-    lo AS (SELECT ord AS doc_id, {s_low('output')} AS low_quality FROM eval_medical_qa_rag),
-    hs AS (SELECT qid, doc_id, low_quality, round((0.7::DOUBLE * q + 0.3::DOUBLE * o + 0.25::DOUBLE * b) * CASE WHEN low_quality THEN 0.85::DOUBLE ELSE 1 END, 6) AS score FROM fu JOIN lo USING (doc_id)),
-    hy AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, doc_id)::INT AS final_rank FROM hs) WHERE final_rank <= 3)"""
+    lo AS (SELECT ord AS doc_id, {s_low('output')} AS low_quality FROM eval_medical_qa_rag)"""
+S_RANKED = "hy AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, doc_id)::INT AS final_rank, max(score) OVER (PARTITION BY qid) AS best FROM hs) WHERE final_rank <= 3)"
+S_HYBRID = f"""{S_FUSED}, hs AS (SELECT qid, doc_id, low_quality, round((0.7::DOUBLE * q + 0.3::DOUBLE * o + 0.25::DOUBLE * b) * CASE WHEN low_quality THEN 0.85::DOUBLE ELSE 1 END, 10) AS score FROM fu JOIN lo USING (doc_id)), {S_RANKED}"""
+S_SHARED = "len(list_intersect(list_distinct(list_filter(string_split(h.text, ''), lambda c: c <> '')), list_distinct(list_filter(string_split(docs.text, ''), lambda c: c <> ''))))::DOUBLE / nullif(len(list_distinct(list_filter(string_split(h.text, ''), lambda c: c <> ''))), 0)"
+S_RERANKED = f"""{S_FUSED}, hs AS (SELECT qid, doc_id, low_quality, round(coalesce({S_SHARED}, 0) * CASE WHEN low_quality THEN 0.85::DOUBLE ELSE 1 END, 10) AS score FROM fu JOIN lo USING (doc_id) JOIN docs USING (doc_id) JOIN heldout_items h ON h.item_id = qid), {S_RANKED}"""
+
+
+@query(f"WITH {S_RERANKED} SELECT qid, doc_id, score, low_quality, final_rank FROM hy WHERE best >= 0.8")
+def hybrid_rerank(spark, d):
+    """The rerank slot, and no result for queries whose best candidate is under a threshold."""
+    out = _hybrid(spark, d, rerank=overlap_rerank, texts=_docs(spark, d), queries=_asked(spark, d), threshold=0.8)
+    return out.select("qid", "doc_id", "score", "low_quality", "final_rank")
+
+
+def _scratch(spark: SparkSession, name: str) -> str:
+    """A new folder below the shared one."""
+    return f"{shared_folder(spark)}/{name}-{spark.sparkContext.applicationId}-{spark.sql('select uuid()').first()[0]}"
+
+
+S_INDEX_DOCS = f"docs AS (SELECT ord AS doc_id, {S_CHUNK} AS text FROM eval_medical_qa_rag WHERE {s_clean('instruction')} <> '' AND {s_clean('output')} <> '')"
+
+
+@query("WITH " + S_BM25.replace(S_DOCS, S_INDEX_DOCS) + " SELECT qid, doc_id, score, rank::INT AS rank FROM bm")
+def index_bm25(spark, d):
+    """BM25 over an index that is written and read again."""
+    path = _scratch(spark, "index")
+    retrieval.write_index(retrieval.retrieval_docs(table(spark, d, "eval_medical_qa_rag")), path, hashed_embedding)
+    return retrieval.indexed_bm25(_asked(spark, d), retrieval.read_index(spark, path))
+
+
+@query()
+def index_search(spark, d):
+    """Hybrid search with the embedding and rerank stand-ins over a stored index."""
+    path = _scratch(spark, "index")
+    retrieval.write_index(retrieval.retrieval_docs(table(spark, d, "eval_medical_qa_rag")), path, hashed_embedding)
+    return retrieval.search_index(_asked(spark, d), retrieval.read_index(spark, path), hashed_embedding, rerank=overlap_rerank)
 
 
 @query(f"WITH {S_HYBRID} SELECT qid, doc_id, score, low_quality, final_rank FROM hy")
@@ -372,6 +528,23 @@ def context_pack(spark, d):
     return retrieval.pack_context(hits.select("qid", F.col("final_rank").alias("rank"), F.col("text").alias("block")), 900)
 
 
+@query(f"""WITH {S_DOCS}, {s_overlap('co', 'text')}, bl AS (SELECT qid, rank, '[qa #' || doc_id || ']' || chr(10) || text AS block FROM co JOIN docs USING (doc_id) WHERE score > 0),
+    up AS (SELECT *, sum(length(block)) OVER (PARTITION BY qid ORDER BY rank) AS upto FROM bl)
+    SELECT item_id AS qid, coalesce(string_agg(block, chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY rank), '') AS context FROM heldout_items LEFT JOIN (FROM up WHERE upto <= 600) ON qid = item_id GROUP BY item_id""")
+def kb_context(spark, d):
+    docs = _docs(spark, d).select("doc_id", retrieval.chunk_block(F.lit("qa"), F.col("doc_id"), F.col("text")).alias("block"))
+    hits = retrieval.char_overlap_topk(_asked(spark, d), _docs(spark, d)).join(docs, "doc_id")
+    return retrieval.pack_context(hits, 600, first_always=False, empty="", score="score")
+
+
+S_PROMPT = "'" + retrieval.PROMPT.replace("\n", "' || chr(10) || '") + "'"
+
+
+@query(f"SELECT item_id AS qid, replace(replace({S_PROMPT}, '{{retrieved_context}}', lang), '{{question}}', text) AS prompt FROM heldout_items")
+def rag_prompts(spark, d):
+    return table(spark, d, "heldout_items").select(F.col("item_id").alias("qid"), retrieval.prompt(F.col("lang"), F.col("text")).alias("prompt"))
+
+
 @query()
 def tfidf_topk(spark, d):
     return retrieval.tfidf_topk(_asked(spark, d), _docs(spark, d))
@@ -382,17 +555,45 @@ def kb_chunks(spark, d):
     return table(spark, d, "documents").select("doc_id", F.posexplode(retrieval.chunk_text(F.col("text"))).alias("chunk_id", "chunk"))
 
 
-S_AUDIT = f"""regexp_matches(answer, '{metrics.CERTAIN}') AS possible_over_certainty,
-    regexp_matches(answer, '{metrics.DRUG}') AND NOT regexp_matches(answer, '{metrics.DOCTOR}') AS drug_advice_without_doctor,
-    regexp_matches(question || chr(10) || answer, '{metrics.EMERGENCY}') AND NOT regexp_matches(answer, '{metrics.URGENT}') AS emergency_without_urgent_care"""
+S_AUDIT = f"""a AS (SELECT ord, question, answer, list_filter(string_split(answer, ''), lambda c: regexp_matches(c, '^[\\x{{4e00}}-\\x{{9fff}}]$')) AS han, list_distinct(string_split(coalesce(answer_rejected, ''), '')) AS have FROM medical_qa
+    WHERE question IS NOT NULL AND answer IS NOT NULL),
+    f AS (SELECT ord, CASE WHEN len(han) = 0 THEN false ELSE len(list_filter(han, lambda c: list_contains(have, c))) / len(han) < 0.45 END AS low_context_coverage,
+    regexp_matches(answer, '{metrics.CERTAIN}') AS possible_over_certainty, regexp_matches(answer, '{metrics.DRUG}') AND NOT regexp_matches(answer, '{metrics.DOCTOR}') AS drug_advice_without_doctor,
+    regexp_matches(question || chr(10) || answer, '{metrics.EMERGENCY}') AND NOT regexp_matches(answer, '{metrics.URGENT}') AS emergency_without_urgent_care FROM a),
+    au AS (SELECT *, low_context_coverage OR possible_over_certainty AS possible_new_or_unsupported_fact, drug_advice_without_doctor OR emergency_without_urgent_care AS possible_dangerous_advice FROM f)"""
 
 
-@query(f"""WITH a AS (SELECT ord, question, answer, list_filter(string_split(answer, ''), lambda c: regexp_matches(c, '^[\\x{{4e00}}-\\x{{9fff}}]$')) AS han, list_distinct(string_split(question, '')) AS have FROM medical_qa
-    WHERE question IS NOT NULL AND answer IS NOT NULL)
-    SELECT ord, CASE WHEN len(han) = 0 THEN false ELSE len(list_filter(han, lambda c: list_contains(have, c))) / len(han) < 0.45 END AS low_context_coverage, {S_AUDIT} FROM a""")
-def answer_audit(spark, d):
+def _audited(spark: SparkSession, d: str) -> DataFrame:
+    """Answers audited against the rejected answer as their context."""
     q, a = F.col("question"), F.col("answer")
-    return table(spark, d, "medical_qa").filter("question is not null and answer is not null").select("ord", *metrics.audit(q, a, q)[:4])
+    flags = metrics.audit(q, a, F.coalesce("answer_rejected", F.lit("")))
+    return table(spark, d, "medical_qa").filter("question is not null and answer is not null").select("ord", *flags)
+
+
+@query(f"WITH {S_AUDIT} SELECT * FROM au")
+def answer_audit(spark, d):
+    return _audited(spark, d)
+
+
+@query(f"WITH {S_AUDIT}, n AS (" + " UNION ALL ".join(f"SELECT '{c}' AS flag, count(*) FILTER ({c}) AS n_flagged, count(*) AS n FROM au" for c in metrics.AUDIT) + ") SELECT flag, n_flagged, coalesce(round(n_flagged / n, 4), 0.0::DOUBLE) AS rate FROM n")
+def audit_summary(spark, d):
+    return metrics.audit_summary(_audited(spark, d))
+
+
+@query(f"WITH {S_AUDIT} SELECT ord FROM au WHERE possible_new_or_unsupported_fact OR possible_dangerous_advice ORDER BY ord LIMIT 50")
+def flagged_answers(spark, d):
+    return metrics.flagged_examples(_audited(spark, d), "ord").select("ord")
+
+
+@query("SELECT 'split' AS field, split AS value, count(*) AS n FROM eval_medical_qa_rag GROUP BY split UNION ALL SELECT 'source', source, count(*) FROM eval_medical_qa_rag GROUP BY source")
+def value_counts(spark, d):
+    return metrics.value_counts(table(spark, d, "eval_medical_qa_rag"), "split", "source")
+
+
+@query(f"WITH {S_VEC}, g AS (SELECT vec_id AS qid, vec_id + 1 AS doc_id FROM embeddings WHERE vec_id % 50 = 0) SELECT qid, doc_id FROM g WHERE NOT EXISTS (FROM vt WHERE vt.qid = g.qid AND vt.doc_id = g.doc_id AND rank <= 5) ORDER BY qid LIMIT 50")
+def retrieval_misses(spark, d):
+    q, v = _vectors(spark, d)
+    return metrics.misses(retrieval.vector_topk(q, v), q.select("qid", (F.col("qid") + 1).alias("doc_id")))
 
 
 def s_hit(words: tuple[str, ...]) -> str:
@@ -429,25 +630,99 @@ def grounding_positives(spark, d):
 @query()
 def grounding_examples(spark, d):
     out = grounding.examples(_reports(spark, d), grounding.regions(spark))
-    return out.withColumn("image", F.array_join("image", "|"))
+    return out.withColumn("image", F.array_join("image", "|")).withColumn("conversations", F.to_json("conversations"))
 
 
 @query()
 def grounding_quality(spark, d):
-    return grounding.quality(grounding.examples(_reports(spark, d), grounding.regions(spark)))
+    return grounding.quality(grounding.examples(_reports(spark, d), grounding.regions(spark)), grounding.regions(spark))
 
 
 def s_alias(t: str, n: str) -> str:
     return "CASE " + " ".join(f"WHEN regexp_matches(lower({t}), '{'|'.join(names)}') THEN '{key}'" for key, names in rewards.ALIASES) + f" END {n}"
 
 
-@query(f"""WITH r AS (SELECT rec_id, findings_zh AS c, impression_zh AS a, {s_alias('impression_zh', 'AS reg')} FROM medical_report_zh WHERE findings_zh IS NOT NULL AND impression_zh IS NOT NULL)
-    SELECT rec_id, CASE WHEN lower({s_strip('c')}) = lower({s_strip('a')}) THEN 1.0::DOUBLE ELSE 0 END AS accuracy_reward,
-    CASE WHEN reg IS NULL THEN NULL ELSE CASE reg {" ".join(f"WHEN '{k}' THEN regexp_matches(lower(c), '{'|'.join(n)}')" for k, n in rewards.ALIASES)} END::INT::DOUBLE END AS grounding_region_reward FROM r""")
-def reward_matrix(spark, d):
+def s_label(t: str) -> str:
+    return f"CASE WHEN regexp_matches(lower({t}), '{rewards.SAYS_NO}') THEN 'mismatch' WHEN regexp_matches(lower({t}), '{rewards.SAYS_YES}') THEN 'match' END"
+
+
+def s_expected(t: str) -> str:
+    return f"CASE WHEN contains({t}, '不一致') OR contains(lower({t}), 'mismatch') THEN 'mismatch' WHEN contains({t}, '一致') OR contains(lower({t}), 'match') THEN 'match' END"
+
+
+S_GIVEN = """g AS (SELECT rec_id, CASE WHEN rec_id % 2 = 0 THEN '一致。' ELSE '不一致。' END || impression_zh AS a, '<think>' || CASE WHEN rec_id % 3 = 0 THEN '匹配' ELSE '' END || '</think>' || findings_zh AS c
+    FROM medical_report_zh WHERE findings_zh IS NOT NULL AND impression_zh IS NOT NULL)"""
+
+
+def _rewarded(spark: SparkSession, d: str) -> DataFrame:
     r = table(spark, d, "medical_report_zh").filter("findings_zh is not null and impression_zh is not null")
-    r = rewards.reward_matrix(r.select("rec_id", F.col("findings_zh").alias("completion"), F.col("impression_zh").alias("assistant")), list(REWARDS))
-    return r.select("rec_id", "accuracy_reward", "grounding_region_reward")
+    verdict = F.when(F.col("rec_id") % 2 == 0, "一致。").otherwise("不一致。")
+    thought = F.when(F.col("rec_id") % 3 == 0, "<think>匹配</think>").otherwise("<think></think>")
+    pairs = r.select("rec_id", F.concat(verdict, "impression_zh").alias("assistant"), F.concat(thought, "findings_zh").alias("completion"))
+    return rewards.reward_matrix(pairs, list(REWARDS)).withColumn("reward", rewards.total_reward(list(REWARDS)))
+
+
+S_REWARDS = f"""{S_GIVEN}, r AS (SELECT *, {s_alias('a', 'AS reg')}, {s_expected('a')} AS want, {s_label('c')} AS said FROM g),
+    w AS (SELECT rec_id, CASE WHEN lower({s_strip('c')}) = lower({s_strip('a')}) THEN 1.0::DOUBLE ELSE 0 END AS accuracy_reward,
+    regexp_matches(c, '(?s)^<think>' || chr(10) || '.*?' || chr(10) || '</think>' || chr(10) || '<answer>' || chr(10) || '.*?' || chr(10) || '</answer>$')::INT::DOUBLE AS format_reward,
+    CASE WHEN want IS NOT NULL THEN coalesce(said = want, false)::INT::DOUBLE END AS grounding_label_reward,
+    CASE WHEN reg IS NULL THEN NULL ELSE CASE reg {" ".join(f"WHEN '{k}' THEN regexp_matches(lower(c), '{'|'.join(n)}')" for k, n in rewards.ALIASES)} END::INT::DOUBLE END AS grounding_region_reward,
+    CASE WHEN want IS NOT NULL THEN (regexp_matches(c, '(?s)<think>.*?</think>') AND said IS NOT NULL)::INT::DOUBLE END AS grounding_cot_format_reward FROM r),
+    t AS (SELECT *, {" + ".join(f"coalesce({n}, 0)" for n in ("accuracy_reward", "format_reward", "grounding_label_reward", "grounding_region_reward", "grounding_cot_format_reward"))} AS reward FROM w)"""
+
+
+@query(f"WITH {S_REWARDS} SELECT * FROM t")
+def reward_matrix(spark, d):
+    return _rewarded(spark, d).drop("assistant", "completion")
+
+
+@query(f"""WITH {S_REWARDS}, e AS (SELECT rec_id % 100 AS grp, sum(reward) AS s, count(reward) AS n, stddev_samp(reward) AS sd FROM t GROUP BY 1)
+    SELECT {", ".join(f"round(avg({n}), 6) AS {n}_mean, round(stddev_samp({n}), 6) AS {n}_std" for n in ("grounding_label_reward", "grounding_region_reward"))},
+    (SELECT round(sum(s) / sum(n), 6) FROM e) AS reward_mean, (SELECT round(avg(sd), 6) FROM e) AS reward_std, (SELECT round(avg((coalesce(sd, 0) < 1e-8)::INT), 6) FROM e) AS zero_std_share FROM t""")
+def reward_summary(spark, d):
+    r = _rewarded(spark, d).withColumn("grp", F.col("rec_id") % 100)
+    out = rewards.reward_summary(r, ["grounding_label_reward", "grounding_region_reward"], "grp")
+    return out.select(*[F.round(c, 6).alias(c) for c in out.columns])
+
+
+KEYS = [r[1] for r in grounding.region_rows()]
+S_DIM = "dim AS (SELECT * FROM (VALUES " + ", ".join(f"({i}, '{r[1]}', '{r[2]}')" for i, r in enumerate(grounding.region_rows())) + ") v(slot, key, zh))"
+S_SIDE = "CASE WHEN key LIKE 'left%' THEN NOT contains({0}, '右') WHEN key LIKE 'right%' THEN NOT contains({0}, '左') ELSE true END"
+S_EXAMPLES = f"{S_DIM}, x AS (SELECT rec_id, CASE WHEN rec_id % 2 = 0 THEN 'match' ELSE 'mismatch' END AS label, key, zh, findings_zh AS p FROM medical_report_zh JOIN dim ON slot = rec_id % {len(KEYS)})"
+
+
+def _told(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Stated labels and regions, and the Chinese findings as what a model says about them."""
+    r = table(spark, d, "medical_report_zh")
+    key = F.element_at(F.array(*[F.lit(k) for k in KEYS]), (F.col("rec_id") % len(KEYS)).cast("int") + 1)
+    label = F.when(F.col("rec_id") % 2 == 0, "match").otherwise("mismatch")
+    return r.select(F.col("rec_id").alias("example_id"), label.alias("grounding_label"), key.alias("grounding_region")), r.select(F.col("rec_id").alias("id"), F.col("findings_zh").alias("prediction"))
+
+
+@query(f"""WITH {S_EXAMPLES} SELECT count(*) AS prediction_count, round(avg(coalesce({s_label('p')} = label, false)::INT), 4) AS label_accuracy,
+    round(avg((contains(p, zh) OR contains(lower(p), replace(key, '_', ' ')))::INT), 4) AS region_mention_accuracy, round(avg(({S_SIDE.format('p')})::INT), 4) AS left_right_consistency FROM x WHERE p <> ''""")
+def predictions_scored(spark, d):
+    return grounding.score_predictions(*_told(spark, d), grounding.regions(spark))
+
+
+@query(f"WITH {S_EXAMPLES} SELECT rec_id, contains(p, zh) OR contains(lower(p), replace(key, '_', ' ')) AS names_region, {S_SIDE.format('p')} AS keeps_side FROM x WHERE p IS NOT NULL")
+def region_mentions(spark, d):
+    examples, told = _told(spark, d)
+    names = grounding.regions(spark).select(F.col("key").alias("grounding_region"), "zh_name")
+    rows = examples.join(told.filter("prediction is not null"), F.col("example_id") == F.col("id")).join(F.broadcast(names), "grounding_region")
+    said, key = F.col("prediction"), F.col("grounding_region")
+    return rows.select(F.col("id").alias("rec_id"), grounding.mentions_region(said, key, F.col("zh_name")).alias("names_region"), grounding.keeps_side(said, key).alias("keeps_side"))
+
+
+@query(f"SELECT count(*) AS sample_eval_count, count({s_label('full_report_zh')}) AS n_labelled, avg(CASE WHEN {s_label('full_report_zh')} IS NOT NULL THEN coalesce({s_label('findings_zh')} = {s_label('full_report_zh')}, false)::INT::DOUBLE END) AS grounding_label_accuracy FROM medical_report_zh")
+def label_accuracy(spark, d):
+    return grounding.label_accuracy(table(spark, d, "medical_report_zh"), "findings_zh", "full_report_zh")
+
+
+@query(f"SELECT row_idx, concat_ws(chr(10), nullif({s_strip('findings')}, ''), nullif({s_strip('impression')}, '')) AS report FROM mimic_report_en")
+def report_texts(spark, d):
+    df = table(spark, d, "mimic_report_en")
+    return df.select("row_idx", grounding.report_text(df).alias("report"))
 
 
 @query("""SELECT event_id, round((value - avg(value) OVER (PARTITION BY user_id)) / (stddev_samp(value) OVER (PARTITION BY user_id) + 1e-4), 6) AS advantage FROM events""")
@@ -484,6 +759,23 @@ def best_runs(spark, d):
     return metrics.best_runs(table(spark, d, "events").select("event_type", "event_id", "value"), "value", "event_id", 3, ["event_type"])
 
 
+@query("SELECT event_type, event_id FROM (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY value DESC NULLS LAST, event_id DESC) AS place FROM events) WHERE place > 3")
+def pruned_runs(spark, d):
+    return metrics.pruned_runs(table(spark, d, "events").select("event_type", "event_id", "value"), "value", "event_id", 3, ["event_type"]).select("event_type", "event_id")
+
+
+@query("SELECT event_id FROM events WHERE event_id > 0 AND event_id % 50 = 0")
+def due_evaluations(spark, d):
+    return table(spark, d, "events").filter(metrics.due(F.col("event_id"), 50)).select("event_id")
+
+
+@query()
+def bleu_means(spark, d):
+    norm = lambda c: X.chars(X.squeeze(F.col(c)))
+    pairs = table(spark, d, "medical_qa").select(F.col("ord").alias("id"), norm("answer").alias("reference"), norm("answer_rejected").alias("hypothesis"))
+    return metrics.mean_bleu4(pairs)
+
+
 @query()
 def answer_scores(spark, d):
     df = table(spark, d, "medical_qa").filter("answer is not null and answer_rejected is not null")
@@ -494,15 +786,14 @@ def answer_scores(spark, d):
 def _streamed(spark: SparkSession, d: str, make: Callable[[DataFrame], DataFrame]) -> DataFrame:
     path = f"{d}/medical_qa.parquet"
     schema = spark.read.parquet(path).schema
-    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.gettempdir()
-    out = f"{shared.rstrip('/')}/stream-{spark.sparkContext.applicationId}-{spark.sql('select uuid()').first()[0]}"
+    out = _scratch(spark, "stream")
     streams.write_available(make(streams.read_stream(spark, f"{path}*", schema)), f"{out}/data", f"{out}/state").awaitTermination()
     return spark.read.parquet(f"{out}/data")
 
 
 @query(f"SELECT count(DISTINCT {s_key('question', 'answer')}) AS n FROM medical_qa")
 def stream_dedup(spark, d):
-    rows = _streamed(spark, d, lambda s: streams.dedup_stream(s, "question", "answer").select("ord", "dedup_sha256"))
+    rows = _streamed(spark, d, lambda s: streams.dedup_stream(s, "question", "answer", event_time="ingested_at").select("ord", "dedup_sha256"))
     return rows.agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -511,5 +802,85 @@ def stream_flags(spark, d):
     return _streamed(spark, d, lambda s: streams.flag_stream(s, "answer").select("ord", "_low_quality_flag"))
 
 
+QA_FIELDS = "ord long, question string, answer string, source string"
+S_QA = "SELECT ord, question, answer, source FROM medical_qa"
+
+
+def _qa(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "medical_qa").select("ord", "question", "answer", "source")
+
+
+@query(S_QA)
+def jsonl_roundtrip(spark, d):
+    path = _scratch(spark, "jsonl")
+    io.write_jsonl(_qa(spark, d), path)
+    return io.read_jsonl(spark, path, QA_FIELDS)
+
+
+@query(S_QA)
+def jsonl_tolerant(spark, d):
+    """Broken lines among the records are left out."""
+    path = _scratch(spark, "jsonl")
+    broken = _qa(spark, d).filter("ord % 7 = 0").select(F.concat(F.lit('{"ord": '), "ord", F.lit(', "question": ')).alias("line"))
+    lines = _qa(spark, d).select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("line"))
+    lines.unionByName(broken).write.text(path)
+    return io.read_jsonl(spark, path, QA_FIELDS, strict=False)
+
+
+@query("SELECT item_id, text, lang FROM heldout_items")
+def json_records(spark, d):
+    """A list under a key of one JSON object."""
+    path = _scratch(spark, "json")
+    rows = table(spark, d, "heldout_items").select(F.struct("item_id", "text", "lang").alias("r")).agg(F.collect_list("r").alias("records"))
+    rows.select(F.to_json(F.struct("records")).alias("value")).coalesce(1).write.text(f"{path}.json")
+    return io.load_records(spark, f"{path}.json", "item_id long, text string, lang string")
+
+
+@query(S_QA)
+def append_once(spark, d):
+    """An interrupted run is taken up again: what is there stays, what lacks is added once."""
+    path = _scratch(spark, "append")
+    io.append_once(_qa(spark, d).filter("ord % 3 = 0"), path, "ord")
+    io.append_once(_qa(spark, d), path, "ord")
+    io.append_once(_qa(spark, d), path, "ord")
+    return spark.read.parquet(path)
+
+
+@query("SELECT event_id AS global_step, value::DOUBLE AS bleu4 FROM events WHERE event_id IS NOT NULL")
+def metric_history(spark, d):
+    path = _scratch(spark, "csv")
+    rows = table(spark, d, "events").select(F.col("event_id").alias("global_step"), F.col("value").alias("bleu4"))
+    io.append_csv(rows.filter("global_step % 2 = 0"), path)
+    io.append_csv(rows.filter("global_step % 2 <> 0"), path)
+    return io.metric_history(spark, path)
+
+
+@query("SELECT doc_id, text FROM documents WHERE text IS NOT NULL AND text <> ''")
+def text_tree(spark, d):
+    """Texts written as files of a tree and read again."""
+    path = _scratch(spark, "tree")
+    docs = table(spark, d, "documents").filter("text is not null and text <> ''")
+    docs.select(F.col("doc_id").cast("string").alias("name"), "text").write.partitionBy("name").option("lineSep", "\x1e").text(path)
+    out = io.read_text_tree(spark, path)
+    return out.select(F.regexp_extract("source", r"name=(\d+)", 1).cast("long").alias("doc_id"), F.replace("text", F.lit("\x1e"), F.lit("")).alias("text"))
+
+
+@query("SELECT ord, row_number() OVER (ORDER BY ord) - 1 AS line_no FROM medical_qa")
+def line_numbers(spark, d):
+    return io.with_line_no(table(spark, d, "medical_qa").select("ord").orderBy("ord"))
+
+
+@query(f"SELECT ord, sha256(concat_ws(chr(10), coalesce(instruction, ''), coalesce(input, ''), coalesce(output, ''))) || '_' || ord AS doc_id FROM eval_medical_qa_rag WHERE {s_clean('instruction')} <> '' AND {s_clean('output')} <> ''")
+def gold_rows(spark, d):
+    e = table(spark, d, "eval_medical_qa_rag").withColumns({"line_no": F.col("ord"), "_dedup_sha256": F.lit(None).cast("string")})
+    return io.gold_rows(e).select("ord", "doc_id")
+
+
+@query(f"SELECT id, arg_max(p, ord) AS prediction FROM (SELECT ord % 1000 AS id, ord, coalesce(nullif({s_strip('answer')}, ''), nullif({s_strip('question')}, '')) AS p FROM medical_qa) WHERE p IS NOT NULL GROUP BY id")
+def last_predictions(spark, d):
+    q = table(spark, d, "medical_qa").select((F.col("ord") % 1000).alias("id"), "ord", F.col("answer").alias("prediction"), F.col("question").alias("text"))
+    return io.predictions(q)
+
+
 def flagship(spark: SparkSession, d: str) -> DataFrame:
     return hybrid_search(spark, d)

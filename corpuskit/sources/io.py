@@ -46,14 +46,62 @@ def load_records(spark: SparkSession, path: str, schema: T.StructType | str) ->
 
 
 def with_line_no(df: DataFrame, name: str = "line_no") -> DataFrame:
-    """Number rows in file order. A contiguous number needs one pass to count the partitions first."""
-    schema = T.StructType([*df.schema.fields, T.StructField(name, T.LongType())])
-    return df.rdd.zipWithIndex().map(lambda x: (*x[0], x[1])).toDF(schema)
+    """Number rows in file order, from 0: counts of the partitions first, then their offsets are added."""
+    own = df.withColumn("_at", F.monotonically_increasing_id())
+    part = F.shiftright("_at", 33)
+    counts = own.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect()  # one row a partition
+    offset, at = {}, 0
+    for r in sorted(counts, key=lambda r: r["part"]):
+        offset[r["part"]] = at - (r["part"] << 33)
+        at += r["n"]
+    if not offset:
+        return own.select(*df.columns, F.lit(0).cast("long").alias(name))
+    shift = F.create_map(*[F.lit(x) for pair in offset.items() for x in pair])
+    return own.select(*df.columns, (F.col("_at") + shift[part]).alias(name))
+
+
+def first_file(spark: SparkSession, path: str) -> str:
+    """The first file, by name, that a path or pattern stands for."""
+    return spark.read.format("binaryFile").load(path).select("path").agg(F.min("path")).first()[0]
+
+
+def checkpoints(spark: SparkSession, folder: str) -> DataFrame:
+    """``step, path, save_steps`` of the saved states below a folder that have a trainer_state.json."""
+    files = spark.read.option("wholetext", True).text(f"{folder.rstrip('/')}/checkpoint-*/trainer_state.json").withColumn("file", F.col("_metadata.file_path"))
+    step = F.regexp_extract("file", r"checkpoint-(\d+)/trainer_state\.json$", 1).try_cast("long")
+    return files.select(
+        F.coalesce(step, F.lit(-1)).alias("step"), F.regexp_replace("file", r"/trainer_state\.json$", "").alias("path"),
+        F.get_json_object("value", "$.save_steps").try_cast("double").cast("int").alias("save_steps"),
+    )
+
+
+def last_complete(states: DataFrame, save_steps: int) -> DataFrame:
+    """The latest state saved with these steps, or with none named."""
+    fit = states.filter(F.col("save_steps").isNull() | (F.col("save_steps") == save_steps))
+    return fit.orderBy(F.desc("step"), "path").limit(1)
+
+
+def record_by_id(df: DataFrame, row_id: int, key: str = "row_id") -> DataFrame:
+    """One row by its id; the filter reaches the scan."""
+    return df.filter(F.col(key) == row_id)
+
+
+def read_saved_splits(spark: SparkSession, folder: str, split: str, most: int | None = None) -> DataFrame:
+    """A split of a dataset saved as Arrow shards below ``folder/split``, at most the first ``most`` rows."""
+    spark.dataSource.register(ArrowShards)
+    rows = spark.read.format("arrow_shards").option("path", f"{folder.rstrip('/')}/{split}").load()
+    return rows if most is None else rows.filter(F.col("row_id") < most)
+
+
+def append_csv(df: DataFrame, path: str) -> None:
+    """Add rows to a table of CSV files, each with its header."""
+    df.coalesce(1).write.mode("append").option("header", True).csv(path)
 
 
 def read_text_tree(spark: SparkSession, root: str) -> DataFrame:
     """``source, text`` of all .txt and .md files below a folder; broken bytes are replaced."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).filter(F.lower("path").rlike(r"\.(txt|md)$"))
+    wanted = "*.{[tT][xX][tT],[mM][dD]}"  # other files are never opened
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", wanted).load(root)
     base = Path(root).resolve().as_posix()
     return files.select(F.regexp_replace(F.regexp_replace("path", "^file:/*", "/"), f"^{base}/", "").alias("source"), F.make_valid_utf8(F.col("content").cast("string")).alias("text"))
 

@@ -111,10 +111,13 @@ def test_shapes(spark):
 
 
 def test_merge_images(spark):
-    reports = spark.createDataFrame([(1, "5", {"a": "b"}), (2, "6", None), (3, "zh-1", {"image": "old"})], "rec_id long, _resume_key string, meta map<string,string>")
-    paths = spark.createDataFrame([(5, " ", "p1", None), (5, " ", "p1", None), (6, None, None, None), (None, "x", None, None)], "row_idx long, image string, path string, image_path string")
+    reports = spark.createDataFrame([(1, "5", {"a": "b"}), (2, "6", None), (3, "zh-1", {"image": "old"}), (4, "x", {"row_idx": "7"}), (5, "x", {"_resume_key": "5"})], "rec_id long, _resume_key string, meta map<string,string>")
+    paths = spark.createDataFrame(
+        [(5, "z9", None, None, 1), (5, " ", "p1", None, 2), (5, " ", "p1", None, 3), (5, "", " ", None, 4), (6, None, None, None, 5), (None, "x", None, None, 6), (7, "m", None, None, 7)],
+        "row_idx long, image string, path string, image_path string, ord int",
+    )
     got = {r.rec_id: r.meta for r in shape.merge_images(reports, paths).collect()}
-    assert got == {1: {"a": "b", "image": "p1"}, 2: None, 3: {"image": "old"}}
+    assert got == {1: {"a": "b", "image": "p1"}, 2: None, 3: {"image": "old"}, 4: {"row_idx": "7", "image": "m"}, 5: {"_resume_key": "5", "image": "p1"}}
 
 
 def test_bm25_and_packing(spark):
@@ -169,8 +172,9 @@ def test_grounding_examples(spark):
     out = grounding.examples(reports, grounding.regions(spark), most=3).collect()
     assert len([r for r in out if r.grounding_label == "match"]) == 3 and len(out) == 6
     assert all(not (r.grounding_region.startswith("left") and r.candidate_region.startswith("left")) for r in out if r.grounding_label == "mismatch")
-    q = grounding.quality(spark.createDataFrame(out)).first()
-    assert (q.n, q.bad_format, q.consistent) == (6, 0, 6)
+    q = grounding.quality(spark.createDataFrame(out), grounding.regions(spark)).first()
+    assert (q.n, q.bad_format, q.label_consistency, q.region_mention_rate) == (6, 0, 1.0, 1.0)
+    assert all(r.conversations[0].value.startswith("<image>\n<image>\n") and r.conversations[1].value == r.answer for r in out)
     assert len(grounding.region_rows()) == 14
 
 
@@ -251,3 +255,86 @@ def test_no_cartesian_product(spark):
     df = spark.createDataFrame([(1, "a b c"), (2, "b c d")], "id long, text string")
     plan = dedup.hamming_pairs(dedup.simhash(df))._jdf.queryExecution().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoop" not in plan
+
+
+def test_saved_states_and_files(spark, tmp_path):
+    for name, state in (("checkpoint-5", '{"save_steps": 5}'), ("checkpoint-20", '{"save_steps": 1}'), ("checkpoint-10", "{}"), ("checkpoint-x", '{"save_steps": 5}'), ("checkpoint-30", None)):
+        (tmp_path / name).mkdir()
+        if state:
+            (tmp_path / name / "trainer_state.json").write_text(state)
+    states = io.checkpoints(spark, str(tmp_path))
+    assert sorted(r.step for r in states.collect()) == [-1, 5, 10, 20]
+    assert [r.step for r in io.last_complete(states, 5).collect()] == [10] and [r.step for r in io.last_complete(states, 1).collect()] == [20]
+    for name in ("b.txt", "a.txt"):
+        (tmp_path / name).write_text(name)
+    assert io.first_file(spark, f"{tmp_path}/*.txt").endswith("/a.txt")
+    for split, n in (("train", 5), ("test", 2)):
+        (tmp_path / split).mkdir()
+        batch = pa.table({"x": list(range(n))})
+        with pa.ipc.new_file(str(tmp_path / split / "data-0.arrow"), batch.schema) as f:
+            f.write_table(batch)
+    rows = io.read_saved_splits(spark, str(tmp_path), "train", 3)
+    assert sorted((r.row_id, r.x) for r in rows.collect()) == [(0, 0), (1, 1), (2, 2)]
+    assert [r.x for r in io.record_by_id(io.read_saved_splits(spark, str(tmp_path), "train"), 4).collect()] == [4]
+
+
+def test_line_numbers_follow_the_files(spark, tmp_path):
+    spark.range(100).repartition(7).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    numbered = io.with_line_no(df)
+    assert [r.line_no for r in numbered.collect()] == list(range(100)) and [r.id for r in numbered.collect()] == [r.id for r in df.collect()]
+    assert io.with_line_no(df.limit(0)).count() == 0
+
+
+def test_preference_records(spark):
+    rows = [(1, "a<image>\nb", "yes", "no", "why", "hm"), (2, "q", "yes", "no", None, " ")]
+    df = spark.createDataFrame(rows, "id long, prompt string, chosen string, rejected string, chosen_reasoning string, rejected_reasoning string")
+    got = {r.id: r for r in shape.dpo_record(df, reasoning=True).collect()}
+    assert got[1].prompt == f"<|im_start|>user\na{shape.VISION}b<|im_end|>\n<|im_start|>assistant\n" and got[1].chosen == "<think>\nwhy\n</think>\n\nyes<|im_end|>\n"
+    assert got[2].rejected == "no<|im_end|>\n"
+    with pytest.raises(Exception, match="reasoning on one side"):
+        shape.dpo_record(df.withColumn("rejected_reasoning", F.lit(None).cast("string")), reasoning=True).collect()
+
+
+def test_messages_scores_and_tables(spark):
+    r = spark.range(1).select(
+        shape.chat_message(F.array(F.lit("a.png")), F.lit("hi")).alias("m"), shape.score_item(F.array(F.lit("3"), F.lit("0.5"))).alias("two"),
+        shape.score_item(F.array(F.lit("1"), F.lit("d"), F.lit("0.25"))).alias("three"),
+    ).first()
+    assert [tuple(p) for p in r.m] == [("image", "a.png", None), ("text", None, "hi")] and tuple(r.two) == (3, None, 0.5) and tuple(r.three) == (1, "d", 0.25)
+    df = spark.createDataFrame([(7, (0.5, 0.25), (0.75, 0.5))], "step int, base struct<bleu1:double,bleu2:double>, finetuned struct<bleu1:double,bleu2:double>")
+    flat = metrics.flat_metrics(df, ("bleu1", "bleu2"))
+    assert flat.columns == ["step", "base_bleu1", "base_bleu2", "finetuned_bleu1", "finetuned_bleu2"]
+    both = metrics.compared(df.select("base.*"), df.select("finetuned.*"), ("bleu1", "bleu2"))
+    assert {(x.metric, x.delta) for x in both.collect()} == {("bleu1", 0.25), ("bleu2", 0.25)}
+    pairs = spark.createDataFrame([(1, list("abcde"), list("abcde")), (2, [], list("a"))], "id long, reference array<string>, hypothesis array<string>")
+    assert tuple(metrics.mean_bleu4(pairs).first()) == (1, 1.0) and metrics.mean_scores(metrics.text_scores(pairs)).first().bleu1 == 0.5
+    assert retrieval.depth(8) == (8, 8) and retrieval.depth(8, 0, 3) == (8, 3)
+
+
+def test_grounding_quality(spark):
+    make = lambda i, label, g, c, a, image: (i, label, g, c, a, image)
+    rows = [
+        make(1, "match", "left_hilum", "left_hilum", "一致。对应区域：左肺门。", ["f", "c1"]), make(2, "mismatch", "left_hilum", "right_upper_lung", "不一致。左肺门", ["f", "c2"]),
+        make(3, "mismatch", "cardiomediastinal", "bilateral_lungs", "一致。", ["f"]), make(4, "match", "left_lung", "left_lung", "左肺野不一致", ["f", "http://x"]),
+    ]
+    df = spark.createDataFrame(rows, "id long, grounding_label string, grounding_region string, candidate_region string, answer string, image array<string>")
+    q = grounding.quality(df, grounding.regions(spark), spark.createDataFrame([("c1",)], "path string")).first()
+    assert (q.n, q.bad_format, q.missing_crops, q.side_errors, q.level_errors, q.label_consistency, q.region_mention_rate) == (4, 1, 1, 2, 2, 0.5, 0.75)
+
+
+def test_hamming_pairs_equal_brute_force(spark):
+    rng = random.Random(4)
+    base = [rng.getrandbits(64) for _ in range(40)]
+    values = {b ^ sum(1 << i for i in rng.sample(range(64), rng.randrange(5))) for b in base for _ in range(5)}
+    signed = sorted(v - (1 << 64) if v >> 63 else v for v in values)
+    want = {(a, b) for i, a in enumerate(signed) for b in signed[i + 1 :] if ((a ^ b) & (1 << 64) - 1).bit_count() <= 3}
+    got = {(r.a, r.b) for r in dedup.hamming_pairs(spark.createDataFrame([(x,) for x in signed], "simhash long")).collect()}
+    assert got == want and want
+
+
+def test_repeated_clauses():
+    assert cleanup.merge_clauses("我已经头疼三天多了，我已经头疼三天多了怎么办？，您好，") == "我已经头疼三天多了怎么办？"
+    assert cleanup.merge_clauses("a, b") == "a,b" and cleanup.merge_clauses("一句话") == "一句话"
+    assert cleanup.distinct_sentences("胃疼很久了。胃疼很久了！短。") == ["胃疼很久了。"]
+    assert cleanup.distinct_sentences("治疗情况：无\n今天上午开始咳嗽有痰并且发烧了。昨天今天上午开始咳嗽有痰并且发烧了。") == ["今天上午开始咳嗽有痰并且发烧了。"]
