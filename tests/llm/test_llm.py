@@ -219,6 +219,21 @@ def test_scattered_edits_are_found_down_to_the_threshold(spark):
     assert overlaps(spark, rows) == want
 
 
+def test_the_exact_way_loses_nothing(spark):
+    rng = random.Random(21)
+    base = ["".join(rng.choice("abcdef") for _ in range(rng.choice([6, 12, 40, 150]))) for _ in range(20)]
+    rows = []
+    for i in range(160):
+        t = list(rng.choice(base))
+        for _ in range(rng.choice([0, 1, 1, 3, 6])):
+            t[rng.randrange(len(t))] = rng.choice("abcdef")
+        rows.append((i, i % 3 > 0, "".join(t)))
+    df = spark.createDataFrame([*rows, (900, True, ""), (901, False, None)], "id long, train boolean, text string")
+    want = {(i, j) for i, a, s in rows for j, b, t in rows if a and not b and jaccard(s, t) >= 0.7}
+    got = {(r.id_train, r.id_other) for r in split_overlap.split_overlaps(df, exact=True).collect()}
+    assert want and {p for p in want if rows[p[0]][2] != rows[p[1]][2]} == {p for p in got if rows[p[0]][2] != rows[p[1]][2]}
+
+
 def test_equal_texts_are_cut_alike_whatever_stands_before():
     rng = random.Random(5)
     rows = ["".join(rng.choice("abcdefgh") for _ in range(rng.randrange(60))) for _ in range(400)]
