@@ -1,12 +1,17 @@
-"""A compressed FM-index in numpy: wavelet matrix over the Burrows-Wheeler transform.
+"""A compressed FM-index in numpy: wavelet matrix over the Burrows-Wheeler transform, sampled suffix array.
 
-All searches are batched: one step of backward search moves every pattern by one symbol.
+All searches are batched: one step of backward search moves every pattern by one symbol. Of the suffix
+array only every SAMPLE-th position is kept, in four bytes; other places are found by walking back
+through the transform. The text stays beside it in one or two bytes a symbol, for extensions to the right.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
+SAMPLE = 16
+PLACES = 200_000  # occurrences extended at once
+
 
 def suffix_array(text: np.ndarray) -> np.ndarray:
     """Prefix doubling in which only suffixes of still equal rank are sorted again."""
@@ -44,6 +49,9 @@ class BitRank:
         self.before = np.zeros(len(self.words), np.int64)
         np.cumsum(np.bitwise_count(self.words[:-1]), out=self.before[1:])
 
+    def get(self, i: np.ndarray) -> np.ndarray:
+        return (self.words[i >> 6] >> (i & 63).astype(np.uint64) & np.uint64(1)).astype(bool)
+
     def rank1(self, i: np.ndarray) -> np.ndarray:
         word = i >> 6
         mask = (np.uint64(1) << (i & 63).astype(np.uint64)) - np.uint64(1)
@@ -73,24 +81,49 @@ class WaveletMatrix:
         """How often symbol occurs before i."""
         return self._descend(symbol, i) - self.first[symbol]
 
+    def at(self, i: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The symbol at i, and how often it occurs before i."""
+        symbol = np.zeros(len(i), np.int64)
+        for bits, zeros in zip(self.bits, self.zeros):
+            bit, ones = bits.get(i), bits.rank1(i)
+            symbol = symbol << 1 | bit
+            i = np.where(bit, zeros + ones, i - ones)
+        return symbol, i - self.first[symbol]
+
 
 class FMIndex:
-    """Over texts joined by a separator; positions refer to ``self.text``, which has margins."""
+    """Over texts joined by a separator; positions refer to ``self.text``."""
 
     SEPARATOR, END = 1, 0
 
     def __init__(self, parts: list[np.ndarray]) -> None:
         self.alphabet = np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.uint32)
+        sigma = len(self.alphabet) + 2
         body = []
         for part in parts:
             body += [np.searchsorted(self.alphabet, part) + 2, [self.SEPARATOR]]
-        self.text = np.concatenate([*body, [self.END]]).astype(np.int64)
+        text = np.concatenate([*body, [self.END]]).astype(np.int64)
+        self.text = text.astype(np.uint8 if sigma <= 256 else np.uint16 if sigma <= 65536 else np.uint32)
         lengths = np.array([len(p) + 1 for p in parts], np.int64)
         self.starts = np.concatenate([[0], np.cumsum(lengths)])
-        self.sa = suffix_array(self.text)
-        sigma = len(self.alphabet) + 2
-        self.bwt = WaveletMatrix(self.text[self.sa - 1], sigma)
-        self.less = np.concatenate([[0], np.cumsum(np.bincount(self.text, minlength=sigma))])
+        order = suffix_array(text)
+        self.bwt = WaveletMatrix(text[order - 1], sigma)
+        self.less = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=sigma))])
+        sampled = order % SAMPLE == 0
+        self.marks, self.samples = BitRank(sampled), (order[sampled] // SAMPLE).astype(np.int32)
+
+    def locate(self, rows: np.ndarray) -> np.ndarray:
+        """Text positions of rows of the suffix array."""
+        out, rows, open_, steps = np.empty(len(rows), np.int64), rows.copy(), np.arange(len(rows)), 0
+        while len(open_):
+            known = self.marks.get(rows[open_])
+            done = open_[known]
+            out[done] = self.samples[self.marks.rank1(rows[done])].astype(np.int64) * SAMPLE + steps
+            open_ = open_[~known]
+            symbol, before = self.bwt.at(rows[open_])
+            rows[open_] = self.less[symbol] + before
+            steps += 1
+        return out
 
     def symbols(self, codes: np.ndarray) -> np.ndarray:
         """Symbols of the index for code points; -1 where the index doesn't have the code point."""
@@ -99,22 +132,27 @@ class FMIndex:
         at = np.minimum(np.searchsorted(self.alphabet, codes), len(self.alphabet) - 1)
         return np.where(self.alphabet[at] == codes, at + 2, -1)
 
-    def backward(self, symbols: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-        """Suffix-array intervals of ``symbols[end - length : end]`` for every end; empty: lo = hi."""
+    def backward(self, symbols: np.ndarray, ends: np.ndarray, length: int, most: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Suffix-array intervals of ``symbols[end - length : end]`` for every end, empty: lo = hi; and the
+        matching statistics up to ``most``: how long a stretch before each end occurs in the index."""
+        most = max(most, length)
         lo, hi = np.zeros(len(ends), np.int64), np.full(len(ends), len(self.text), np.int64)
+        found, statistics = [lo, hi], np.zeros(len(ends), np.int64)
         alive = np.arange(len(ends))
-        for step in range(1, length + 1):
+        for step in range(1, most + 1):
+            alive = alive[ends[alive] >= step]
             s = symbols[ends[alive] - step]
-            ok = s >= 0
-            hi[alive[~ok]] = lo[alive[~ok]]
-            alive, s = alive[ok], s[ok]
+            alive, s = alive[s >= 0], s[s >= 0]
             both = self.bwt.rank(np.concatenate([s, s]), np.concatenate([lo[alive], hi[alive]]))
-            lo[alive] = self.less[s] + both[: len(s)]
-            hi[alive] = self.less[s] + both[len(s) :]
+            lo[alive], hi[alive] = self.less[s] + both[: len(s)], self.less[s] + both[len(s) :]
             alive = alive[lo[alive] < hi[alive]]
+            statistics[alive] = step
+            if step == length:
+                found = [lo.copy(), hi.copy()]
             if not len(alive):
                 break
-        return lo, np.maximum(lo, hi)
+        whole = statistics >= length
+        return np.where(whole, found[0], 0), np.where(whole, found[1], 0), statistics
 
 
 def common_prefix(a: np.ndarray, at: np.ndarray, b: np.ndarray, bt: np.ndarray, most: int, step: int) -> np.ndarray:
@@ -131,28 +169,38 @@ def long_matches(index: FMIndex, query: np.ndarray, starts: np.ndarray, least: i
     """Matching statistics at block ends, extended to intervals.
 
     Rows (query row, index part, start, end) of spans of at least ``least`` symbols that a query row
-    shares with a part. Every such span holds a block of least // 2 aligned to the row; the reported
-    intervals reach half of ``least`` beyond their block, and their union is the whole span.
+    shares with a part. Such a span holds a block of least // 2 aligned to the row, and the last of its
+    block ends has a matching statistic above least - block; only these ends are looked up. The reported
+    intervals reach least - block beyond their block, and their union is the whole span.
     """
     block = least // 2
-    counts = np.maximum(np.diff(starts), 0) // block
+    lengths = np.diff(starts)
+    counts = np.maximum(lengths, 0) // block
     rows = np.repeat(np.arange(len(counts)), counts)
     within = np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
     begin = starts[:-1][rows] + within * block
-    symbols = index.symbols(query)
-    lo, hi = index.backward(symbols, begin + block, block)
-    n = hi - lo
-    which = np.repeat(np.arange(len(n)), n)
-    places = index.sa[np.repeat(lo - np.cumsum(n) + n, n) + np.arange(int(n.sum()))] if len(which) else np.zeros(0, np.int64)
-    part = np.searchsorted(index.starts, places, side="right") - 1
     # margins: rows of the query end in -2, which no text has
-    lengths = np.diff(starts)
+    symbols = index.symbols(query)
     wide = np.full(len(query) + len(lengths) + 2 * least, -2, np.int64)
     wide[np.arange(len(query)) + np.repeat(np.arange(len(lengths)), lengths) + least] = symbols
-    text = np.concatenate([np.full(least, -3), index.text, np.full(least, -3)])
-    q = begin[which] + rows[which] + least
-    left = common_prefix(wide, q - 1, text, places + least - 1, least - block, -1)
-    right = common_prefix(wide, q + block, text, places + least + block, least - block, 1)
-    keep = left + block + right >= least
-    at = within[which] * block
-    return np.stack([rows[which], part, at - left, at + block + right], 1)[keep]
+    at = begin + rows + least  # blocks in the query with its margins
+    lo, hi, statistics = index.backward(wide, at + block, block, least)
+    pick = np.nonzero((statistics > least - block) | (statistics >= least))[0]
+    n = (hi - lo)[pick]
+    text = np.concatenate([np.full(least, -3), index.text, np.full(least, -3)]).astype(np.int32)
+    out = [np.zeros((0, 4), np.int64)]
+    cuts = np.searchsorted(np.cumsum(n), np.arange(PLACES, int(n.sum()) + PLACES, PLACES), side="left") + 1
+    for a, b in zip(np.r_[0, cuts[:-1]].tolist(), cuts.tolist()):
+        some, m = pick[a:b], n[a:b]
+        which = np.repeat(some, m)
+        if not len(which):
+            continue
+        places = index.locate(np.repeat(lo[some] - np.cumsum(m) + m, m) + np.arange(int(m.sum())))
+        part = np.searchsorted(index.starts, places, side="right") - 1
+        q = at[which]
+        left = common_prefix(wide, q - 1, text, places + least - 1, least - block, -1)
+        right = common_prefix(wide, q + block, text, places + least + block, least - block, 1)
+        keep = left + block + right >= least
+        head = within[which] * block
+        out.append(np.stack([rows[which], part, head - left, head + block + right], 1)[keep])
+    return np.concatenate(out)

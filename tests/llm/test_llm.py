@@ -122,7 +122,14 @@ def test_fm_index_counts_and_matches():
     index = FMIndex(codes)
     query = "".join(rng.choice("abcd") for _ in range(10)) + texts[2][5:33] + "d" + texts[4][:21]
     q = np.array(list(map(ord, query)), np.uint32)
-    lo, hi = index.backward(index.symbols(q), np.arange(4, len(q) + 1), 4)
+    lo, hi, longest = index.backward(index.symbols(q), np.arange(4, len(q) + 1), 4, 12)
+    whole = "\0".join(texts)
+    assert longest.tolist() == [max(n for n in range(13) if n <= e and query[e - n : e] in whole) for e in range(4, len(q) + 1)]
+    joined = "".join(t + "|" for t in texts)
+    places = index.locate(np.arange(len(index.text)))
+    assert sorted(places.tolist()) == list(range(len(joined) + 1)) and (places[lo[hi > lo]] >= 0).all()
+    for k in np.nonzero(hi > lo)[0]:
+        assert {joined[p : p + 4] for p in places[lo[k] : hi[k]]} == {query[k : k + 4]}
     assert (hi - lo).tolist() == [sum(t[i : i + 4] == query[k : k + 4] for t in texts for i in range(len(t) - 3)) for k in range(len(q) - 3)]
     hits = {(int(p), int(s), int(e)) for _, p, s, e in long_matches(index, q, np.array([0, len(q)]), 20)}
     assert any(p == 2 and e - s >= 20 for p, s, e in hits) and any(p == 4 for p, _, _ in hits)
@@ -156,6 +163,18 @@ def test_shared_spans_equal_brute_force(spark):
     assert shared_spans.shared_span_pairs(df.limit(0)).count() == 0
 
 
+def test_a_passage_in_very_many_texts(spark):
+    rng = random.Random(17)
+    make = lambda n: "".join(rng.choice("abcdefghij") for _ in range(n))
+    passage = make(260)
+    n = 400
+    rows = [(i, make(150) + passage + make(150)) for i in range(n)] + [(n, make(600))]
+    df = spark.createDataFrame(rows, "id long, text string")
+    assert shared_spans.shared_span_pairs(df, shard_chars=20_000, query_chars=30_000).count() == n * (n - 1) // 2
+    portions = {r.id: r.shared_chars for r in shared_spans.shared_portions(df, shard_chars=20_000, query_chars=30_000).collect()}
+    assert n not in portions and all(260 <= portions[i] < 270 for i in range(n))
+
+
 # problem 7
 def test_leaks_equal_brute_force(spark):
     rng = random.Random(8)
