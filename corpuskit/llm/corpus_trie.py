@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 import xxhash
 
 from .common import Sieve
-from .kernels import MULT, U64, flat, mix, slices, texts
+from .kernels import MULT, U64, flat, mix, powers, slices, texts
 
 LENGTHS = (2, 3, 4, 6, 9, 12, 16)
 HEADS = (5, 7, 9)  # how much of a clause's beginning its nodes hold
@@ -40,21 +40,6 @@ CUT_MARKS = "…�·—–-_~*#`^\"'“‘([{<，,、;；:：/\\|"
 CLOSED = "。!?.！？．｡"
 GOES_ON = (",", "、", ";", ":")
 
-BASE = 0x9E3779B97F4A7C15
-BACK = pow(BASE, -1, 1 << 64)
-_powers: list[np.ndarray] = [np.ones(1, U64), np.ones(1, U64)]
-
-
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first n powers of BASE and of its inverse, modulo 2^64."""
-    if len(_powers[0]) < n:
-        for k, base in enumerate((BASE, BACK)):
-            steps = np.full(n, base, U64)
-            steps[0] = 1
-            _powers[k] = np.cumprod(steps, dtype=U64)
-    return _powers[0], _powers[1]
-
-
 @cache
 def fold_table() -> np.ndarray:
     """Code point -> lower-cased, half-width code point; any digit is 0, any white space a blank."""

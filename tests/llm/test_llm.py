@@ -257,9 +257,9 @@ def test_equal_texts_are_cut_alike_whatever_stands_before():
     rng = random.Random(5)
     rows = ["".join(rng.choice("abcdefgh") for _ in range(rng.randrange(60))) for _ in range(400)]
     codes, starts = kernels.flat(pa.array(rows))
-    got = split_overlap.chunk_bounds(codes, starts, 1)
+    got = split_overlap.Cutter(codes, starts).bounds(1)
     for row, at, end in zip(rows, starts[:-1].tolist(), starts[1:].tolist()):
-        alone = split_overlap.chunk_bounds(*kernels.flat(pa.array([row])), 1).tolist()
+        alone = split_overlap.Cutter(*kernels.flat(pa.array([row]))).bounds(1).tolist()
         assert row == "" or [x - at for x in got.tolist() if at <= x <= end] == alone
 
 
