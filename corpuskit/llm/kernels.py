@@ -12,6 +12,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 U64 = np.uint64
 MULT = U64(0x9E3779B97F4A7C15)
@@ -146,8 +147,6 @@ def window_rows(starts: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
 
 def row_hashes(codes: np.ndarray, starts: np.ndarray, salt: int = 0) -> np.ndarray:
     """64-bit hash of each row's code points."""
-    import xxhash
-
     view = memoryview(np.ascontiguousarray(codes)).cast("B")
     out = [xxhash.xxh3_64_intdigest(view[a:b], salt) for a, b in zip((starts[:-1] * 4).tolist(), (starts[1:] * 4).tolist())]
     return np.array(out, U64)

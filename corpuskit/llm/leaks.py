@@ -32,7 +32,7 @@ from .kernels import U64, flat, gram_hashes, normalise, slices, texts, window_ro
 GRAM, BLOCK = 12, 8
 K1, B = 1.5, 0.75
 RUN = {"en": 70, "zh": 34}
-MOST_ITEMS = 100_000
+MOST_ITEMS, MOST_CHARS = 100_000, 20_000_000
 
 
 class Index:
@@ -173,9 +173,12 @@ def _found(index: Index):
 def leaked_items(df: DataFrame, items: DataFrame, runs: dict[str, int] = RUN, most_items: int = MOST_ITEMS) -> DataFrame:
     """``df(id, text)`` and ``items(item_id, text, lang)`` -> ``(id, item_id)``.
 
-    The items are indexed on the driver: more than ``most_items`` raise an error; split them into
-    blocks then and unite the results.
+    The items are indexed on the driver, and the index ships with the tasks: more than ``most_items``, or
+    more than MOST_CHARS characters in them, raise an error before any is read; pass them in blocks then
+    and unite the results.
     """
+    if (items.agg(F.sum(F.length("text"))).first()[0] or 0) > MOST_CHARS:
+        raise ValueError(f"more than {MOST_CHARS} characters in held-out items; pass them in blocks")
     rows = items.select("item_id", "text", "lang").filter("text is not null and item_id is not null").limit(most_items + 1).collect()
     if len(rows) > most_items:
         raise ValueError(f"more than {most_items} held-out items; pass them in blocks")

@@ -19,27 +19,25 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
+from public_tokenizers import PATTERN  # the split pattern that belongs to the public vocabularies
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import cut
 
-TOKENIZER = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 MOST_SOURCES = 10_000
 BUCKET_DOCS = 2_000
 
 
 @cache
 def tokenizer(path: str):
-    import tiktoken
-    from public_tokenizers import PATTERN
-
     with open(path, "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
     return tiktoken.Encoding("public", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-def token_counts(df: DataFrame, path: str = TOKENIZER) -> DataFrame:
+def token_counts(df: DataFrame, path: str) -> DataFrame:
     """``df(id, source, text)`` -> ``(id, source, n_tokens)``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,12 +128,13 @@ def largest_total(leaves: list[tuple[str, float, float]], domain_of: dict[str, s
 
 
 def mixture(
-    docs: DataFrame, weights: DataFrame, domain_of: dict[str, str], total_tokens: int | None = None, seed: int = 17, path: str = TOKENIZER
+    docs: DataFrame, weights: DataFrame, domain_of: dict[str, str], path: str, total_tokens: int | None = None, times: float | None = None, seed: int = 17
 ) -> tuple[DataFrame, DataFrame]:
     """``docs(id, source, text)``, ``weights(source, target_share, max_repeats)`` -> (mixture, report).
 
-    mixture: ``id, source, n_tokens, n_copies``; report: a row per weighted source. Without
-    ``total_tokens`` the mixture is the largest in which every source that has documents reaches its
+    ``path``: the vocabulary file of a public tokenizer, which every machine must have. mixture: ``id,
+    source, n_tokens, n_copies``; report: a row per weighted source. The mixture has ``total_tokens``, or
+    ``times`` the tokens of all weighted sources. Without either it is the largest in which every source that has documents reaches its
     target; a larger total makes sources run short, and the others take over their shares.
     """
     spark = docs.sparkSession
@@ -151,6 +150,8 @@ def mixture(
     leaves = [(s, w, have.get(s, (0, 0))[0] * most) for s, (w, most) in want.items()]
     weight = sum(w for _, w, _ in leaves) or 1.0
     leaves = [(s, w / weight, room) for s, w, room in leaves]
+    if times is not None:
+        total_tokens = int(times * sum(n for n, _ in have.values()))
     budget = largest_total(leaves, domain_of) if total_tokens is None else total_tokens
     given = budgets(tree(leaves, domain_of), budget)
     plan = []

@@ -149,9 +149,13 @@ DOMAINS = {
 }
 
 
-def _mixture(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+#: Vocabulary file of a public tokenizer; it must be there on every machine.
+TOKENIZER = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
+
+
+def _mixture(spark: SparkSession, d: str, **options) -> tuple[DataFrame, DataFrame]:
     docs = table(spark, d, "documents").select(F.col("doc_id").alias("id"), "source", "text")
-    return mixture(docs, table(spark, d, "source_weights"), DOMAINS)
+    return mixture(docs, table(spark, d, "source_weights"), DOMAINS, TOKENIZER, **options)
 
 
 def p8_mixture(spark: SparkSession, d: str) -> DataFrame:
@@ -162,6 +166,11 @@ def p8_shares(spark: SparkSession, d: str) -> DataFrame:
     return _mixture(spark, d)[1]
 
 
+def p8_capped(spark: SparkSession, d: str) -> DataFrame:
+    """Shares of a mixture as large as all sources: small ones run into their repeats, siblings take over."""
+    return _mixture(spark, d, times=1.0)[1]
+
+
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return shared_span_pairs(_texts(spark, d)).withColumnsRenamed({"id_a": "doc_a", "id_b": "doc_b"})
 
@@ -171,5 +180,5 @@ def p9_shared(spark: SparkSession, d: str) -> DataFrame:
     return shared_portions(_texts(spark, d)).withColumnRenamed("id", "doc_id")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_redacted, p2_found, p4_found, p4_rates, p3_found, p3_groups, p5_found, p6_found, p6_counts, p7_found, p7_items, p8_mixture, p8_shares, p9_found, p9_shared)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_redacted, p2_found, p4_found, p4_rates, p3_found, p3_groups, p5_found, p6_found, p6_counts, p7_found, p7_items, p8_mixture, p8_shares, p8_capped, p9_found, p9_shared)}
 ORACLE: dict[str, str] = {}

@@ -9,6 +9,9 @@ from corpuskit.llm import corpus_trie, kernels, leaks, mixture, near_duplicates,
 from corpuskit.llm.fm_index import FMIndex, long_matches, suffix_array
 
 
+TOKENIZER = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
+
+
 def norm(s):
     return "".join(c for c in (s or "").lower() if c.isalnum())
 
@@ -285,14 +288,16 @@ def test_mixture_reaches_its_shares(spark):
     rng = random.Random(1)
     rows = [(i, rng.choice(["a_en", "b_en", "b_en", "b_en", None]), words(rng, 20)) for i in range(600)] + [(900, "a_en", None), (901, "a_en", "")]
     weights = spark.createDataFrame([("a_en", 0.5, 3), ("b_en", 0.3, 1), ("none_zh", 0.2, 9), (None, 0.1, 1)], "source string, target_share double, max_repeats int")
-    mixed, report = mixture.mixture(frame(spark, rows, "id long, source string, text string"), weights, {})
+    mixed, report = mixture.mixture(frame(spark, rows, "id long, source string, text string"), weights, {}, TOKENIZER)
     got = {r.source: r for r in report.collect()}
     assert got["none_zh"].tokens == 0 and abs(got["a_en"].share - 0.625) < 0.01 and got["a_en"].most_copies <= 3 and got["b_en"].most_copies == 1
     copies = {r.id: r.n_copies for r in mixed.collect()}
     assert 900 not in copies and 901 not in copies and max(copies.values()) <= 3
-    again = mixture.mixture(spark.createDataFrame(rows, "id long, source string, text string").repartition(7), weights, {})[0]
+    again = mixture.mixture(spark.createDataFrame(rows, "id long, source string, text string").repartition(7), weights, {}, TOKENIZER)[0]
     assert {r.id: r.n_copies for r in again.collect()} == copies
-    assert mixture.mixture(spark.createDataFrame([], "id long, source string, text string"), weights, {})[0].count() == 0
+    assert mixture.mixture(spark.createDataFrame([], "id long, source string, text string"), weights, {}, TOKENIZER)[0].count() == 0
+    capped = {r.source: r for r in mixture.mixture(spark.createDataFrame(rows, "id long, source string, text string"), weights, {}, TOKENIZER, times=1.5)[1].collect()}
+    assert capped["b_en"].most_copies == 1 and capped["b_en"].tokens == capped["b_en"].source_tokens and capped["a_en"].most_copies == 3
 
 
 # problem 1
