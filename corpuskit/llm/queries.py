@@ -6,13 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import components, table, text_of
-from .leaks import leaked_items
+from .leaks import RUN, leaked_items
 from .mixture import mixture
 from .near_duplicates import near_duplicate_links, near_duplicate_pairs
 from .pair_defects import pair_defects
 from .personal_data import personal_data
 from .sentence_alignment import aligned_sentences
-from .shared_spans import shared_portions, shared_span_pairs
+from .shared_spans import LEAST, shared_portions, shared_span_pairs
 from .split_overlap import split_overlaps
 from .truncation import truncated
 
@@ -181,4 +181,41 @@ def p9_shared(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (p1_found, p1_redacted, p2_found, p4_found, p4_rates, p3_found, p3_groups, p5_found, p6_found, p6_counts, p7_found, p7_items, p8_mixture, p8_shares, p8_capped, p9_found, p9_shared)}
-ORACLE: dict[str, str] = {}
+# SQL that finds the same by brute force, on small tables
+def s_norm(c: str) -> str:
+    return f"regexp_replace(lower({c}), '[^\\p{{L}}\\p{{N}}]', '', 'g')"
+
+
+def s_windows(text: str, size: str) -> str:
+    return f"unnest(list_transform(range(1, length({text}) - {size} + 2), lambda i: hash(substr({text}, i, {size}))))"
+
+
+def s_similar(records: str) -> str:
+    """Pairs ``x < y`` of ``records(grp, id, t)`` with similarity of at least 0.7 over 5-character substrings."""
+    return f"""rec AS ({records}), sub AS (SELECT DISTINCT grp, id, h FROM (SELECT grp, id, {s_windows('t', '5')} AS h FROM rec)), num AS (SELECT grp, id, count(*) AS n FROM sub GROUP BY ALL),
+    both_ AS (SELECT a.grp, a.id AS x, b.id AS y, count(*) AS c FROM sub a JOIN sub b ON a.grp = b.grp AND a.h = b.h AND a.id < b.id GROUP BY ALL),
+    sim AS (SELECT both_.grp, x, y FROM both_ JOIN num p ON p.grp = both_.grp AND p.id = x JOIN num q ON q.grp = both_.grp AND q.id = y WHERE c::DOUBLE / (p.n + q.n - c) >= 0.7::DOUBLE)"""
+
+
+S_SPLITS = s_similar(f"SELECT 1 AS grp, ord AS id, {s_norm("coalesce(instruction, '') || chr(10) || coalesce(output, '')")} AS t FROM eval_medical_qa_rag") + """,
+    cross_ AS (SELECT x, y, a.split = 'train' AS first FROM sim JOIN eval_medical_qa_rag a ON a.ord = x JOIN eval_medical_qa_rag b ON b.ord = y WHERE coalesce(a.split = 'train', false) <> coalesce(b.split = 'train', false))"""
+S_LEAKS = f"""it AS (SELECT item_id, CASE WHEN lang = 'zh' THEN {RUN['zh']} ELSE {RUN['en']} END AS k, {s_norm('text')} AS t FROM heldout_items WHERE text IS NOT NULL), dn AS (SELECT doc_id, source, {s_norm('text')} AS t FROM documents WHERE text IS NOT NULL),
+    iw AS (SELECT item_id, k, {s_windows('t', 'k')} AS h FROM it), dw AS ({" UNION ALL ".join(f"SELECT doc_id, {k} AS k, {s_windows('t', str(k))} AS h FROM dn" for k in RUN.values())}),
+    leak AS (SELECT DISTINCT doc_id, item_id FROM dw JOIN iw USING (k, h))"""
+S_SPANS = f"sp AS (SELECT doc_id, unnest(range(1, length(text) - {LEAST} + 2)) AS pos, {s_windows('text', str(LEAST))} AS h FROM documents)"
+
+S_RECORDS = s_similar(
+    f"SELECT 'medical_qa' AS grp, ord AS id, {s_norm("coalesce(question, '') || chr(10) || coalesce(answer, '')")} AS t FROM medical_qa UNION ALL SELECT 'mimic_report_en', row_idx, {s_norm("coalesce(findings, '')")} FROM mimic_report_en"
+)
+
+ORACLE: dict[str, str] = {
+    "p3_found": f"WITH {S_RECORDS} SELECT grp AS tbl, x AS id_a, y AS id_b FROM sim",
+    "p6_found": f"WITH {S_SPLITS} SELECT x AS ord_a, y AS ord_b FROM cross_",
+    "p6_counts": f"""WITH {S_SPLITS} SELECT split, source, count(*) AS n_pairs, count(DISTINCT ord) AS n_records FROM cross_ JOIN eval_medical_qa_rag ON ord = CASE WHEN first THEN y ELSE x END GROUP BY ALL""",
+    "p7_found": f"WITH {S_LEAKS} SELECT doc_id, item_id FROM leak",
+    "p7_items": f"WITH {S_LEAKS} SELECT item_id, count(*) AS n_documents, count(DISTINCT coalesce(source, '')) AS n_sources FROM leak JOIN documents USING (doc_id) GROUP BY item_id",
+    "p9_found": f"WITH {S_SPANS} SELECT DISTINCT a.doc_id AS doc_a, b.doc_id AS doc_b FROM sp a JOIN sp b ON a.h = b.h AND a.doc_id < b.doc_id",
+    "p9_shared": f"""WITH {S_SPANS}, many AS (SELECT h FROM sp GROUP BY h HAVING count(DISTINCT doc_id) > 1), st AS (SELECT doc_id, pos, lead(pos) OVER (PARTITION BY doc_id ORDER BY pos) AS next FROM sp WHERE h IN (FROM many)),
+    cv AS (SELECT doc_id, sum(least({LEAST}, coalesce(next - pos, {LEAST})))::BIGINT AS shared_chars FROM st GROUP BY doc_id)
+    SELECT doc_id, length(text) AS n_chars, shared_chars, shared_chars / length(text) AS share FROM cv JOIN documents USING (doc_id)""",
+}
