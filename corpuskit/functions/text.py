@@ -97,6 +97,11 @@ def strip_think(c: Column) -> Column:
     return pystrip(F.regexp_replace(blocks, r"(?i)</?think>", ""))
 
 
+def after_think(c: Column) -> Column:
+    """What follows the last redacted thinking block."""
+    return pystrip(F.regexp_replace(c, r"(?s)^.*</redacted_thinking>", ""))
+
+
 def qa_sentences(c: Column) -> Column:
     """Sentences of a question or answer of at least four characters; else the whole text."""
     parts = F.filter(F.transform(F.split(c, r"(?<=[。！？!?])\s*|\n+"), pystrip), lambda x: F.length(x) >= 4)
@@ -117,6 +122,12 @@ def dedup_key(*columns: Column) -> Column:
     return F.sha2(F.concat_ws("\n", *[squeeze(c) for c in columns]), 256)
 
 
+def draw(key: Column, seed: int, sides: int = 1000) -> Column:
+    """A number from 0 to sides - 1 by key and seed, the same in every partitioning."""
+    digest = F.md5(F.concat_ws("|", key.cast("string"), F.lit(str(seed))))
+    return F.pmod(F.conv(F.substring(digest, 1, 8), 16, 10).cast("long"), F.lit(sides))
+
+
 def stable_id(*parts: Column) -> Column:
     return F.substring(F.sha1(F.concat_ws("||", *parts)), 1, 12)
 
@@ -130,5 +141,10 @@ def resolve_path(c: Column, folder: str) -> Column:
     return F.when(c.rlike(r"^(/|https?://)"), c).otherwise(F.concat(F.lit(folder.rstrip("/") + "/"), c))
 
 
+def first_path(paths: Column, folder: str) -> Column:
+    """The first of several paths, resolved."""
+    return resolve_path(F.get(paths, F.lit(0)), folder)
+
+
 def is_video(c: Column) -> Column:
     return F.lower(c).rlike(r"\.(mp4|avi|mov|mkv|webm)$")

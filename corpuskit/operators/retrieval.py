@@ -350,22 +350,45 @@ def chunk_text(text: Column, max_chars: int = 800, overlap: int = 100) -> Column
     return F.aggregate(paragraphs, state, fold, finish)
 
 
-def tfidf_topk(queries: DataFrame, docs: DataFrame, k: int = 8, low: int = 2, high: int = 4) -> DataFrame:
-    """Cosine of smoothed TF-IDF weights of character n-grams inside words (padded by a space)."""
-    def grams(df: DataFrame, key: str, text: str) -> DataFrame:
-        words = F.transform(F.filter(F.split(F.lower(text), r"(?U)\W+"), lambda w: w != ""), lambda w: F.concat(F.lit(" "), w, F.lit(" ")))
-        cut = F.flatten(F.transform(words, lambda w: F.flatten(F.transform(F.sequence(F.lit(low), F.lit(high)), lambda n: F.when(
-            F.length(w) >= n, F.transform(F.sequence(F.lit(1), F.length(w) - n + 1), lambda i: F.substring(w, i, n))).otherwise(F.array().cast("array<string>"))))))
-        return df.select(key, F.explode(cut).alias("g")).groupBy(key, "g").agg(F.count(F.lit(1)).alias("tf"))
-
-    d, q = grams(docs, "doc_id", "text"), grams(queries, "qid", "query")
-    n = docs.agg(F.count(F.lit(1)).alias("n"))
-    idf = d.groupBy("g").agg(F.count(F.lit(1)).alias("df")).join(F.broadcast(n)).select("g", (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1).alias("idf"))
-
-    def unit(t: DataFrame, key: str) -> DataFrame:
-        w = t.join(idf, "g").withColumn("w", F.col("tf") * F.col("idf"))
-        norm = w.groupBy(key).agg(F.sqrt(F.sum(F.col("w") ** 2)).alias("norm"))
-        return w.join(norm, key).select(key, "g", (F.col("w") / F.col("norm")).alias("w"))
-
-    a, b = unit(q, "qid"), unit(d, "doc_id").withColumnRenamed("w", "v")
-    return ranked(a.join(b, "g").groupBy("qid", "doc_id").agg(F.round(F.sum(F.col("w") * F.col("v")), 6).alias("score")), k)
+GRAM_WORD = re.compile(r"\w+")
+
+
+def char_grams(text: str, low: int = 2, high: int = 4) -> Counter:
+    """Character n-grams inside words padded by a space, lower case."""
+    out: Counter = Counter()
+    for w in GRAM_WORD.findall(text.lower()):
+        w = f" {w} "
+        for n in range(low, high + 1):
+            out.update(w[i : i + n] for i in range(len(w) - n + 1))
+    return out
+
+
+def tfidf_topk(queries: DataFrame, docs: DataFrame, k: int = 8, low: int = 2, high: int = 4, features: int = 200_000, most: int = MOST_QUERIES) -> DataFrame:
+    """Cosine of smoothed TF-IDF weights of character n-grams, of the ``features`` most frequent ones.
+
+    Weights and norms are counted over all documents in two linear passes; then a stated query set is
+    scored against each document in one map-only pass, a block of queries at a time, so no pair of a
+    query and a document is ever shuffled but the best ``k`` a task. The features come to the driver.
+    """
+    asked = _asked(queries, most)
+    schema = "g string, tf long, df long"
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            tf, df = Counter(), Counter()
+            for t in batch.column("text").to_pylist():
+                own = char_grams(t or "", low, high)
+                tf.update(own)
+                df.update(own.keys())
+            yield pa.RecordBatch.from_pydict({"g": list(tf), "tf": list(tf.values()), "df": [df[g] for g in tf]}, pa.schema([("g", pa.string()), ("tf", pa.int64()), ("df", pa.int64())]))
+
+    n = docs.count()
+    each = docs.select("text").mapInArrow(counted, schema).groupBy("g").agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))
+    idf = {r["g"]: math.log((1 + n) / (1 + r["df"])) + 1 for r in each.orderBy(F.desc("tf"), "g").limit(features).select("g", "df").collect()}
+
+    def unit(text: str) -> dict[str, float]:
+        w = {g: c * idf[g] for g, c in char_grams(text, low, high).items() if g in idf}
+        norm = math.sqrt(sum(x * x for x in w.values()))
+        return {g: x / norm for g, x in w.items()}
+
+    return _text_topk(asked, docs, k, unit, lambda text, vocab: [(vocab[g], x) for g, x in unit(text).items() if g in vocab])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpuskit.functions.text import clean, pystrip
+from corpuskit.functions.text import clean, draw, pystrip
 
 # Image and frame tokens, default instructions, kept meta keys, the placeholder picture.
 IMAGE = "<image>\n"
@@ -97,7 +97,7 @@ def dpo(df: DataFrame, mode: str = "synthetic", seed: int = 42, order: str = "or
     else:
         c = F.col(chosen)
         cut = F.regexp_replace(F.substring(c, F.lit(1), F.greatest(F.lit(8), F.expr(f"int(length(`{chosen}`) div 3)"))), r"(?U)\s+$", "")
-        coin = F.pmod(F.xxhash64(F.col(order), F.lit(seed)), F.lit(1000)) < 300
+        coin = draw(F.col(order), seed) < 300
         bad = F.when(F.length(c) < 8, F.lit("信息不足，无法回答。")).otherwise(F.when(coin, F.concat(F.lit("根据上述内容，"), cut)).otherwise(cut))
     return df.select(
         order, F.lit("").alias("system"), F.array().cast("array<array<string>>").alias("history"),

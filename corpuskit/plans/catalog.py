@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuskit.functions import text as X
-from corpuskit.functions.models import REWARDS, hashed_embedding, overlap_rerank
-from corpuskit.operators import cleanup, dedup, grounding, metrics, retrieval, rewards, shape
+from corpuskit.functions.models import REWARDS, echo, hashed_embedding, overlap_rerank
+from corpuskit.operators import cleanup, dedup, generate, grounding, metrics, retrieval, rewards, shape
 from corpuskit.operators.graph import shared_folder
 from corpuskit.sources import io
 from corpuskit.streaming import streams
@@ -256,7 +256,11 @@ def dpo_explicit(spark, d):
     return shape.dpo(table(spark, d, "medical_qa"), "explicit").select("ord", "question", "response_chosen", "response_rejected")
 
 
-@query()
+S_DRAW = "(('0x' || substr(md5({}::VARCHAR || '|42'), 1, 8))::UBIGINT % 1000)"
+
+
+@query(f"""SELECT ord, q AS question, a AS response_chosen, CASE WHEN length(a) < 8 THEN '信息不足，无法回答。' WHEN {S_DRAW.format('ord')} < 300 THEN '根据上述内容，' || cut ELSE cut END AS response_rejected
+    FROM (SELECT ord, q, a, regexp_replace(left(a, greatest(8, length(a) // 3)), '{SPACE}+$', '') AS cut FROM (SELECT ord, {s_clean('question')} AS q, {s_clean('answer')} AS a FROM medical_qa) WHERE q <> '' AND a <> '')""")
 def dpo_weak(spark, d):
     return shape.dpo(table(spark, d, "medical_qa")).select("ord", "question", "response_chosen", "response_rejected")
 
@@ -545,11 +549,53 @@ def rag_prompts(spark, d):
     return table(spark, d, "heldout_items").select(F.col("item_id").alias("qid"), retrieval.prompt(F.col("lang"), F.col("text")).alias("prompt"))
 
 
-@query()
+def s_grams(table_: str, key: str) -> str:
+    words = f"SELECT {key}, ' ' || unnest(regexp_extract_all(lower(coalesce(text, '')), '[\\p{{L}}\\p{{N}}_]+')) || ' ' AS w FROM {table_}"
+    cuts = " UNION ALL ".join(f"SELECT {key}, unnest(list_transform(range(1, length(w) - {n} + 2), lambda i: substr(w, i, {n}))) AS g FROM ({words})" for n in (2, 3, 4))
+    return f"SELECT {key}, g, count(*) AS tf FROM ({cuts}) GROUP BY ALL"
+
+
+@query(f"""WITH {S_DOCS}, dg AS ({s_grams('docs', 'doc_id')}), qs AS (SELECT item_id AS qid, text FROM heldout_items), qg AS ({s_grams('qs', 'qid')}),
+    idf AS (SELECT g, ln((1 + (SELECT count(*) FROM docs))::DOUBLE / (1 + count(*))) + 1 AS idf FROM dg GROUP BY g),
+    dw AS (SELECT doc_id, g, tf * idf / sqrt(sum((tf * idf) * (tf * idf)) OVER (PARTITION BY doc_id)) AS v FROM dg JOIN idf USING (g)),
+    qw AS (SELECT qid, g, tf * idf / sqrt(sum((tf * idf) * (tf * idf)) OVER (PARTITION BY qid)) AS w FROM qg JOIN idf USING (g)),
+    sc AS (SELECT qid, doc_id, round(sum(v * w), 6) AS score FROM dw JOIN qw USING (g) GROUP BY ALL)
+    SELECT qid, doc_id, score, rank::INT AS rank FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, doc_id) AS rank FROM sc WHERE score > 0) WHERE rank <= 8""")
 def tfidf_topk(spark, d):
     return retrieval.tfidf_topk(_asked(spark, d), _docs(spark, d))
 
 
+S_LAST_LINE = "regexp_extract({}, '([^\\n]*)$', 1)"
+
+
+@query(f"""SELECT ord, q AS question, CASE WHEN low THEN '请输出润色后的答案：' ELSE a END AS answer, low AS _low_quality_flag, low AS _rewritten FROM (SELECT ord, {s_clean('question')} AS q, {s_clean('answer')} AS a, {s_low('answer')} AS low FROM medical_qa) WHERE q <> '' AND a <> ''""")
+def rewritten_answers(spark, d):
+    """Low-quality answers go through the generator slot; its stand-in repeats the prompt's last line."""
+    return generate.rewrite_low_quality(table(spark, d, "medical_qa"), echo).select("ord", "question", "answer", "_low_quality_flag", "_rewritten")
+
+
+@query(f"""WITH r AS (SELECT row_idx::VARCHAR AS _resume_key, {s_clean('findings')} AS f, {s_clean('impression')} AS i FROM mimic_report_en), z AS (SELECT *, {s_strip(S_LAST_LINE.format('f'))} AS fz, {s_strip(S_LAST_LINE.format('i'))} AS iz FROM r WHERE f <> '' OR i <> '')
+    SELECT _resume_key, nullif(f, '') AS findings_en, nullif(fz, '') AS findings_zh, nullif(iz, '') AS impression_zh, nullif(CASE WHEN fz <> '' AND iz <> '' THEN '影像所见：' || chr(10) || fz || chr(10) || chr(10) || '印象：' || chr(10) || iz WHEN fz <> '' THEN fz ELSE iz END, '') AS full_report_zh
+    FROM z WHERE _resume_key NOT IN (SELECT _resume_key FROM medical_report_zh)""")
+def translated_reports(spark, d):
+    """Reports not translated yet go through the generator slot."""
+    out = generate.translate_reports(table(spark, d, "mimic_report_en"), echo, table(spark, d, "medical_report_zh"))
+    return out.select("_resume_key", "findings_en", "findings_zh", "impression_zh", "full_report_zh")
+
+
+@query(f"""WITH p AS (SELECT ord, {s_clean('question')} AS q, {s_clean('answer')} AS a, {s_clean('answer_rejected')} AS r FROM medical_qa WHERE {s_clean('question')} <> '' AND {s_clean('answer')} <> ''),
+    c AS (SELECT ord, '患者：' || left(a, 20) AS chosen, CASE WHEN ord % 5 = 0 THEN '' ELSE left(a, 20) END AS rejected, {S_DRAW.format('ord')} < 500 AS first, length('用户问题：' || chr(10) || q || chr(10) || chr(10)) AS n FROM p)
+    SELECT reason, count(*) AS n FROM (SELECT CASE WHEN rejected = '' THEN 'empty' WHEN n % 3 = 0 THEN 'unreadable' WHEN n % 3 = 1 AND NOT first OR n % 3 = 2 AND first THEN 'other_side' ELSE 'ok' END AS reason FROM c) GROUP BY reason""")
+def judged_outcomes(spark, d):
+    """Pairs written and judged by stand-ins: the judge's verdict follows the length of the question's part of its prompt."""
+    df = shape.sharegpt(table(spark, d, "medical_qa"))
+    write = lambda p: F.concat(F.lit("患者："), F.substring(F.regexp_extract(p, r"(?s)\n\n参考答案：\n(.*)\n\n请按要求", 1), 1, 20))
+    contrast = lambda p: F.when(F.col("ord") % 5 == 0, F.lit("")).otherwise(F.substring(F.regexp_extract(p, r"(?s)^参考答案：\n(.*)\n\n请按要求", 1), 1, 20))
+    n = lambda p: F.length(F.regexp_extract(p, r"(?s)^(.*)回答甲：\n", 1)) % 3
+    judge = lambda p: F.when(n(p) == 0, "?").when(n(p) == 1, '{"valid": true, "preferred": "甲"}').otherwise('{"valid": true, "preferred": "乙"}')
+    return generate.outcome_counts(generate.judged_pairs(df, write, contrast, judge, "ord"))
+
+
 @query()
 def kb_chunks(spark, d):
     return table(spark, d, "documents").select("doc_id", F.posexplode(retrieval.chunk_text(F.col("text"))).alias("chunk_id", "chunk"))
@@ -622,7 +668,11 @@ def _reports(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "mimic_report_en").filter("image is not null").select(F.col("row_idx").alias("id"), "image", F.concat_ws("\n", "findings", "impression").alias("text"))
 
 
-@query()
+S_POSITIVES = S_REGIONS.replace("findings IS NOT NULL", "image IS NOT NULL").replace("findings", "report").replace("FROM mimic_report_en", "FROM (SELECT row_idx, image, concat_ws(chr(10), findings, impression) AS report FROM mimic_report_en)").replace("array_to_string(keys, '|') AS regions", "list_distinct(keys) AS ks, keys")
+
+
+@query(f"""WITH x AS (SELECT row_idx AS id, pos, s AS sentence, keys FROM ({S_POSITIVES}) WHERE regexp_matches(s, '{grounding.ABNORMAL}')), e AS (SELECT id, pos, sentence, unnest(range(len(keys))) AS at_, unnest(keys) AS region FROM x)
+    SELECT id, pos, sentence, region FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY pos, at_) AS n FROM e) WHERE n <= 4""")
 def grounding_positives(spark, d):
     return grounding.positives(_reports(spark, d)).select("id", "pos", "sentence", "region")
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corpuskit.functions import text as X
 from corpuskit.functions.models import REWARDS
-from corpuskit.operators import cleanup, dedup, graph, grounding, metrics, retrieval, rewards, shape
+from corpuskit.operators import cleanup, dedup, generate, graph, grounding, metrics, retrieval, rewards, shape
 from corpuskit.sources import io
 from corpuskit.streaming import streams
 
@@ -338,3 +338,35 @@ def test_repeated_clauses():
     assert cleanup.merge_clauses("a, b") == "a,b" and cleanup.merge_clauses("一句话") == "一句话"
     assert cleanup.distinct_sentences("胃疼很久了。胃疼很久了。短。") == ["胃疼很久了。"]
     assert cleanup.distinct_sentences("治疗情况：无\n今天上午开始咳嗽有痰并且发烧了。昨天今天上午开始咳嗽有痰并且发烧了。") == ["今天上午开始咳嗽有痰并且发烧了。"]
+
+
+def test_steps_with_a_model(spark):
+    df = spark.createDataFrame([(1, "q", "short"), (2, "q", "A long enough answer that ends well."), (3, "", "x")], "ord long, question string, answer string")
+    got = {r.ord: (r.answer, r._rewritten) for r in generate.rewrite_low_quality(df, lambda p: F.concat(F.lit("<think>"), F.upper(p))).collect()}
+    assert got[1][1] and got[1][0].startswith("问题：Q") and got[2] == ("A long enough answer that ends well.", False) and 3 not in got
+    assert {r._rewritten for r in generate.rewrite_low_quality(df).collect()} == {False}
+    reports = spark.createDataFrame([(1, "a b", " ", "s"), (2, None, "c", "s"), (3, "", None, "s"), (4, "done", "", "s")], "row_idx long, findings string, impression string, source string")
+    done = spark.createDataFrame([("4",), ("9",)], "_resume_key string")
+    rows = {r._resume_key: r for r in generate.translate_reports(reports, lambda p: F.upper(F.element_at(F.split(p, "\n"), -1)), done).collect()}
+    assert set(rows) == {"1", "2"} and (rows["1"].findings_zh, rows["1"].impression_zh, rows["1"].full_report_zh) == ("A B", None, "A B") and rows["2"].meta == {"source": "s", "_resume_key": "2"}
+    turns = spark.createDataFrame([(i, [("human", f"<image>\nq{i}"), ("gpt", "r")]) for i in range(40)], "id long, conversations array<struct<from:string,value:string>>")
+    yes = generate.judged_pairs(turns, lambda p: F.lit("good"), lambda p: F.lit("bad"), lambda p: F.when(p.contains("回答甲：\ngood"), '{"valid": true, "preferred": "甲"}').otherwise('{"valid": true, "preferred": "乙"}'), "id")
+    assert {r.reason: r.n for r in generate.outcome_counts(yes).collect()} == {"ok": 40} and generate.accepted(yes).columns == ["id", "prompt", "chosen", "rejected"]
+    same = generate.judged_pairs(turns, lambda p: F.lit("x"), lambda p: F.lit(" x"), lambda p: p, "id")
+    assert {r.reason for r in same.collect()} == {"same"}
+
+
+def test_model_names_and_settings(spark):
+    assert one(spark, generate.model_name(F.col("t")), t="/a/run/checkpoint-5/") == "run_checkpoint-5" and one(spark, generate.model_name(F.col("t")), t="a/b") == "b"
+    assert one(spark, generate.base_model(F.col("t")), t="---\nbase_model: /m/x \nlib: y") == "/m/x" and one(spark, generate.base_model(F.col("t")), t="none") is None
+    assert one(spark, X.after_think(F.col("t")), t="<redacted_thinking>a</redacted_thinking> b ") == "b"
+    generate.check_settings(fps=1.0)
+    for bad in ({"fps": 1.0, "nframes": 2}, {"lora": True}, {"vision_lora": True}):
+        with pytest.raises(ValueError):
+            generate.check_settings(**bad)
+
+
+def test_tfidf_is_the_cosine(spark):
+    docs = spark.createDataFrame([(1, "abc abd"), (2, "zzz"), (3, None), (4, "abc")], "doc_id long, text string")
+    got = {(r.doc_id, r.score) for r in retrieval.tfidf_topk(spark.createDataFrame([(1, "abc")], "qid long, query string"), docs).collect()}
+    assert (4, 1.0) in got and {d for d, _ in got} == {1, 4}
