@@ -225,6 +225,16 @@ def sided(df: DataFrame, side: str) -> DataFrame:
     return df.withColumnsRenamed({c: f"{c}_{side}" for c in df.columns})
 
 
+def proposed(band: DataFrame) -> DataFrame:
+    """``band(cls, key)`` -> pairs of classes that share a key.
+
+    A sort-merge join of two plain shuffles, so that adaptive execution splits a partition in which one
+    key holds a large part of all rows; no aggregate and no explicit partitioning stands in between.
+    """
+    a, b = (band.select(F.col("cls").alias(c), "key") for c in ("cls_a", "cls_b"))
+    return a.hint("merge").join(b, "key").filter("cls_a < cls_b").select("cls_a", "cls_b").distinct()
+
+
 def near_duplicate_links(
     df: DataFrame, threshold: float = 0.7, k: int = GRAM, bands: int = BANDS, rows: int = ROWS
 ) -> tuple[DataFrame, DataFrame]:
@@ -242,10 +252,8 @@ def near_duplicate_links(
     # both branches read all columns, so that they share one exchange
     band = signed.mapInArrow(_bands(bands), "cls long, key long")
     sketch = signed.mapInArrow(_once, schema).select("cls", *words, "filled")
-    a, b = (band.select(F.col("cls").alias(c), "key") for c in ("cls_a", "cls_b"))
-    proposed = a.hint("merge").join(b, "key").filter("cls_a < cls_b").select("cls_a", "cls_b").distinct()
     pairs = cut(
-        proposed.join(sided(sketch, "a"), "cls_a").join(sided(sketch, "b"), "cls_b")
+        proposed(band).join(sided(sketch, "a"), "cls_a").join(sided(sketch, "b"), "cls_b")
         .filter(likely(threshold, bands * rows)).select("cls_a", "cls_b")
     )
     known = sieve(pairs.select(F.explode(F.array("cls_a", "cls_b")).alias("cls")).distinct(), "cls")

@@ -110,6 +110,22 @@ def test_near_duplicates_of_nothing(spark):
     assert near_duplicates.near_duplicate_pairs(spark.createDataFrame([], "grp string, id long, text string")).count() == 0
 
 
+def test_a_hot_band_is_split(spark):
+    hot, n = 1500, 3000
+    band = spark.range(n).select(F.col("id").alias("cls"), F.when(F.col("id") < hot, -1).otherwise(F.col("id")).alias("key")).repartition(6)
+    settings = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k", "spark.sql.shuffle.partitions": "8"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        pairs = near_duplicates.proposed(band)
+        assert len(pairs.collect()) == hot * (hot - 1) // 2
+        assert "SortMergeJoin(skew=true)" in pairs._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 # problem 9
 def test_suffix_array():
     rng = np.random.default_rng(1)
