@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import math
+import re
 from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
+from .dedup import seeded_sample
+
 
 # Words of the answer audit.
 DRUG = "药|剂量|用量|停药|换药|加量|减量|抗生素|激素|胰岛素|抗凝|处方"
@@ -42,8 +45,15 @@ def bleu(reference: list[str], hypothesis: list[str], weights: tuple[float, ...]
     return math.exp(logs + min(0.0, 1 - r / h)) if logs > -math.inf else 0.0
 
 
-def rouge_l(reference: list[str], hypothesis: list[str]) -> float:
+def ascii_words(tokens: list[str]) -> list[str]:
+    """What the common ROUGE scorer keeps of a text: lower-case words of ASCII letters and digits."""
+    return re.findall(r"[a-z0-9]+", " ".join(tokens).lower())
+
+
+def rouge_l(reference: list[str], hypothesis: list[str], ascii_compat: bool = False) -> float:
     """F1 of the longest common subsequence, found with one big-integer step a token."""
+    if ascii_compat:
+        reference, hypothesis = ascii_words(reference), ascii_words(hypothesis)
     where: dict[str, int] = {}
     for i, t in enumerate(reference):
         where[t] = where.get(t, 0) | 1 << i
@@ -56,8 +66,11 @@ def rouge_l(reference: list[str], hypothesis: list[str]) -> float:
     return 2 * same / (len(reference) + len(hypothesis)) if same else 0.0
 
 
-def text_scores(df: DataFrame) -> DataFrame:
-    """``df(id, reference, hypothesis)`` (token arrays) -> ``id, bleu1..bleu4, bleu4_m4, rouge_l``."""
+def text_scores(df: DataFrame, ascii_compat: bool = False) -> DataFrame:
+    """``df(id, reference, hypothesis)`` (token arrays) -> ``id, bleu1..bleu4, bleu4_m4, rouge_l``.
+
+    ``ascii_compat``: ROUGE-L as scorers have it that know ASCII words only.
+    """
     weights = [(1.0, 0, 0, 0), (0.5, 0.5, 0, 0), (1 / 3, 1 / 3, 1 / 3, 0), (0.25,) * 4]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -65,7 +78,7 @@ def text_scores(df: DataFrame) -> DataFrame:
             out: list[list[float]] = [[] for _ in range(6)]
             for r, h in zip(batch.column("reference").to_pylist(), batch.column("hypothesis").to_pylist()):
                 r, h = r or [], h or []
-                for column, value in zip(out, [*(bleu(r, h, w, 1) for w in weights), bleu(r, h), rouge_l(r, h)]):
+                for column, value in zip(out, [*(bleu(r, h, w, 1) for w in weights), bleu(r, h), rouge_l(r, h, ascii_compat)]):
                     column.append(value)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), *[pa.array(c, pa.float64()) for c in out]], names=["id", "bleu1", "bleu2", "bleu3", "bleu4", "bleu4_m4", "rouge_l"]
@@ -202,3 +215,19 @@ def pruned_runs(df: DataFrame, metric: str, step: str, keep: int = 3, by: list[s
     """The runs that ``best_runs`` doesn't keep."""
     w = Window.partitionBy(*(by or [])).orderBy(F.desc(metric), F.desc(step))
     return df.withColumn("place", F.row_number().over(w)).filter(F.col("place") > keep)
+
+
+def observed(df: DataFrame, name: str, **counters: Column) -> tuple[DataFrame, Observation]:
+    """The table with counters that the observation holds once an action has run over it: no extra pass."""
+    watch = Observation(name)
+    return df.observe(watch, *[c.alias(n) for n, c in counters.items()]), watch
+
+
+def write_predictions(df: DataFrame, path: str, step: str = "global_step") -> None:
+    """Add an evaluation's predictions to a table with a folder a step."""
+    df.write.mode("append").partitionBy(step).json(path)
+
+
+def review_sample(df: DataFrame, key: str, path: str, size: int = 50, seed: int = 42) -> None:
+    """A seeded sample for reading, as lines of JSON."""
+    seeded_sample(df, key, size, seed).coalesce(1).write.mode("overwrite").json(path)

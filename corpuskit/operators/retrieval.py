@@ -41,13 +41,16 @@ PROMPT = """你是医学问答助手。请严格基于下面的参考资料回
 回答："""
 
 
-def postings(df: DataFrame) -> DataFrame:
+Tokenize = Callable[[Column], Column]
+
+
+def postings(df: DataFrame, tokenize: Tokenize = bm25_tokens) -> DataFrame:
     """``df(doc_id, text)`` -> ``(token, doc_id, tf)``."""
-    return df.select("doc_id", F.explode(bm25_tokens(F.col("text"))).alias("token")).groupBy("token", "doc_id").agg(F.count(F.lit(1)).alias("tf"))
+    return df.select("doc_id", F.explode(tokenize(F.col("text"))).alias("token")).groupBy("token", "doc_id").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def doc_stats(df: DataFrame) -> DataFrame:
-    return df.select("doc_id", F.size(bm25_tokens(F.col("text"))).cast("long").alias("dl"))
+def doc_stats(df: DataFrame, tokenize: Tokenize = bm25_tokens) -> DataFrame:
+    return df.select("doc_id", F.size(tokenize(F.col("text"))).cast("long").alias("dl"))
 
 
 def idf_table(post: DataFrame, n_docs: DataFrame) -> DataFrame:
@@ -236,11 +239,11 @@ def retrieval_docs(df: DataFrame) -> DataFrame:
     )
 
 
-def write_index(docs: DataFrame, path: str, embed: Callable[[Column], Column], k1: float = K1, b: float = B) -> None:
+def write_index(docs: DataFrame, path: str, embed: Callable[[Column], Column], k1: float = K1, b: float = B, tokenize: Tokenize = bm25_tokens) -> None:
     """An index of ``retrieval_docs`` below a shared folder, as tables: texts, postings with their documents'
     lengths, idf, vectors of question and text, and one row of parameters. Any earlier index there is replaced."""
     spark = docs.sparkSession
-    post, n = postings(docs), doc_stats(docs)
+    post, n = postings(docs, tokenize), doc_stats(docs, tokenize)
     totals = n.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.avg("dl"), F.lit(0.0)).alias("avgdl"))
     tables = {
         "docs": docs, "postings": post.join(n, "doc_id"), "idf": idf_table(post, totals.select("n")),
@@ -265,7 +268,7 @@ def read_index(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     return out
 
 
-def indexed_bm25(queries: DataFrame, index: dict[str, DataFrame], k: int = 8, most: int = MOST_QUERIES) -> DataFrame:
+def indexed_bm25(queries: DataFrame, index: dict[str, DataFrame], k: int = 8, most: int = MOST_QUERIES, tokenize: Tokenize = bm25_tokens) -> DataFrame:
     """BM25 over a stored index: an equi-join of query tokens and postings.
 
     Only the postings of the queries' tokens are read on; scores are summed per query and document with
@@ -273,7 +276,7 @@ def indexed_bm25(queries: DataFrame, index: dict[str, DataFrame], k: int = 8, mo
     """
     if queries.limit(most + 1).count() > most:
         raise ValueError(f"more than {most} queries; pass them in parts")
-    asked = queries.select("qid", F.explode(bm25_tokens(F.col("query"))).alias("token")).groupBy("qid", "token").agg(F.count(F.lit(1)).alias("times"))
+    asked = queries.select("qid", F.explode(tokenize(F.col("query"))).alias("token")).groupBy("qid", "token").agg(F.count(F.lit(1)).alias("times"))
     base = F.col("k1") * (1 - F.col("b") + F.col("b") * F.col("dl") / F.col("avgdl"))
     impact = F.col("times") * F.col("idf") * F.col("tf") * (F.col("k1") + 1) / (F.col("tf") + F.when(F.col("avgdl") > 0, base).otherwise(F.col("k1")))
     hits = index["postings"].join(asked, "token").join(index["idf"].select("token", "idf"), "token").join(F.broadcast(index["stats"]))

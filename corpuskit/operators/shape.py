@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpuskit.functions.text import clean, draw, pystrip
 
@@ -73,7 +74,7 @@ def report_conversation(df: DataFrame) -> DataFrame:
 
 def report_vl(df: DataFrame, task: str = REPORT_VL_TASK) -> DataFrame:
     """Reports with a picture: the picture and a short task asked, the report answered."""
-    image = resolve_image("meta", tuple(c for c in PICTURES if c in df.columns))
+    image = resolve_image("meta", picture_columns(df))
     df = df.withColumn("found", image).filter(F.col("found").isNotNull())
     df = filled(alpaca(df), "output")
     conversation = F.array(turn("human", F.lit(IMAGE + task.strip())), turn("gpt", F.col("output")))
@@ -82,6 +83,11 @@ def report_vl(df: DataFrame, task: str = REPORT_VL_TASK) -> DataFrame:
     return df.withColumns({"conversations": conversation, "image": F.array("found"), "meta": meta}).drop("found")
 
 
+def picture_columns(df: DataFrame, names: tuple[str, ...] = PICTURES) -> tuple[str, ...]:
+    """The picture columns that hold text; structs of decoded pictures are passed over."""
+    return tuple(n for n in names if n in df.columns and df.schema[n].dataType == T.StringType())
+
+
 def resolve_image(meta: str | None = "meta", columns: tuple[str, ...] = ()) -> Column:
     """First non-blank of the picture columns the table has, then of its map."""
     mine = [F.nullif(pystrip(F.col(n)), F.lit("")) for n in columns]
@@ -142,10 +148,11 @@ def masked_labels(prompt_ids: Column, answer_ids: Column) -> Column:
     return F.concat(F.array_repeat(F.lit(-100), F.size(prompt_ids)), answer_ids)
 
 
-def pad(ids: Column, size: int, value: int, left: bool = False) -> Column:
+def pad(ids: Column, size: int | Column, value: int, left: bool = False) -> Column:
     """Cut or fill to ``size``."""
-    fill = F.array_repeat(F.lit(value), F.greatest(F.lit(0), F.lit(size) - F.size(ids)))
-    return F.concat(fill, F.slice(ids, 1, size)) if left else F.concat(F.slice(ids, 1, size), fill)
+    size = F.lit(size)
+    fill = F.array_repeat(F.lit(value), F.greatest(F.lit(0), size - F.size(ids)))
+    return F.concat(fill, F.slice(ids, F.lit(1), size)) if left else F.concat(F.slice(ids, F.lit(1), size), fill)
 
 
 def pad_truncate_eos(ids: Column, size: int, eos: int) -> Column:
@@ -153,6 +160,16 @@ def pad_truncate_eos(ids: Column, size: int, eos: int) -> Column:
     return F.when(F.size(ids) > size, F.concat(F.slice(ids, 1, size - 1), F.array(F.lit(eos)))).otherwise(ids)
 
 
+def collated(df: DataFrame, batch: str, ids: str, labels: str | None = None, padding: int = 0, left: bool = False) -> DataFrame:
+    """Sequences of a batch filled up to its longest one, with an attention mask; labels are filled with -100."""
+    size = F.max(F.size(ids)).over(Window.partitionBy(batch))
+    out = df.withColumn("_size", size)
+    columns = {ids: pad(F.col(ids), F.col("_size"), padding, left)}
+    if labels:
+        columns[labels] = pad(F.col(labels), F.col("_size"), -100, left)
+    return out.withColumns(columns).withColumn("attention_mask", F.transform(ids, lambda x: (x != padding).cast("int"))).drop("_size")
+
+
 def merge_images(reports: DataFrame, paths: DataFrame, order: str = "ord", key: str = "row_idx") -> DataFrame:
     """Reports with the picture of their row put into ``meta``; the last non-blank path of an id, by ``order``, wins.
 

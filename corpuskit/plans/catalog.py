@@ -321,6 +321,15 @@ def label_masks(spark, d):
     return back.select("ord", F.size("p.prompt_ids").cast("long").alias("n_prompt"), F.size("p.answer_ids").cast("long").alias("n_answer"))
 
 
+@query(f"SELECT ord, len({s_tokens('q')}) AS n_ids, max(len({s_tokens('q')})) OVER (PARTITION BY ord % 50) AS n_filled, len({s_tokens('q')}) AS n_attended FROM ({S_PAIR})")
+def collated_batches(spark, d):
+    ids = F.transform(X.bm25_tokens(F.col("question")), lambda t: F.pmod(F.crc32(t), F.lit(1 << 30)).cast("int") + 1)
+    df = shape.filled(table(spark, d, "medical_qa"), "question", "answer").select("ord", (F.col("ord") % 50).alias("batch"), ids.alias("ids"), ids.alias("labels"))
+    out = shape.collated(df.withColumn("n_ids", F.size("ids").cast("long")), "batch", "ids", "labels")
+    attended = F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x).cast("long")
+    return out.filter("size(ids) = size(labels)").select("ord", "n_ids", F.size("ids").cast("long").alias("n_filled"), attended.alias("n_attended"))
+
+
 @query("SELECT vec_id, CASE WHEN label = 0 THEN 0 WHEN label = 1 THEN 1 END AS cls FROM embeddings")
 def class_map(spark, d):
     letter = F.element_at(F.array(*[F.lit(c) for c in "ABCDEFGHIJ"]), F.col("label").cast("int") + 1)

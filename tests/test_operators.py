@@ -370,3 +370,28 @@ def test_tfidf_is_the_cosine(spark):
     docs = spark.createDataFrame([(1, "abc abd"), (2, "zzz"), (3, None), (4, "abc")], "doc_id long, text string")
     got = {(r.doc_id, r.score) for r in retrieval.tfidf_topk(spark.createDataFrame([(1, "abc")], "qid long, query string"), docs).collect()}
     assert (4, 1.0) in got and {d for d, _ in got} == {1, 4}
+
+
+def test_counters_steps_and_samples(spark, tmp_path):
+    df, watch = metrics.observed(spark.range(20), "run", n=F.count(F.lit(1)), even=F.count_if(F.col("id") % 2 == 0))
+    assert df.count() == 20 and watch.get == {"n": 20, "even": 10}
+    for step in (1, 2):
+        metrics.write_predictions(spark.range(3).withColumn("global_step", F.lit(step)), str(tmp_path / "p"))
+    assert {(r.global_step, r["count"]) for r in spark.read.json(str(tmp_path / "p")).groupBy("global_step").count().collect()} == {(1, 3), (2, 3)}
+    metrics.review_sample(spark.range(100), "id", str(tmp_path / "r"), 7)
+    assert spark.read.json(str(tmp_path / "r")).count() == 7 and dedup.seeded_sample(spark.range(9), "id", 0).count() == 9
+
+
+def test_rouge_of_ascii_words():
+    assert metrics.rouge_l(["肺", "x"], ["肺", "x"]) == 1.0 and metrics.rouge_l(["肺", "炎"], ["肺", "炎"], ascii_compat=True) == 0.0
+    assert metrics.rouge_l(["A-b", "c"], ["a", "b"], ascii_compat=True) == pytest.approx(0.8)
+
+
+def test_pictures_that_are_structs_are_passed_over(spark):
+    df = spark.createDataFrame([(("x",), "p.png")], "image struct<bytes:string>, path string")
+    assert shape.picture_columns(df) == ("path",)
+
+
+def test_other_tokenizers(spark):
+    docs = spark.createDataFrame([(1, "a-b"), (2, "a")], "doc_id long, text string")
+    assert {r.token for r in retrieval.postings(docs, lambda c: F.split(c, " ")).collect()} == {"a-b", "a"}
