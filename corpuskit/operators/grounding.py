@@ -110,7 +110,7 @@ def examples(reports: DataFrame, dim: DataFrame, most: int = 4, negatives: int =
     if symmetric:
         same_side = same_side | F.col("region").startswith("right") & F.col("candidate").startswith("right")
     neg = target.join(other, (F.col("candidate") != F.col("region")) & ~same_side)
-    w = Window.partitionBy("id", "pos", "region").orderBy(F.xxhash64("id", "pos", "candidate", F.lit(seed)), "candidate")
+    w = Window.partitionBy("id", "pos", "region").orderBy(F.md5(F.concat_ws("|", F.col("id").cast("string"), F.col("pos").cast("string"), "candidate", F.lit(str(seed)))), "candidate")
     neg = neg.withColumn("r", F.row_number().over(w)).filter(F.col("r") <= negatives).drop("r").withColumn("grounding_label", F.lit("mismatch"))
     match = target.withColumns({"candidate": F.col("region"), "other_zh": F.col("zh"), "other_en": F.col("en"), "grounding_label": F.lit("match")})
     both = match.unionByName(neg)

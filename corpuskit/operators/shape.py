@@ -124,12 +124,19 @@ def openai_turns(conversations: Column) -> Column:
     return F.transform(conversations, lambda t: F.struct(role(t).alias("role"), text(t).alias("content"), t["reasoning"].alias("reasoning")))
 
 
-def assistant_text(reasoning: Column, content: Column, enabled: bool = True) -> Column:
-    """(prefill, content) of an assistant turn, with or without a thinking block."""
-    has = F.coalesce(pystrip(reasoning), F.lit("")) != ""
-    think = F.lit("<think>\n") if enabled else F.lit("<think>\n\n</think>\n\n")
-    body = F.when(F.lit(enabled) & has, F.concat(reasoning, F.lit("\n</think>\n\n"), content)).otherwise(content)
-    return F.struct(F.when(F.lit(enabled) & ~has, F.lit("")).otherwise(think).alias("prefill"), body.alias("content"))
+def assistant_text(reasoning: Column, content: Column, enabled: bool = False, prefill: bool = False, closed: bool = False) -> Column:
+    """(prefill, content) of an assistant turn.
+
+    ``closed``: an empty thinking block is the prefill. Otherwise, where reasoning is enabled and there is
+    some, it stands in a thinking block before the content; with ``prefill`` the block's opening goes first.
+    """
+    body = F.regexp_replace(content, r"^\n+", "")
+    if closed:
+        return F.struct(F.lit("<think>\n\n</think>\n\n").alias("prefill"), body.alias("content"))
+    has = F.lit(enabled) & (clean(reasoning) != "")
+    thought = F.concat(F.regexp_replace(reasoning, r"^\n+|\n+$", ""), F.lit("\n</think>\n\n"), body)
+    whole = thought if prefill else F.concat(F.lit("<think>\n"), thought)
+    return F.struct(F.when(has & F.lit(prefill), "<think>\n").otherwise("").alias("prefill"), F.when(has, whole).otherwise(content).alias("content"))
 
 
 def turn_pairs(df: DataFrame, key: str) -> DataFrame:
@@ -265,10 +272,10 @@ def framed(question: Column, prefill: Column | None = None) -> Column:
     return open_ if prefill is None else F.concat(open_, prefill)
 
 
-def grpo_record(df: DataFrame, enabled: bool = False) -> DataFrame:
-    """``messages`` -> ``prompt`` and ``assistant`` of the first pair."""
+def grpo_record(df: DataFrame, **thinking: bool) -> DataFrame:
+    """``messages`` -> ``prompt`` and ``assistant`` of the first pair; ``thinking`` as in ``assistant_text``."""
     user, reply = F.get("messages", F.lit(0)), F.get("messages", F.lit(1))
-    parts = assistant_text(reply["reasoning"], reply["content"], enabled) if enabled else F.struct(F.lit("").alias("prefill"), reply["content"].alias("content"))
+    parts = assistant_text(reply["reasoning"], reply["content"], **thinking)
     return df.select("*", framed(user["content"], parts["prefill"]).alias("prompt"), parts["content"].alias("assistant"))
 
 

@@ -686,13 +686,34 @@ def grounding_positives(spark, d):
     return grounding.positives(_reports(spark, d)).select("id", "pos", "sentence", "region")
 
 
-@query()
+S_NAMES = "nm AS (SELECT * FROM (VALUES " + ", ".join(f"('{r[1]}', '{r[2]}', '{r[3]}')" for r in grounding.region_rows()) + ") v(key, zh, en))"
+S_PAIRS = f"""x AS (SELECT row_idx AS id, pos, s AS sentence, keys FROM ({S_POSITIVES}) WHERE regexp_matches(s, '{grounding.ABNORMAL}')), e AS (SELECT id, pos, sentence, unnest(range(len(keys))) AS at_, unnest(keys) AS region FROM x),
+    ps AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY pos, at_) AS n FROM e) WHERE n <= 4), {S_NAMES},
+    ng AS (SELECT id, pos, sentence, region, key AS candidate, row_number() OVER (PARTITION BY id, pos, region ORDER BY md5(id || '|' || pos || '|' || key || '|42'), key) AS r FROM ps JOIN nm ON key <> region AND NOT (region LIKE 'left%' AND key LIKE 'left%')),
+    ex AS (SELECT id, pos, sentence, region, region AS candidate, 'match' AS label FROM ps UNION ALL SELECT id, pos, sentence, region, candidate, 'mismatch' FROM ng WHERE r = 1),
+    full_ AS (SELECT ex.*, image, t.zh, t.en, o.zh AS ozh, o.en AS oen, substr(sha1(id || '||' || pos || '||' || region || '||' || candidate), 1, 12) AS example_id FROM ex JOIN nm t ON t.key = region JOIN nm o ON o.key = candidate JOIN mimic_report_en ON row_idx = id),
+    ga AS (SELECT *, CASE WHEN label = 'match' THEN '一致。对应区域：' || zh || '。结论：' || sentence ELSE '不一致。句子对应区域：' || zh || '。第二张图不是该结论的主要对应区域。' END AS answer FROM full_)"""
+
+
+@query(f"""WITH {S_PAIRS} SELECT example_id, id, image || '|crops/' || example_id || '_' || candidate || '.png' AS image, label AS grounding_label, sentence AS grounding_sentence, region AS grounding_region, candidate AS candidate_region, answer,
+    '先解析报告句子：' || sentence || chr(10) || '句子中的空间或解剖线索指向 ' || zh || '（' || en || '）。' || CASE WHEN label = 'match' THEN '第二张图是从胸片中裁剪出的候选区域，覆盖该解剖位置。因此这句话和第二张局部图在空间上是一致的，可以把报告结论绑定到该区域。'
+    ELSE '但第二张图对应的是 ' || ozh || '（' || oen || '），与句子描述的空间位置不一致。因此不能把该报告结论绑定到第二张局部图。' END AS reasoning FROM ga""")
 def grounding_examples(spark, d):
     out = grounding.examples(_reports(spark, d), grounding.regions(spark))
-    return out.withColumn("image", F.array_join("image", "|")).withColumn("conversations", F.to_json("conversations"))
+    return out.withColumn("image", F.array_join("image", "|")).drop("conversations")
 
 
-@query()
+def s_side(k: str) -> str:
+    return f"CASE WHEN {k} LIKE 'left%' THEN 'left' WHEN {k} LIKE 'right%' THEN 'right' WHEN {k} LIKE 'bilateral%' THEN 'bilateral' ELSE 'central' END"
+
+
+def s_level(k: str) -> str:
+    return f"CASE WHEN {k} = 'cardiomediastinal' THEN 'central' WHEN {k} LIKE '%upper%' THEN 'upper' WHEN {k} LIKE '%mid%' THEN 'mid' WHEN {k} LIKE '%lower%' THEN 'lower' WHEN {k} LIKE '%hilum%' THEN 'hilum' WHEN {k} LIKE '%costophrenic%' THEN 'costophrenic' ELSE 'whole' END"
+
+
+@query(f"""WITH {S_PAIRS} SELECT count(*) AS n, 0::BIGINT AS bad_format, 0::BIGINT AS missing_crops, count(*) FILTER (label = 'mismatch' AND {s_side('region')} <> {s_side('candidate')}) AS side_errors, count(*) FILTER (label = 'mismatch' AND {s_level('region')} <> {s_level('candidate')}) AS level_errors,
+    round(avg(coalesce(CASE WHEN regexp_matches(lower(answer), '{rewards.SAYS_NO}') THEN 'mismatch' WHEN regexp_matches(lower(answer), '{rewards.SAYS_YES}') THEN 'match' END = label, false)::INT), 4) AS label_consistency,
+    round(avg((contains(answer, zh) OR contains(lower(answer), replace(region, '_', ' ')))::INT), 4) AS region_mention_rate FROM ga""")
 def grounding_quality(spark, d):
     return grounding.quality(grounding.examples(_reports(spark, d), grounding.regions(spark)), grounding.regions(spark))
 
@@ -886,6 +907,90 @@ def jsonl_tolerant(spark, d):
     return io.read_jsonl(spark, path, QA_FIELDS, strict=False)
 
 
+@query(f"""SELECT ord, CASE WHEN r = '' THEN '' WHEN ord % 2 = 0 THEN '<think>' || chr(10) ELSE '' END AS prefill,
+    CASE WHEN r = '' THEN a WHEN ord % 2 = 0 THEN r || chr(10) || '</think>' || chr(10) || chr(10) || a ELSE '<think>' || chr(10) || r || chr(10) || '</think>' || chr(10) || chr(10) || a END AS content FROM ({S_PAIR})""")
+def assistant_turns(spark, d):
+    """Reasoning (here the rejected answer) in a thinking block, its opening as prefill for every second row."""
+    df = shape.filled(table(spark, d, "medical_qa"), "question", "answer").withColumn("r", X.clean("answer_rejected"))
+    both = [shape.assistant_text(F.col("r"), F.col("answer"), enabled=True, prefill=p) for p in (True, False)]
+    return df.select("ord", F.when(F.col("ord") % 2 == 0, both[0]).otherwise(both[1]).alias("p")).select("ord", "p.*")
+
+
+@query("""SELECT ord, CASE ord % 5 WHEN 0 THEN 'ok' WHEN 1 THEN 'other_side' WHEN 2 THEN 'invalid' WHEN 3 THEN 'unreadable' ELSE 'no_preference' END AS reason FROM medical_qa""")
+def judge_reasons(spark, d):
+    """Replies of a judge with curly quotes, full-width colons and thinking are mended and read."""
+    reply = F.element_at(F.array(*[F.lit(x) for x in (
+        "<think>{}</think> {“valid”：true，“preferred”：“甲”}", "{'valid': true, 'preferred': '乙'}", '{"valid": false, "preferred": "甲"}', "no idea", '{"valid": true, "preferred": "both"}'
+    )]), (F.col("ord") % 5).cast("int") + 1)
+    rows = table(spark, d, "medical_qa").select("ord", shape.judge_verdict(reply).alias("v"))
+    return rows.select("ord", shape.verdict_reason(F.col("v"), F.lit("甲")).alias("reason"))
+
+
+S_BOXES = ", ".join(f"('{r[1]}', [{', '.join(map(str, r[4]))}]::DOUBLE[])" for r in grounding.region_rows())
+
+
+@query(f"""SELECT key, vec_id, array_to_string([greatest(0, round_even(box[1] * w, 0)::INT), greatest(0, round_even(box[2] * h, 0)::INT), least(w, round_even(box[3] * w, 0)::INT), least(h, round_even(box[4] * h, 0)::INT)], ',') AS pixels
+    FROM (SELECT vec_id, (200 + vec_id % 37)::INT AS w, (300 + vec_id % 41)::INT AS h FROM embeddings) CROSS JOIN (VALUES {S_BOXES}) v(key, box)""")
+def crop_boxes(spark, d):
+    sizes = table(spark, d, "embeddings").select("vec_id", (200 + F.col("vec_id") % 37).cast("int").alias("w"), (300 + F.col("vec_id") % 41).cast("int").alias("h"))
+    rows = sizes.join(F.broadcast(grounding.regions(spark).select("key", "box")))  # the region table has a fixed number of rows
+    return rows.select("key", "vec_id", F.array_join(grounding.crop_box(F.col("box"), F.col("w"), F.col("h")).cast("array<string>"), ",").alias("pixels"))
+
+
+@query(f"SELECT key, {s_side('key')} AS side, {s_level('key')} AS level, zh, en FROM (SELECT * FROM (VALUES " + ", ".join(f"('{r[1]}', '{r[2]}', '{r[3]}')" for r in grounding.region_rows()) + ") v(key, zh, en))")
+def region_table(spark, d):
+    k = F.col("key")
+    return grounding.regions(spark).select("key", grounding.side_of(k).alias("side"), grounding.level_of(k).alias("level"), F.col("zh_name").alias("zh"), F.col("en_name").alias("en"))
+
+
+@query(r"""SELECT row_idx, image, CASE WHEN regexp_matches(image, '^(/|https?://)') THEN image ELSE '/data/' || image END AS resolved, regexp_matches(lower(image), '\.(mp4|avi|mov|mkv|webm)$') AS video FROM image_paths""".replace("\\\\", "\\"))
+def picture_paths(spark, d):
+    i = F.col("image")
+    return table(spark, d, "image_paths").select("row_idx", "image", X.resolve_path(i, "/data").alias("resolved"), X.is_video(i).alias("video"))
+
+
+@query("SELECT ord, substr(sha1(ord || '||' || coalesce(source, '-')), 1, 12) AS short_id FROM medical_qa")
+def short_ids(spark, d):
+    return table(spark, d, "medical_qa").select("ord", X.stable_id(F.col("ord").cast("string"), F.coalesce("source", F.lit("-"))).alias("short_id"))
+
+
+@query("SELECT ord, length(question) AS a, length(answer) AS b FROM medical_qa")
+def strict_zip(spark, d):
+    q = table(spark, d, "medical_qa")
+    return metrics.aligned(q.select("ord", F.length("question").cast("long").alias("a")), q.select("ord", F.length("answer").cast("long").alias("b")), "ord", strict=True)
+
+
+@query(f"SELECT query, array_to_string(gold_doc_ids, '|') AS gold FROM (SELECT {s_strip('text')} AS query, [item_id::VARCHAR] AS gold_doc_ids FROM heldout_items) WHERE query <> ''")
+def paraphrase_rows(spark, d):
+    rows = table(spark, d, "heldout_items").select(F.col("text").alias("question"), F.col("item_id").alias("gold_doc_id"))
+    return io.paraphrases(rows).select("query", F.array_join("gold_doc_ids", "|").alias("gold"))
+
+
+@query(f"SELECT question, answer FROM (SELECT coalesce(nullif({s_strip('instruction')}, ''), NULL) AS question, nullif({s_strip('output')}, '') AS answer FROM eval_medical_qa_rag) WHERE question IS NOT NULL AND answer IS NOT NULL")
+def answer_rows(spark, d):
+    return io.answers(table(spark, d, "eval_medical_qa_rag").select("instruction", F.col("output").alias("text")))
+
+
+def s_collapsed(c: str) -> str:
+    return s_strip(f"regexp_replace(regexp_replace(regexp_replace({c}, '\\r\\n?', chr(10), 'g'), '[ \\t\\x{{3000}}]+', ' ', 'g'), '\\n{{3,}}', chr(10) || chr(10), 'g')")
+
+
+def s_before(c: str) -> str:
+    t = s_collapsed(s_clean(c))
+    for label in cleanup.LABELS:
+        t = f"regexp_replace({t}, '(?is){label}', '', 'g')"
+    t = f"regexp_replace({s_collapsed(t)}, '{cleanup.NOTHING_MORE}', '', 'g')"
+    return t
+
+
+@query(f"""WITH a AS (SELECT ord, {s_before('question')} AS t FROM medical_qa), b AS (SELECT ord, CASE WHEN regexp_matches(t, '{cleanup.WHAT_IS}') THEN {s_strip(f"regexp_extract(t, '{cleanup.WHAT_IS}', 1)")} || '是什么病？' ELSE t END AS t FROM a),
+    c AS (SELECT ord, {s_strip(f"regexp_replace(t, '{cleanup.NOTHING_MORE}', '', 'g')")} AS t FROM b)
+    SELECT ord, regexp_replace({s_strip(f"regexp_replace(t, '{cleanup.REPLY}', '', 'g')")}, '您好[,，]?\\s*这', '这', 'g') AS text FROM c""")
+def labels_removed(spark, d):
+    """The cleaner's native stages: labels, fillers, "what is" questions, reply-like ends."""
+    return table(spark, d, "medical_qa").select("ord", cleanup.before_clauses(X.clean("question")).alias("text"))
+
+
 @query("SELECT item_id, text, lang FROM heldout_items")
 def json_records(spark, d):
     """A list under a key of one JSON object."""
