@@ -171,12 +171,21 @@ def near_dup_pairs(spark, d):
     return dedup.hamming_pairs(dedup.simhash(_qa_text(spark, d)))
 
 
-@query()
+def s_greedy(near: str) -> str:
+    """The sequential rule as a recursive query: one row after the other meets the list of kept ones."""
+    text = "coalesce(question, '') || chr(10) || coalesce(answer, '')"
+    return f"""WITH RECURSIVE {S_SIMHASH}, s AS MATERIALIZED (SELECT row_number() OVER (ORDER BY id) AS rn, id, simhash AS h, length({text}) AS n FROM sig JOIN medical_qa ON ord = id WHERE {s_clean(text)} <> ''),
+    g AS (SELECT 0::BIGINT AS i, []::STRUCT(id BIGINT, h BIGINT, n BIGINT)[] AS kept UNION ALL
+    SELECT i + 1, CASE WHEN at_ IS NULL THEN list_append(kept, {{'id': id, 'h': h, 'n': n}}) ELSE {near} END FROM (SELECT i, kept, s.*, list_position(list_transform(kept, lambda k: bit_count(xor(k.h, s.h)) <= 3), true) AS at_ FROM g JOIN s ON rn = i + 1))
+    SELECT unnest(kept).id AS id FROM g WHERE i = (SELECT count(*) FROM s)"""
+
+
+@query(s_greedy("kept"))
 def near_dedup_first(spark, d):
     return dedup.near_dedup(_qa_text(spark, d), 3, "first")
 
 
-@query()
+@query(s_greedy("list_transform(kept, lambda k, p: CASE WHEN p = at_ AND n > k.n THEN {'id': id, 'h': h, 'n': n} ELSE k END)"))
 def near_dedup_longest(spark, d):
     return dedup.near_dedup(_qa_text(spark, d), 3, "longest")
 
@@ -605,7 +614,13 @@ def judged_outcomes(spark, d):
     return generate.outcome_counts(generate.judged_pairs(df, write, contrast, judge, "ord"))
 
 
-@query()
+S_FLUSHED = "CASE WHEN a.buf <> '' THEN list_append(a.done, a.buf) ELSE a.done END"
+S_CHUNKS = f"""SELECT doc_id, list_reduce(list_prepend({{'done': []::VARCHAR[], 'buf': ''}}, list_transform(list_filter(list_transform(regexp_split_to_array(text, '\\n\\s*\\n'), lambda p: {s_strip('p')}), lambda p: p <> ''), lambda p: {{'done': []::VARCHAR[], 'buf': p}})),
+    lambda a, x: CASE WHEN length(a.buf) + length(x.buf) + 1 <= 800 THEN {{'done': a.done, 'buf': CASE WHEN a.buf = '' THEN x.buf ELSE a.buf || chr(10) || chr(10) || x.buf END}}
+    WHEN length(x.buf) <= 800 THEN {{'done': {S_FLUSHED}, 'buf': x.buf}} ELSE {{'done': list_concat({S_FLUSHED}, list_transform(range(0, length(x.buf), 700), lambda i: substr(x.buf, i + 1, 800))), 'buf': ''}} END) AS a FROM documents"""
+
+
+@query(f"SELECT doc_id, unnest(range(len(c)))::INT AS chunk_id, unnest(c) AS chunk FROM (SELECT doc_id, {S_FLUSHED} AS c FROM ({S_CHUNKS}))")
 def kb_chunks(spark, d):
     return table(spark, d, "documents").select("doc_id", F.posexplode(retrieval.chunk_text(F.col("text"))).alias("chunk_id", "chunk"))
 
