@@ -864,18 +864,37 @@ def due_evaluations(spark, d):
     return table(spark, d, "events").filter(metrics.due(F.col("event_id"), 50)).select("event_id")
 
 
-@query()
-def bleu_means(spark, d):
+S_BLEU = f"""bp AS (SELECT ord AS id, {s_squeeze('answer')} AS r, {s_squeeze('answer_rejected')} AS h FROM medical_qa WHERE answer IS NOT NULL AND answer_rejected IS NOT NULL),
+    bg AS ({" UNION ALL ".join(f"SELECT id, '{side}' AS side, {n} AS n, unnest(list_transform(range(1, length({side}) - {n} + 2), lambda i: substr({side}, i, {n}))) AS g FROM bp" for side in "rh" for n in (1, 2, 3, 4))}),
+    bc AS (SELECT id, side, n, g, count(*) AS c FROM bg GROUP BY ALL), bh AS (SELECT x.id, n, sum(least(x.c, y.c)) AS hit FROM bc x JOIN bc y USING (id, n, g) WHERE x.side = 'h' AND y.side = 'r' GROUP BY ALL),
+    bl AS (SELECT id, n, length(h) AS lh, length(r) AS lr, coalesce(hit, 0) AS hit, greatest(1, length(h) - n + 1) AS total FROM bp CROSS JOIN range(1, 5) o(n) LEFT JOIN bh USING (id, n)),
+    bs AS (SELECT *, sum((hit = 0)::INT) OVER (PARTITION BY id ORDER BY n) AS step FROM bl),
+    bq AS (SELECT id, n, lh, lr, min(hit) FILTER (n = 1) OVER (PARTITION BY id) AS one, CASE WHEN hit > 0 THEN hit / total ELSE 0.1::DOUBLE / total END AS p1, CASE WHEN hit > 0 THEN hit / total WHEN lh > 1 THEN ln(lh) / (pow(2, step) * 5) / total ELSE 0 END AS p4 FROM bs),
+    sb AS (SELECT id, {", ".join(f"CASE WHEN max(lh) = 0 OR max(lr) = 0 OR max(one) = 0 THEN 0.0::DOUBLE ELSE exp(sum(ln(p1)) FILTER (n <= {m}) / {m} + least(0, 1 - max(lr) / nullif(max(lh), 0))) END AS bleu{m}" for m in (1, 2, 3, 4))},
+    CASE WHEN max(lh) = 0 OR max(lr) = 0 OR max(one) = 0 OR min(p4) = 0 THEN 0.0::DOUBLE ELSE exp(sum(ln(nullif(p4, 0))) / 4 + least(0, 1 - max(lr) / nullif(max(lh), 0))) END AS bleu4_m4 FROM bq GROUP BY id)"""
+
+
+def _scored(spark: SparkSession, d: str) -> DataFrame:
+    df = table(spark, d, "medical_qa").filter("answer is not null and answer_rejected is not null")
     norm = lambda c: X.chars(X.squeeze(F.col(c)))
-    pairs = table(spark, d, "medical_qa").select(F.col("ord").alias("id"), norm("answer").alias("reference"), norm("answer_rejected").alias("hypothesis"))
-    return metrics.mean_bleu4(pairs)
+    return df.select(F.col("ord").alias("id"), norm("answer").alias("reference"), norm("answer_rejected").alias("hypothesis"))
+
+
+@query(f"WITH {S_BLEU} SELECT id, " + ", ".join(f"round({c}, 6) AS {c}" for c in ("bleu1", "bleu2", "bleu3", "bleu4", "bleu4_m4")) + " FROM sb")
+def bleu_scores(spark, d):
+    out = metrics.text_scores(_scored(spark, d))
+    return out.select("id", *[F.round(c, 6).alias(c) for c in ("bleu1", "bleu2", "bleu3", "bleu4", "bleu4_m4")])
+
+
+@query(f"WITH {S_BLEU} SELECT count(*) AS pairs, round(coalesce(avg(bleu4_m4), 0), 6) AS bleu4_mean FROM sb WHERE id IN (SELECT id FROM bp WHERE r <> '' AND h <> '')")
+def bleu_means(spark, d):
+    out = metrics.mean_bleu4(_scored(spark, d))
+    return out.select("pairs", F.round("bleu4_mean", 6).alias("bleu4_mean"))
 
 
 @query()
 def answer_scores(spark, d):
-    df = table(spark, d, "medical_qa").filter("answer is not null and answer_rejected is not null")
-    norm = lambda c: X.chars(X.squeeze(F.col(c)))
-    return metrics.text_scores(df.select(F.col("ord").alias("id"), norm("answer").alias("reference"), norm("answer_rejected").alias("hypothesis")))
+    return metrics.text_scores(_scored(spark, d))
 
 
 def _streamed(spark: SparkSession, d: str, make: Callable[[DataFrame], DataFrame]) -> DataFrame:
