@@ -508,6 +508,15 @@ def test_warping_in_a_corridor_finds_the_path_and_visits_less():
         assert near >= 0.97 * gain and (min(n, m) < 50 or (hi - lo).sum() < 0.5 * n * m)
 
 
+def test_bag_sums():
+    rng = np.random.default_rng(5)
+    table, lengths = rng.random((9, 4)).astype(np.float32), rng.integers(0, 7, 20)
+    ids, bounds = rng.integers(0, 9, lengths.sum()), np.concatenate([[0], np.cumsum(lengths)])
+    want = np.array([table[ids[a:b]].sum(0) for a, b in zip(bounds[:-1], bounds[1:])])
+    assert np.allclose(sentence_alignment.bag_sums(table, ids, bounds), want, atol=1e-5)
+    assert len(sentence_alignment.bag_sums(table, ids[:0], np.zeros(1, np.int64))) == 0
+
+
 def test_many_clauses_and_terms(spark):
     zh = "，".join(f"左肺见结节{i}毫米" for i in range(3000)) + "。"
     rows = [(i, "findings", f"The left lung shows a nodule of {i} mm.", f"左肺见结节{i}毫米。") for i in range(10, 60)] + [(900, "findings", "A nodule of 7 mm.", zh)]
