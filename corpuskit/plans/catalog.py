@@ -967,7 +967,8 @@ S_BOXES = ", ".join(f"('{r[1]}', [{', '.join(map(str, r[4]))}]::DOUBLE[])" for r
     FROM (SELECT vec_id, (200 + vec_id % 37)::INT AS w, (300 + vec_id % 41)::INT AS h FROM embeddings) CROSS JOIN (VALUES {S_BOXES}) v(key, box)""")
 def crop_boxes(spark, d):
     sizes = table(spark, d, "embeddings").select("vec_id", (200 + F.col("vec_id") % 37).cast("int").alias("w"), (300 + F.col("vec_id") % 41).cast("int").alias("h"))
-    rows = sizes.join(F.broadcast(grounding.regions(spark).select("key", "box")))  # the region table has a fixed number of rows
+    boxes = F.array(*[F.struct(F.lit(r[1]).alias("key"), F.array(*map(F.lit, r[4])).alias("box")) for r in grounding.region_rows()])
+    rows = sizes.select("*", F.inline(boxes))
     return rows.select("key", "vec_id", F.array_join(grounding.crop_box(F.col("box"), F.col("w"), F.col("h")).cast("array<string>"), ",").alias("pixels"))
 
 
