@@ -51,6 +51,7 @@ PHONE = [
     (0.3, re.compile(r"(?<![0-9A-Za-z_.+/-])\d{3}-\d{4}(?![\d/-])")),
 ]
 FOR_PHONE = re.compile(r"(?:call|ring|rung|phone|phoned|tel|telephone|mobile|contact|reach|reached|fax|whatsapp|dial|text)\b[^.;]{0,24}$|(?:电话|手机|联系|打|拨|致电|热线)[^。；]{0,6}$", re.I)
+WHEN_TO_RING = re.compile(r"\)?,? ?(?:mornings?|afternoons?|evenings?|nights?|weekdays?|weekends?|daytime|any ?time|office hours|after (?:\d|six|five)|before (?:\d|noon))\b", re.I)
 NO_PERSON = re.compile(r"(?:批号|序列号|检查编号|检查号|编号|影像号|床|病区|条码|单号|\b(?:lot|batch|serial|accession|uid|device|study|series|order|invoice|bed|ward|room|film|index|item)(?: no\.?| number| id| lot)?)\s*[:#]?\s*[\w./-]{0,6}$", re.I)
 SUFFIX = r"(?:street|st|avenue|ave|road|rd|lane|ln|court|ct|close|terrace|rise|drive|way|place|crescent|gardens|square|boulevard|blvd|parkway|mews|grove)"
 ADDRESS_EN = re.compile(
@@ -89,8 +90,8 @@ NAME_ZH = [
     (0.9, re.compile(rf"(?:我叫|姓名[:]\s?|孩子叫|名叫|叫做|联系人[:]?\s?|患者[:]?\s?|病人[:]?\s?|本人|落款[:]?\s?|签名[:]?\s?)({MAN})(?=[,。;!?.\s)）]|$|[，；！？、])")),
     (0.8, re.compile(rf"(?:我是|这里是)({MAN})(?=[,，。.!！\s]|$)")),
     (0.8, re.compile(rf"[帮替]({MAN})(?=[问咨看挂])")),
-    (0.8, re.compile(rf"(?:^|[。！？!?\s，,（(])({MAN})(?=的?(?:家属|家人|妈妈|爸爸|女儿|儿子)(?:留言|咨询|来))")),
-    (0.8, re.compile(rf"(?:——|--|—)\s?({MAN})(?=\s*$|[。\n（(])", re.M)),
+    (0.8, re.compile(rf"(?:^|[。！？!?\s，,（(）)])({MAN})(?=的?(?:家属|家人|妈妈|爸爸|女儿|儿子)(?:留言|咨询|来))")),
+    (0.8, re.compile(rf"(?:——|--|—)\s?({MAN})(?=\s*$|[。\n（(]|医生|大夫|您好|你好)", re.M)),
     (0.7, re.compile(rf"(?:(?<=[是次找由请经让给和跟问见看到约])|(?<=[，。！？,!?\s：:（(])|^)([{SURNAMES}][一-鿿]{{0,2}}?(?:医生|护士|大夫|主任|教授|先生|女士|医师|老师))")),
 ]
 NOT_NAME_ZH = re.compile(r"^(?:麻醉|康复|安宁|管床|贝|何时|任何|向您|高血|高龄|白血|甘油|车祸|关节|乐|相关|和|东|成年|应|容易|温|连|查|解|广|计|权)")
@@ -159,7 +160,8 @@ def find_spans(raw: str) -> list[tuple[int, int, str]]:
         for base, pattern in PHONE:
             for m in pattern.finditer(text):
                 head = _before(text, m.start())
-                score = base + 0.3 * bool(FOR_PHONE.search(head)) - 0.6 * bool(NO_PERSON.search(head))
+                near = FOR_PHONE.search(head) or WHEN_TO_RING.match(text, m.end())
+                score = base + 0.3 * bool(near) - 0.6 * bool(NO_PERSON.search(head))
                 found["phone"].append((score, *m.span()))
         for m in ADDRESS_EN.finditer(text):
             words = re.findall(r"[A-Za-z'-]+", m[0])

@@ -321,7 +321,7 @@ def test_mixture_reaches_its_shares(spark):
     ("text", "want"),
     [
         ("Write to jo.doe+x@mail.example please.", {"email"}), ("mail: jo [at] mail [dot] example", {"email"}), ("邮箱：jo＠mail.example。", {"email"}),
-        ("Dose given @ 2 mg/kg, then @ 0.2 mg/kg.", set()), ("Call 555-0134 after six.", {"phone"}), ("Device lot 055-9217 was checked.", set()),
+        ("Dose given @ 2 mg/kg, then @ 0.2 mg/kg.", set()), ("Call 555-0134 after six.", {"phone"}), ("Device lot 055-9217 was checked.", set()), ("(555-0175, mornings only)", {"phone"}), ("See table 555-0175, row 2.", set()), ("要不要紧？——柏翊医生您好，我头痛", {"name"}), ("（见上）鄢霁旻的家属留言。", {"name"}),
         ("手机１７９００５１８８８２，微信同号。", {"phone"}), ("打一九零零零二一八六七一找家属", {"phone"}), ("(408) 555-0128", {"phone"}), ("药品批号13800138000。", set()),
         ("Registered under SSN 965-95-3031.", {"id_number"}), ("身份证号：991512 19451115 9664，请查", {"id_number"}), ("Accession 6857-00-7296 was used", set()), ("检查编号77116083416。", set()),
         ("I live at 592 tollgate rise.", {"address"}), ("Visit house no. 251 on Stonepath St.", {"address"}), ("家在落霞大道159号，远", {"address"}), ("落霞大道社区站开的药。在5号楼0层CT室做的。", set()),
