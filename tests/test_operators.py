@@ -395,3 +395,16 @@ def test_pictures_that_are_structs_are_passed_over(spark):
 def test_other_tokenizers(spark):
     docs = spark.createDataFrame([(1, "a-b"), (2, "a")], "doc_id long, text string")
     assert {r.token for r in retrieval.postings(docs, lambda c: F.split(c, " ")).collect()} == {"a-b", "a"}
+
+
+def test_blocks_paths_arrays_and_windows(spark, tmp_path):
+    r = spark.range(1).select(
+        retrieval.hit_block(F.lit(2), F.lit("d"), F.lit(7), F.lit(0.5), F.lit("t"), F.lit(True)).alias("b"), X.first_path(F.array(F.lit("a.png"), F.lit("b")), "/x/").alias("p"),
+        X.first_path(F.array(F.lit("http://a")), "/x").alias("h"),
+    ).first()
+    assert tuple(r) == ("[片段2] doc_id=d line=7 score=0.5000 low_quality=true\nt", "/x/a.png", "http://a")
+    (tmp_path / "a.json").write_text('[{"x": 1}, {"x": 2}]')
+    assert sorted(r.x for r in io.read_json_array(spark, str(tmp_path / "a.json"), "x int").collect()) == [1, 2]
+    events = spark.createDataFrame([("2024-01-01 00:10:00", "a"), ("2024-01-01 00:50:00", "a"), ("2024-01-01 01:10:00", "b")], "at string, kind string").withColumn("at", F.to_timestamp("at"))
+    hours = streams.hourly_counts(events, "at", "kind").select(F.hour("window.start").alias("hour"), "kind", "n")
+    assert sorted(tuple(r) for r in hours.collect()) == [(0, "a", 2), (1, "b", 1)]
