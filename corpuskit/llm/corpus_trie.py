@@ -224,17 +224,18 @@ def node_counts(known: Sieve, word_lengths: list[int], piece_lengths: list[int])
                 alike = len(salts) and (salts == salts[0]).all()
                 salted = (lambda at: salts[0]) if alike else (lambda at: salts[f.row[at]])
                 offset, ends = np.arange(len(f.codes)) - f.starts[f.row], f.sentence_ends()
-                alive = np.arange(len(f.codes))
+                alive, two = np.arange(len(f.codes)), np.zeros(0, np.int64)
                 for n in LENGTHS:
                     alive = alive[offset[alive] >= n]
                     h = f.hashes(alive - n, alive, n, salted(alive))
                     met = known.has(h)
                     alive, h = alive[met], h[met]
+                    if n == 2:
+                        two = alive  # who asks for a clause asks for its last two characters, too
                     if not len(alive):
                         break
                     yield counted(h, ends[alive])
-                begin = f.clause_starts()
-                alive = np.arange(len(f.codes))
+                begin, alive = f.clause_starts(), two
                 for n in HEADS:
                     alive = alive[alive - begin[alive] >= n + 2]
                     h = f.clauses(begin[alive], alive, n, salted(alive))

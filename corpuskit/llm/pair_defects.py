@@ -28,6 +28,7 @@ from .truncation import cut_values
 
 # Answers that say nothing.
 FILLERS = frozenset("na none null nil nan tbd todo empty blank noanswer notavailable nodata unknown undefined 无 空 略 暂无 没有 无答案 无回答 无数据 暂缺 缺 待补充 待回复 未知 不详 答案 回答".split())
+WIDE = re.compile("[Ａ-Ｚａ-ｚ]")  # full-width letters may write a label
 LONGEST_FILLER = max(map(len, FILLERS))
 LABEL = re.compile(r"^(?:answer|response|reply|output|a|the answer|答案?|回答|回复|医生回答|解答|答复)\s*[:：.]\s*", re.I)
 
@@ -121,7 +122,7 @@ def squeeze(text: str) -> str:
 
 def is_empty(answer: str | None) -> bool:
     answer = answer or ""
-    rest = answer if answer.isascii() and not ("<" in answer or "&" in answer) else plain(answer)
+    rest = plain(answer) if "<" in answer or "&" in answer or WIDE.search(answer) else answer
     while (m := LABEL.match(rest := rest.strip())) and m.end():
         rest = rest[m.end() :]
     said = 0

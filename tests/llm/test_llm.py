@@ -356,7 +356,7 @@ LONG = "For most people, taking one tablet of 5 mg after meals keeps the value w
 @pytest.mark.parametrize(
     ("question", "answer", "want"),
     [
-        ("q", None, "empty"), ("q", " <p>&nbsp;</p> ", "empty"), ("q", "答：", "empty"), ("q", "N/A", "empty"), ("问题是什么呢", "无", "empty"),
+        ("q", None, "empty"), ("q", " <p>&nbsp;</p> ", "empty"), ("q", "答：", "empty"), ("q", "Ａｎｓｗｅｒ：", "empty"), ("q", "回答：　Ｎ／Ａ", "empty"), ("q", "N/A", "empty"), ("问题是什么呢", "无", "empty"),
         ("Is it safe?", "I am sorry, but I cannot give advice about medicines here. Please ask elsewhere.", "refusal"), ("能吃吗？", "恕我不能提供用药建议。换个话题吧。", "refusal"),
         ("Is it safe?", "I cannot see the film, yet from the text: " + LONG, None), ("能吃吗", "不能替代面诊，不过每日服用5毫克后多数人会好转，两周后复查肝功能。", None),
         ("Is walking after dinner enough for me?", "So the question is: is walking after dinner enough for me?", "copied_question"),
