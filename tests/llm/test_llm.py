@@ -291,6 +291,45 @@ def test_repeated_passages_count_as_often_as_they_stand(spark):
     assert overlaps(spark, rows) == {(i, i + 1) for i in range(0, 40, 2)}
 
 
+def test_all_copies_are_paired(spark):
+    rng = random.Random(31)
+    text = words(rng, 60)
+    rows = [(i, i < 20, text) for i in range(32)] + [(50, True, edited(rng, text, 2)), (60, False, edited(rng, text, 2))]
+    want = {(i, j) for i, a, s in rows for j, b, t in rows if a and not b and jaccard(s, t) >= 0.7}
+    assert len(want) >= 20 * 12 + 20 + 12 and overlaps(spark, rows) == want
+
+
+def test_short_and_long_pairs_at_the_threshold_are_found(spark):
+    # very short texts, and pairs of different length at the threshold
+    rng = random.Random(32)
+    rows = []
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    for n in (6, 7, 9, 12, 24, 60, 700, 3000, 20000):
+        for _ in range(12):
+            a = "".join(rng.choice(letters) for _ in range(n))
+            i = len(rows)
+            rows += [(i, True, a), (i + 1, False, a[: n // 2] + rng.choice("0123") + a[n // 2 :] if n > 30 else a + rng.choice("0123")), (i + 2, False, a[: -(-n * 3 // 4) + 1])]
+    shared = [(i, j) for i in range(0, len(rows), 3) for j in (i + 1, i + 2)]
+    want = {(i, j) for i, j in shared if jaccard(rows[i][2], rows[j][2]) >= 0.7}
+    assert len(want) > len(shared) / 2 and overlaps(spark, rows) == want
+
+
+def test_bitmaps_and_places_only_spare_comparisons():
+    rng = random.Random(33)
+    base = [words(rng, n) for n in (3, 20, 60, 130, 300, 900)]
+    rows = [norm(edited(rng, rng.choice(base), rng.choice([0, 1, 4, 15])))[: rng.choice([-1, -9, None])] for _ in range(90)]
+    train = [i % 2 == 0 for i in range(len(rows))]
+    ranks = np.full(split_overlap.BUCKETS, 7, np.uint8)
+    group = [
+        next(split_overlap._prefixes(ranks, 1, 0.7)(iter([pa.record_batch({"cls": pa.array([i for i, x in enumerate(train) if x == k]), "text": pa.array([t for t, x in zip(rows, train) if x == k])})])))
+        for k in (True, False)
+    ]
+    got = split_overlap._near(0.7)(*[pa.Table.from_batches([g]) for g in group])
+    got = set(zip(got["cls_a"].to_pylist(), got["cls_b"].to_pylist()))
+    want = {(i, j) for i, a in enumerate(train) for j, b in enumerate(train) if a and not b and jaccard(rows[i], rows[j]) >= 0.7}
+    assert want and want <= got and len(got) < 45 * 45 / 2
+
+
 # problem 8
 def test_shares_go_to_siblings_first():
     root = mixture.tree([("a_en", 0.4, 10), ("b_en", 0.1, 1000), ("c_zh", 0.3, 1000), ("d_en", 0.2, 1000)], {"a": "x", "b": "x", "c": "x", "d": "y"})
