@@ -1,9 +1,9 @@
 """Sentence alignment in bilingual documents (problem 5).
 
-Words and the sentences they stand in are counted over all records. Skip-gram vectors of both languages
-are trained on pairs drawn from all places of all records, and brought into one space by orthogonal
-Procrustes, seeded with a glossary and then with the word pairs that a first alignment of some records
-suggests. A sentence is the weighted sum of its words' vectors; numbers are compared beside it, in one
+Words, the sentences they stand in and their neighbours are counted over all records. Skip-gram
+vectors of both languages are trained on these counts, all at once, and brought into one space by
+orthogonal Procrustes, seeded with a glossary and then with the word pairs that a first alignment of all
+records suggests. A sentence is the weighted sum of its words' vectors; numbers are compared beside it, in one
 unit. Every record is then aligned: time warping at half resolution gives a corridor, recursively, and
 only its cells are visited at full resolution; what stays unaligned is matched anew without regard to
 order.
@@ -21,20 +21,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut
-from .kernels import MULT, U64, mix
 
-DIM, WINDOW, NEGATIVES, MOST_PASSES = 64, 8, 6, 40
-BATCH, SHARED = 2048, 128
-TRAIN_PAIRS = 1_000_000  # skip-gram pairs drawn from all places of each language
-SEED_RECORDS = 1_600  # sections whose first alignment proposes seeds of the rotation
+DIM, WINDOW, NEGATIVES = 64, 8, 6
+ROUNDS, RATE, BLOCK = 40, 0.5, 512  # of the training: rounds over all counts, length of steps, words at once
+INIT, START = 0.2, 1e-2  # random values as large keep words apart that few sentences tell apart; squares of gradients at the start
+TALLY_ROWS, TALLY_PARTS = 1 << 22, 32  # keys counted at once, parts of the counts
 LEAST_COUNT, RAREST = 3, 5_000  # a word stands in at least so many sentences, and in one of so many
 MOST_TERMS, MOST_WORDS = 100_000, 500_000
 BEST, MERGED = 0.42, 0.70
+SURE = 0.45  # score from which a first alignment proposes seeds
 MOST_CLAUSES = 12  # clauses that a sentence of the other language may cover, besides all of them
 SMALL = 16  # sentences on a side up to which the whole matrix is warped
 TOGETHER = 256  # sections scored together
@@ -104,39 +103,102 @@ def words_zh(text: str) -> list[str]:
     return out
 
 
-def scatter(target: np.ndarray, at: np.ndarray, add: np.ndarray) -> None:
-    """``target[at] += add`` with repeated places."""
-    order = np.argsort(at, kind="stable")
-    at = at[order]
-    first = np.nonzero(np.r_[True, at[1:] != at[:-1]])[0]
-    target[at[first]] += np.add.reduceat(add[order], first, axis=0)
+class Tally:
+    """Counts of whole numbers, kept sorted."""
 
+    def __init__(self) -> None:
+        self.keys, self.counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.waiting: list[np.ndarray] = []
+        self.n = 0
 
-def skip_gram(pairs: np.ndarray, counts: np.ndarray, seed: int) -> np.ndarray:
-    """Skip-gram with negative sampling over (word, neighbour) rows, in batches with adaptive steps."""
-    rng, size = np.random.default_rng(seed), len(counts)
-    scale = 0.5 / DIM
-    w, c = rng.uniform(-scale, scale, (size, DIM)).astype(np.float32), np.zeros((size, DIM), np.float32)
-    gw, gc = np.full(size, 1e-3, np.float32), np.full(size, 1e-3, np.float32)
-    if not len(pairs):
+    def add(self, keys: np.ndarray) -> None:
+        self.waiting.append(keys)
+        self.n += len(keys)
+        if self.n > TALLY_ROWS:
+            self.settle()
+
+    def settle(self) -> None:
+        if self.waiting:
+            keys, counts = np.unique(np.concatenate(self.waiting), return_counts=True)
+            self.keys, self.counts = summed(np.concatenate([self.keys, keys]), np.concatenate([self.counts, counts]))
+            self.waiting, self.n = [], 0
+
+    def rows(self, side: int) -> Iterator[tuple[int, int, bytes, bytes]]:
+        self.settle()
+        part = self.keys % TALLY_PARTS
+        for p in np.unique(part).tolist():
+            yield side, p, self.keys[part == p].tobytes(), self.counts[part == p].tobytes()
+
+
+def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Different keys in their order, with the sums of their counts."""
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.nonzero(np.r_[True, keys[1:] != keys[:-1]][: len(keys)])[0]
+    return keys[first], np.add.reduceat(counts[order], first) if len(first) else counts
+
+
+TALLIES = "side int, part int, keys binary, counts binary"
+
+
+def tally_batch(rows: list[tuple[int, int, bytes, bytes]]) -> pa.RecordBatch:
+    kinds = (pa.int32(), pa.int32(), pa.binary(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=["side", "part", "keys", "counts"])
+
+
+def _together(group: pa.Table) -> pa.Table:
+    keys, counts = (np.frombuffer(b"".join(group.column(c).to_pylist()), np.int64) for c in ("keys", "counts"))
+    keys, counts = summed(keys, counts)
+    return pa.Table.from_batches([tally_batch([(group.column("side")[0].as_py(), group.column("part")[0].as_py(), keys.tobytes(), counts.tobytes())])])
+
+
+def tallies(df: DataFrame, run) -> DataFrame:
+    """The tallies of all tasks, united by part."""
+    return cut(df.mapInArrow(run, TALLIES).groupBy("side", "part").applyInArrow(_together, TALLIES))
+
+
+def skip_gram(keys: np.ndarray, counts: np.ndarray, size: int) -> np.ndarray:
+    """Skip-gram with negative sampling, its expected loss over all counted pairs, in rounds with adaptive steps.
+
+    ``counts`` of words row <= column at ``keys`` = row * size + column. Each round takes all pairs and, for
+    negatives, all words by their weight; time grows with the square of the words, not with the rows.
+    """
+    rng, scale = np.random.default_rng(11), INIT
+    w, c = rng.uniform(-scale, scale, (size, DIM)).astype(np.float32), rng.uniform(-scale, scale, (size, DIM)).astype(np.float32)
+    if not len(keys):
         return w
-    noise = np.cumsum(counts**0.75)
-    noise /= noise[-1]
-    pairs = np.concatenate([pairs, pairs[:, ::-1]])
-    pairs = pairs[rng.permutation(len(pairs))]
-    for i in range(0, len(pairs), BATCH):
-        a, b = pairs[i : i + BATCH].T
-        # the negatives of a batch are shared, each with its part of the weight
-        other = np.searchsorted(noise, rng.random(SHARED)).clip(0, size - 1)
-        u, v, n = w[a], c[b], c[other]
-        near = 1 / (1 + np.exp(-np.einsum("bd,bd->b", u, v).clip(-8, 8))) - 1
-        far = (1 / (1 + np.exp(-(u @ n.T).clip(-8, 8)))) * np.float32(NEGATIVES / SHARED)
-        du, dv = near[:, None] * v + far @ n, np.concatenate([near[:, None] * u, far.T @ u])
-        b = np.concatenate([b, other])
-        scatter(gw, a, (du**2).mean(1))
-        scatter(gc, b, (dv**2).mean(1))
-        scatter(w, a, -0.15 * du / np.sqrt(gw[a])[:, None])
-        scatter(c, b, -0.15 * dv / np.sqrt(gc[b])[:, None])
+    row, column = np.divmod(keys, size)
+    row, column, counts = np.concatenate([row, column]), np.concatenate([column, row]), np.concatenate([counts, counts])
+    total = np.bincount(row, counts, size)
+    order = np.argsort(row, kind="stable")
+    row, column = row[order], column[order]
+    share = (counts[order] / total[row]).astype(np.float32)
+    noise = (NEGATIVES * total**0.75 / (total**0.75).sum()).astype(np.float32)
+    weight = (total / total.mean()).astype(np.float32)[:, None]
+    begin = np.arange(0, size, BLOCK)
+    at = np.searchsorted(row, [*begin, size])
+    gw, gc = np.full(size, START, np.float32), np.full(size, START, np.float32)
+    for _ in range(ROUNDS):
+        dc = np.zeros_like(c)
+        for k, first in enumerate(begin.tolist()):
+            here, some = slice(first, first + BLOCK), slice(at[k], at[k + 1])
+            x = w[here]
+            near = x @ c.T
+            np.clip(near, -30, 30, out=near)
+            np.exp(np.negative(near, out=near), out=near)
+            near += 1
+            np.reciprocal(near, out=near)
+            pull = share[some] * (near[row[some] - first, column[some]] - 1)
+            near *= noise
+            # a pair of the same word has two entries
+            np.add.at(near, (row[some] - first, column[some]), pull)
+            dw = near @ c
+            dc += near.T @ (weight[here] * x)
+            gw[here] += (dw**2).mean(1)
+            w[here] -= RATE * dw / np.sqrt(gw[here])[:, None]
+        dc /= np.maximum(weight, 1e-9)
+        gc += (dc**2).mean(1)
+        c -= RATE * dc / np.sqrt(gc)[:, None]
     return w
 
 
@@ -291,13 +353,13 @@ def number_dice(a: list[list[str]], b: list[list[str]]) -> np.ndarray:
 class Aligner:
     """Word vectors of both languages in one space, and the alignment by them."""
 
-    def __init__(self, counts: list[dict[str, int]], sentences: list[int], pairs: list[np.ndarray]) -> None:
+    def __init__(self, counts: list[dict[str, int]], sentences: list[int], vectors: list[np.ndarray]) -> None:
         self.vocab = [{w: i for i, w in enumerate(c)} for c in counts]
         self.vectors, self.weights = [], []
         for side in (0, 1):
             n = np.array(list(counts[side].values()) or [1], np.float64)
-            v = unit(skip_gram(pairs[side], n, 11 + side))
-            self.vectors.append(unit(v - v.mean(0)))
+            v = unit(vectors[side])
+            self.vectors.append(unit(v - v.mean(0)) if len(v) else v)
             self.weights.append(np.log1p(max(1, sentences[side]) / n).astype(np.float32))
 
     def table(self, side: int) -> np.ndarray:
@@ -318,27 +380,56 @@ class Aligner:
             u, _, vt = np.linalg.svd(x.T @ y)
             self.vectors[0] = (self.vectors[0] @ (u @ vt)).astype(np.float32)
 
-    def seeded(self, glossary: list[tuple[str, str]], records: list[tuple[str, str]]) -> Aligner:
-        """Rotated by a glossary, then by it and the words that keep company in surely aligned sentences."""
+    def companions(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Tallies over surely aligned sentences: side 0 and 1 of the words of each language, side 2 of pairs of words."""
+        seen, both, size = (Tally(), Tally()), Tally(), len(self.vocab[1])
+        for batch in batches:
+            records = list(zip(batch.column("en").to_pylist(), batch.column("zh").to_pylist()))
+            for (e, z), s in zip(records, self.scores(records)):
+                sure = [(i, j) for i, j, match in warp(s, *corridor(s)) if match and s[i, j] >= SURE] if s.size else []
+                if not sure:
+                    continue
+                ids = [
+                    {k: np.unique(np.array([v[w] for w in words(sentences[k]) if w in v], np.int64)) for k in {x[side] for x in sure}}
+                    for side, (v, words, sentences) in enumerate(zip(self.vocab, (words_en, words_zh), (split_en(e), split_zh(z))))
+                ]
+                for i, j in sure:
+                    a, b = ids[0][i], ids[1][j]
+                    seen[0].add(a)
+                    seen[1].add(b)
+                    both.add((a[:, None] * size + b[None, :]).ravel())
+        yield tally_batch([r for side, t in enumerate((*seen, both)) for r in t.rows(side)])
+
+    def company(self, seen: list[dict[int, int]]):
+        """``(en, zh, dice)`` of the words that keep company in a tally of pairs."""
+        size = max(1, len(self.vocab[1]))
+        n = [np.array([seen[side].get(i, 0) for i in range(len(self.vocab[side]))], np.int64) for side in (0, 1)]
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for keys, counts in zip(*(batch.column(c).to_pylist() for c in ("keys", "counts"))):
+                    counts = np.frombuffer(counts, np.int64)
+                    en, zh = np.divmod(np.frombuffer(keys, np.int64), size)
+                    dice = 2 * counts / (n[0][en] + n[1][zh])
+                    keep = (counts >= 4) & (dice > 0.3)
+                    yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (en, zh, dice)], names=["en", "zh", "dice"])
+
+        return run
+
+    def seeded(self, glossary: list[tuple[str, str]], df: DataFrame) -> Aligner:
+        """Rotated by a glossary, then by it and the words that keep company in surely aligned sentences of ``df(en, zh)``."""
         seeds = [(e, z) for e, z in glossary if e and z]
         self.rotate([(self.phrase(e, 0), self.phrase(z, 1)) for e, z in seeds])
-        seen: list[Counter] = [Counter(), Counter()]
-        both: Counter = Counter()
-        for (e, z), s in zip(records, self.scores(records)):
-            en, zh = split_en(e), split_zh(z)
-            for i, j, match in warp(s, *corridor(s)) if s.size else []:
-                if match and s[i, j] >= 0.45:
-                    a, b = set(words_en(en[i])) & self.vocab[0].keys(), set(words_zh(zh[j])) & self.vocab[1].keys()
-                    seen[0].update(a)
-                    seen[1].update(b)
-                    both.update((x, y) for x in a for y in b)
-        top: dict[str, list[tuple[float, str]]] = {}
-        for (x, y), n in both.items():
-            if n >= 4 and (d := 2 * n / (seen[0][x] + seen[1][y])) > 0.3:
-                top.setdefault(x, []).append((d, y))
+        found = tallies(df, self.companions)
+        seen: list[dict[int, int]] = [{}, {}]
+        for r in found.filter("side < 2").collect():
+            seen[r["side"]].update(zip(*(np.frombuffer(r[c], np.int64).tolist() for c in ("keys", "counts"))))
+        top: dict[int, list[tuple[float, int]]] = {}
+        for r in found.filter("side = 2").mapInArrow(self.company(seen), "en long, zh long, dice double").collect():
+            top.setdefault(r["en"], []).append((r["dice"], r["zh"]))
         pairs = [(self.phrase(e, 0), self.phrase(z, 1)) for e, z in seeds]
         for x, ys in sorted(top.items()):
-            pairs.append((self.vectors[0][self.vocab[0][x]], sum(d * self.vectors[1][self.vocab[1][y]] for d, y in sorted(ys, reverse=True)[:3])))
+            pairs.append((self.vectors[0][x], sum(d * self.vectors[1][y] for d, y in sorted(ys, reverse=True)[:3])))
         self.rotate(pairs)
         return self
 
@@ -396,99 +487,77 @@ class Aligner:
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(side, word, sentences with it, its tokens); the null word stands for all sentences and tokens."""
+    """(side, word, sentences with it); the null word stands for all sentences."""
     for batch in batches:
-        out: list[list] = [[], [], [], []]
+        out: list[list] = [[], [], []]
         for side, column in ((0, "en"), (1, "zh")):
             words, split = (words_zh, split_zh) if side else (words_en, split_en)
-            has, total, sentences = Counter(), 0, 0
+            has, sentences = Counter(), 0
             for text in batch.column(column).to_pylist():
                 for s in split(text):
-                    tokens = words(s)
-                    has.update(set(tokens))
-                    total += len(tokens)
+                    has.update(set(words(s)))
                     sentences += 1
             for word, n in (*has.items(), (None, sentences)):
-                for c, x in zip(out, (side, word, n, 0 if word else total)):
+                for c, x in zip(out, (side, word, n)):
                     c.append(x)
-        kinds = (pa.int32(), pa.string(), pa.int64(), pa.int64())
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=["side", "word", "n", "tokens"])
+        kinds = (pa.int32(), pa.string(), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=["side", "word", "n"])
 
 
-def _drawn(vocab: list[dict[str, int]], rates: list[float]):
-    """Skip-gram pairs from places that a hash of record and place draws."""
+def _neighbours(vocab: list[dict[str, int]]):
+    """Tallies of each language's pairs of words at most WINDOW places apart, the lower number first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tally = (Tally(), Tally())
         for batch in batches:
-            sides, blobs = [], []
             for side, column in ((0, "en"), (1, "zh")):
-                words, split = (words_zh, split_zh) if side else (words_en, split_en)
-                ids, lengths, seeds = [], [], []
-                for key, section, text in zip(*(batch.column(c).to_pylist() for c in ("id", "section", column))):
-                    seed = xxhash.xxh3_64_intdigest(f"{key} {section} {side}".encode())
-                    at = 0
-                    for s in split(text):
-                        got = [vocab[side][w] for w in words(s) if w in vocab[side]]
-                        ids += got
-                        lengths.append(len(got))
-                        seeds.append((seed + at) & 0xFFFFFFFFFFFFFFFF)
-                        at += len(got)
-                if not ids:
-                    continue
-                n = np.array(lengths)
-                within = np.arange(len(ids)) - np.repeat(np.cumsum(n) - n, n)
-                ids, owner = np.array(ids, np.int32), np.repeat(np.arange(len(n)), n)
-                with np.errstate(over="ignore"):
-                    seeds = np.repeat(np.array(seeds, U64), n) + within.astype(U64)
-                passes = max(1, int(np.ceil(rates[side])))
-                for turn in range(passes):
-                    with np.errstate(over="ignore"):
-                        h = mix(seeds * MULT + U64(turn))
-                    gap = (h & U64(0xFFFF)).astype(np.int64) % WINDOW + 1
-                    at = np.nonzero((h >> U64(16)).astype(np.float64) < rates[side] / passes * 2.0**48)[0]
-                    at = at[at + gap[at] < len(ids)]
-                    at = at[owner[at] == owner[at + gap[at]]]
-                    sides.append(side)
-                    blobs.append(np.stack([ids[at], ids[at + gap[at]]], 1).tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(sides, pa.int32()), pa.array(blobs, pa.binary())], names=["side", "pairs"])
+                words, split, of = (words_zh, split_zh, vocab[1]) if side else (words_en, split_en, vocab[0])
+                got = [[of[w] for w in words(s) if w in of] for text in batch.column(column).to_pylist() for s in split(text)]
+                lengths = [len(g) for g in got]
+                ids, owner = np.array([i for g in got for i in g], np.int64), np.repeat(np.arange(len(got)), lengths)
+                for gap in range(1, min(WINDOW, len(ids) - 1) + 1):
+                    same = owner[gap:] == owner[:-gap]
+                    a, b = ids[:-gap][same], ids[gap:][same]
+                    tally[side].add(np.minimum(a, b) * len(of) + np.maximum(a, b))
+        yield tally_batch([r for side in (0, 1) for r in tally[side].rows(side)])
 
     return run
 
 
+def word_vectors(df: DataFrame, vocab: list[dict[str, int]]) -> list[np.ndarray]:
+    """Vectors of each language's words, from all neighbours in all rows; to the driver come the sums."""
+    found: list[list[tuple[bytes, bytes]]] = [[], []]
+    for r in tallies(df, _neighbours(vocab)).sort("side", "part").collect():
+        found[r["side"]].append((r["keys"], r["counts"]))
+    return [skip_gram(*(np.frombuffer(b"".join(x[i] for x in found[side]), np.int64) for i in (0, 1)), len(vocab[side])) for side in (0, 1)]
+
+
 def _least(whole: dict, side: int) -> int:
     return max(LEAST_COUNT, whole[side]["n"] // RAREST) if side in whole else LEAST_COUNT
 
 
-def fitted(df: DataFrame, glossary: DataFrame, train_pairs: int = TRAIN_PAIRS, seed_records: int = SEED_RECORDS) -> Aligner:
+def fitted(df: DataFrame, glossary: DataFrame) -> Aligner:
     """An aligner for ``df(id, section, en, zh)``; pass it to ``aligned_sentences`` to use it again.
 
-    Words and sentences are counted over all rows. To the driver come the words in at least LEAST_COUNT
-    sentences and one of RAREST (at every size, as rarer words' vectors say nothing yet), about ``train_pairs`` skip-gram pairs a language drawn from all rows by a hash, and about
-    ``seed_records`` rows, drawn by a hash, too.
+    Words, sentences, neighbours and the company that words keep in a first alignment are counted over all
+    rows. To the driver come the words in at least LEAST_COUNT sentences and one of RAREST (at every size, as
+    rarer words' vectors say nothing yet), what their neighbours tell of them, and the words that keep company.
     """
     df = df.select("id", "section", "en", "zh").filter("en is not null and zh is not null")
-    stats = cut(df.mapInArrow(_counted, "side int, word string, n long, tokens long").groupBy("side", "word").agg(F.sum("n").alias("n"), F.sum("tokens").alias("tokens")))
+    stats = cut(df.mapInArrow(_counted, "side int, word string, n long").groupBy("side", "word").agg(F.sum("n").alias("n")))
     whole = {r["side"]: r for r in stats.filter("word is null").collect()}
     least = F.when(F.col("side") == 0, F.lit(_least(whole, 0))).otherwise(F.lit(_least(whole, 1)))
     rows = stats.filter(F.col("word").isNotNull() & (F.col("n") >= least)).limit(MOST_WORDS + 1).collect()
     if len(rows) > MOST_WORDS:
         raise ValueError(f"more than {MOST_WORDS} words in at least one of {RAREST} sentences")
     counts = [{r["word"]: r["n"] for r in sorted((r for r in rows if r["side"] == side), key=lambda r: r["word"])} for side in (0, 1)]
-    sentences, tokens = ([whole[side][c] if side in whole else 0 for side in (0, 1)] for c in ("n", "tokens"))
+    sentences = [whole[side]["n"] if side in whole else 0 for side in (0, 1)]
     vocab = [{w: i for i, w in enumerate(c)} for c in counts]
-    rates = [min(MOST_PASSES, train_pairs / max(1, n)) for n in tokens]
-    drawn: list[list[bytes]] = [[], []]
-    for r in df.mapInArrow(_drawn(vocab, rates), "side int, pairs binary").collect():
-        drawn[r["side"]].append(r["pairs"])
-    pairs = [np.frombuffer(b"".join(x), np.int32).reshape(-1, 2) for x in drawn]
-    pairs = [x[np.lexsort(x.T)] for x in pairs]  # whatever the order of the rows was
     terms = glossary.select("term_en", "term_zh").filter("term_en is not null and term_zh is not null").limit(MOST_TERMS + 1).collect()
     if len(terms) > MOST_TERMS:
         raise ValueError(f"more than {MOST_TERMS} glossary terms")
-    share = min(1.0, seed_records / max(1, df.count()))
-    some = df.filter(F.pmod(F.xxhash64("id", "section", F.lit(5)), F.lit(1 << 20)) < share * (1 << 20)).collect()
-    some.sort(key=lambda r: (r["id"], r["section"], r["en"], r["zh"]))
-    return Aligner(counts, sentences, pairs).seeded(sorted((t["term_en"], t["term_zh"]) for t in terms), [(r["en"], r["zh"]) for r in some])
+    aligner = Aligner(counts, sentences, word_vectors(df, vocab))
+    return aligner.seeded(sorted((t["term_en"], t["term_zh"]) for t in terms), df)
 
 
 def aligned_sentences(df: DataFrame, glossary: DataFrame, aligner: Aligner | None = None) -> DataFrame:
